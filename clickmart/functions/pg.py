@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_DAY = 86_400 * MICROS_PER_SECOND
 
-HUNDRED = F.lit(Decimal("100.0"))  # numeric literal ``100.0``, not a double
+
+
+def hundred() -> Column:
+    """The numeric literal ``100.0`` (DECIMAL(4,1)), not a double."""
+    return F.lit(Decimal("100.0"))
 
 
 def col(c: str | Column) -> Column:
@@ -44,7 +48,7 @@ def nullif_zero(c: str | Column) -> Column:
 def pct(numerator: str | Column, denominator: str | Column, places: int = 2) -> Column:
     """``ROUND(100.0 * a / NULLIF(b, 0), places)`` in exact decimal arithmetic
     with half-away-from-zero rounding, as a DOUBLE."""
-    return F.round(HUNDRED * col(numerator) / nullif_zero(denominator), places).cast("double")
+    return F.round(hundred() * col(numerator) / nullif_zero(denominator), places).cast("double")
 
 
 def ratio(numerator: str | Column, denominator: str | Column, places: int = 2) -> Column:
