@@ -2,37 +2,37 @@
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
 The models rank whole tables (all users, all products), so here the order is
-split into range buckets and each bucket is numbered on its own:
-
-1. ``repartitionByRange(P, order + tiebreak)``: Spark samples the sort keys
-   and cuts P contiguous ranges.  The tie-break makes the sort tuple unique, so
-   even a key shared by a third of the rows (zero revenue, say) is cut into
-   several buckets of balanced size.  The bucket id is ``spark_partition_id()``.
-2. Per-bucket statistics (at most P rows -- a proven size bound) give each
-   bucket its starting offset; they are broadcast back to the rows.
-3. Row number: position inside the sorted bucket (``monotonically_increasing_id``
-   after ``sortWithinPartitions`` counts rows in sorted order) plus the offset.
-   Rank: ``rank()`` inside the bucket plus the offset, corrected for tie groups
-   that start in an earlier bucket.
-
-The bucketed rows are used twice (statistics and rows).  Two evaluations of a
-range shuffle may sample different boundaries, so exchange reuse cannot be
-relied on: the bucketed rows are persisted, which pins one range partitioner.
-A lost cached block is recomputed through that same shuffle dependency, and
-every later step is a deterministic function of the pinned rows, so results
-survive executor loss.
+cut into contiguous buckets and each bucket is numbered on its own:
+
+1. Boundaries.  The sort tuple (keys + a unique tie-break) is hashed; the
+   ``P * 20`` rows with the smallest hashes form a uniform sample (a bounded
+   top-k: each task keeps at most that many rows).  Every 20th sampled tuple
+   in sort order is a boundary.  The boundary array travels as a scalar
+   subquery -- at most ``P`` tuples, a proven size bound.
+2. Bucket of a row = number of boundaries below its tuple.  Because the tuple
+   is unique, a key shared by a third of the rows (zero revenue, say) is cut
+   into several buckets like any other range.
+3. A window partitioned by bucket numbers rows inside each bucket (one hash
+   shuffle); per-bucket counts (at most ``P`` rows) give each bucket its
+   offset and are broadcast back.  Ranks also carry tie groups that cross a
+   bucket edge.
+
+Everything is a deterministic function of the data -- the sample is chosen by
+hash, not by a random seed -- so the plan may evaluate its input once or
+several times (exchange reuse, a lost executor) and still assigns every row
+to the same bucket.  Nothing is persisted and nothing is collected.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART = "_rk_part"
-POS = "_rk_pos"
+BUCKET = "_rk_bucket"
+ENC = "_rk_enc"
+SAMPLE_PER_BUCKET = 20
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,15 @@ class SortKey:
     def value(self) -> Column:
         return F.col(self.column) if isinstance(self.column, str) else self.column
 
+    @property
+    def nulls_go_first(self) -> bool:
+        return self.desc if self.nulls_first is None else self.nulls_first
+
     def sort(self) -> Column:
-        nf = self.desc if self.nulls_first is None else self.nulls_first
         v = self.value()
         if self.desc:
-            return v.desc_nulls_first() if nf else v.desc_nulls_last()
-        return v.asc_nulls_first() if nf else v.asc_nulls_last()
+            return v.desc_nulls_first() if self.nulls_go_first else v.desc_nulls_last()
+        return v.asc_nulls_first() if self.nulls_go_first else v.asc_nulls_last()
 
 
 def asc(c: str | Column, nulls_first: bool | None = None) -> SortKey:
@@ -74,34 +77,59 @@ def idiv(a: Column, b: Column) -> Column:
     return ((a - F.pmod(a, b)) / b).cast("bigint")
 
 
-def _bucketed(df: DataFrame, order: list[Column], partitions: int | None, sort: bool) -> DataFrame:
-    """Range buckets with their id (and, if sorted, each row's position in its
-    bucket), persisted so every use sees the same buckets."""
-    t = df.repartitionByRange(_partitions(df, partitions), *order)
-    if sort:
-        t = t.sortWithinPartitions(*order)
-    t = t.withColumn(PART, F.spark_partition_id())
-    if sort:
-        # ids count rows in iteration order, which is the sorted order here
-        t = t.withColumn(POS, F.monotonically_increasing_id() - F.col(PART).cast("bigint") * F.lit(1 << 33))
-    return t.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _with_row_number(df: DataFrame, order: list[SortKey], partitions: int | None) -> tuple[DataFrame, Column, Column]:
-    """Rows with ``_rk_off`` / ``_rk_total`` joined; returns (rows, 0-based
-    row number, total row count)."""
-    t = _bucketed(df, [k.sort() for k in order], partitions, sort=True)
-    stats = t.groupBy(PART).agg(F.count(F.lit(1)).alias("_rk_n"))
-    # at most P rows: one small task is fine here
-    running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(1))
-    offsets = stats.select(
-        PART,
-        F.coalesce(F.sum("_rk_n").over(running), F.lit(0)).alias("_rk_off"),
-        F.sum("_rk_n").over(everything).alias("_rk_total"),
+def _encoded(df: DataFrame, keys: list[SortKey]) -> Column:
+    """A struct whose natural ascending order is the requested order: a NULL
+    flag per key (placing NULLs first or last) and the value, negated for
+    DESC keys."""
+    fields = []
+    types = dict(df.select(*[k.value().alias(f"k{i}") for i, k in enumerate(keys)]).dtypes)
+    for i, k in enumerate(keys):
+        v = k.value()
+        flag = v.isNotNull() if k.nulls_go_first else v.isNull()
+        if k.desc:
+            if types[f"k{i}"] in ("string", "binary", "boolean"):
+                raise TypeError(f"DESC order on a {types[f'k{i}']} key is not supported")
+            v = -v
+        fields += [flag.alias(f"n{i}"), v.alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _with_buckets(df: DataFrame, keys: list[SortKey], partitions: int | None) -> DataFrame:
+    """``df`` plus a bucket id: contiguous, roughly equal ranges of the order."""
+    p = _partitions(df, partitions)
+    base = df.withColumn(ENC, _encoded(df, keys))
+    sample = base.select(ENC).orderBy(F.xxhash64(ENC), ENC).limit(p * SAMPLE_PER_BUCKET)
+    # at most P * 20 sampled rows: a bounded single-task window
+    ranked = sample.select(ENC, F.row_number().over(Window.orderBy(ENC)).alias("_rk_i"))
+    bounds = (
+        ranked.filter(F.col("_rk_i") % SAMPLE_PER_BUCKET == 0)
+        .agg(F.sort_array(F.collect_list(ENC)).alias("_rk_bounds"))
+        .scalar()
     )
-    rows = t.join(F.broadcast(offsets), PART)
-    return rows, F.col("_rk_off") + F.col(POS), F.col("_rk_total")
+    # a subquery cannot sit inside a lambda: project it first
+    with_bounds = base.withColumn("_rk_bounds", bounds)
+    below = F.filter("_rk_bounds", lambda b: b < F.col(ENC))
+    return with_bounds.withColumn(BUCKET, F.size(below)).drop("_rk_bounds")
+
+
+def _offsets(stats: DataFrame) -> DataFrame:
+    """Rows before each bucket, from at most P per-bucket counts."""
+    running = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return stats.withColumn("_rk_off", F.coalesce(F.sum("_rk_n").over(running), F.lit(0)))
+
+
+def _drop_work(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_rk_")])
+
+
+def _row_numbers(df: DataFrame, order: list[SortKey], partitions: int | None) -> DataFrame:
+    """Adds ``_rk_pos`` (0-based global row number) and ``_rk_total``."""
+    t = _with_buckets(df, order, partitions)
+    t = t.withColumn("_rk_lrn", F.row_number().over(Window.partitionBy(BUCKET).orderBy(*[k.sort() for k in order])))
+    stats = _offsets(t.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_rk_n")))
+    stats = stats.withColumn("_rk_total", F.sum("_rk_n").over(Window.partitionBy(F.lit(1))))
+    rows = t.join(F.broadcast(stats.select(BUCKET, "_rk_off", "_rk_total")), BUCKET)
+    return rows.withColumn("_rk_pos", (F.col("_rk_off") + F.col("_rk_lrn") - 1).cast("bigint"))
 
 
 def global_row_number(
@@ -109,8 +137,8 @@ def global_row_number(
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)`` (1-based, BIGINT).  ``order`` must
     make every row unique (add a key column as the last tie-break)."""
-    rows, i, _ = _with_row_number(df, order, partitions)
-    return rows.withColumn(name, i + 1).drop(PART, POS, "_rk_off", "_rk_total")
+    rows = _row_numbers(df, order, partitions)
+    return _drop_work(rows.withColumn(name, F.col("_rk_pos") + 1))
 
 
 def ntile_of(i: Column, n: Column, k: int) -> Column:
@@ -127,8 +155,8 @@ def global_ntile(
     df: DataFrame, k: int, order: list[SortKey], name: str = "ntile", partitions: int | None = None
 ) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` (BIGINT); ``order`` must be unique."""
-    rows, i, n = _with_row_number(df, order, partitions)
-    return rows.withColumn(name, ntile_of(i, n, k)).drop(PART, POS, "_rk_off", "_rk_total")
+    rows = _row_numbers(df, order, partitions)
+    return _drop_work(rows.withColumn(name, ntile_of(F.col("_rk_pos"), F.col("_rk_total"), k)))
 
 
 def global_rank(
@@ -141,39 +169,55 @@ def global_rank(
     """``RANK() OVER (ORDER BY order)`` (BIGINT, gaps after ties).
 
     ``order + tiebreak`` must make every row unique; only ``order`` decides
-    the rank.
+    the rank.  Inside a bucket ``rank()`` is exact except for the bucket's
+    first tie group, which may have started in an earlier bucket; the
+    per-bucket statistics say where.
     """
     key_order = [k.sort() for k in order]
-    t = _bucketed(df, key_order + [k.sort() for k in tiebreak], partitions, sort=False)
+    t = _with_buckets(df, order + tiebreak, partitions)
     t = t.withColumn("_rk_key", F.struct(*[k.value().alias(f"k{i}") for i, k in enumerate(order)]))
-    t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(PART).orderBy(*key_order)).cast("bigint"))
-
-    # per-bucket statistics (at most P rows): count, first and last key, and
-    # where the last tie group of the bucket starts
-    stats = t.groupBy(PART).agg(
-        F.count(F.lit(1)).alias("_rk_n"),
-        F.min_by("_rk_key", "_rk_lrank").alias("_rk_first"),
-        F.max_by("_rk_key", "_rk_lrank").alias("_rk_last"),
-        F.max("_rk_lrank").alias("_rk_last_lrank"),
-    )
-    running = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_rk_off", F.coalesce(F.sum("_rk_n").over(running), F.lit(0)))
-    # global start of every tie group that touches a bucket edge
-    starts = stats.select(F.col("_rk_first").alias("_rk_k"), F.col("_rk_off").alias("_rk_start")).unionByName(
-        stats.select(
-            F.col("_rk_last").alias("_rk_k"),
-            (F.col("_rk_off") + F.col("_rk_last_lrank") - 1).alias("_rk_start"),
+    t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(BUCKET).orderBy(*key_order)).cast("bigint"))
+
+    # per-bucket statistics, at most P rows (one small task)
+    stats = _offsets(
+        t.groupBy(BUCKET).agg(
+            F.count(F.lit(1)).alias("_rk_n"),
+            F.min_by("_rk_key", "_rk_lrank").alias("_rk_first"),
+            F.max_by("_rk_key", "_rk_lrank").alias("_rk_last"),
+            F.max("_rk_lrank").alias("_rk_last_lrank"),
         )
     )
-    first_start = (
-        stats.select(PART, "_rk_first")
-        .join(starts, F.col("_rk_first").eqNullSafe(F.col("_rk_k")))
-        .groupBy(PART)
-        .agg(F.min("_rk_start").alias("_rk_gstart"))
+    by_bucket = Window.orderBy(BUCKET)
+    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    off = F.col("_rk_off")
+    # does the bucket's first row start a new tie group?
+    first_starts = F.lag(BUCKET).over(by_bucket).isNull() | ~F.col("_rk_first").eqNullSafe(
+        F.lag("_rk_last").over(by_bucket)
+    )
+    stats = stats.withColumn("_rk_first_starts", first_starts)
+    # global start of the last tie group that really starts inside the bucket
+    last_start = F.when(F.col("_rk_last_lrank") > 1, off + F.col("_rk_last_lrank") - 1).when(
+        F.col("_rk_first_starts"), off
     )
-    edges = stats.select(PART, "_rk_off").join(first_start, PART)
-    rows = t.join(F.broadcast(edges), PART)
-    # rows of the bucket's first tie group may continue a group from earlier
-    # buckets; all others are numbered inside the bucket
+    stats = stats.withColumn("_rk_last_start", last_start)
+    # the first group starts here, or at the latest real start before here
+    gstart = F.when(F.col("_rk_first_starts"), off).otherwise(F.max("_rk_last_start").over(earlier))
+    edges = stats.select(BUCKET, "_rk_off", gstart.alias("_rk_gstart"))
+
+    rows = t.join(F.broadcast(edges), BUCKET)
     rank = F.when(F.col("_rk_lrank") == 1, F.col("_rk_gstart") + 1).otherwise(F.col("_rk_off") + F.col("_rk_lrank"))
-    return rows.withColumn(name, rank).drop(PART, "_rk_key", "_rk_lrank", "_rk_off", "_rk_gstart")
+    return _drop_work(rows.withColumn(name, rank.cast("bigint")))
+
+
+def attach(base: DataFrame, keys: list[str], scored: DataFrame) -> DataFrame:
+    """Join columns computed on a narrow projection of ``base`` back to it.
+
+    ``keys`` must be unique in ``base``; the match is NULL-safe and 1:1, so
+    every base row keeps exactly its own score.  Ranking narrow projections
+    and joining back keeps plans linear in the number of scores and shuffles
+    only the narrow rows by bucket.
+    """
+    extra = [c for c in scored.columns if c not in keys]
+    right = scored.select(*[F.col(k).alias(f"_rk_j_{k}") for k in keys], *extra)
+    cond = [base[k].eqNullSafe(right[f"_rk_j_{k}"]) for k in keys]
+    return base.join(right, cond, "inner").drop(*[f"_rk_j_{k}" for k in keys])

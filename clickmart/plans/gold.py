@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import pg
 from ..functions import segments as seg
-from ..operators.ranking import asc, desc, global_ntile, global_rank
+from ..operators.ranking import asc, attach, desc, global_ntile, global_rank
+from ..session import cut_lineage
 from ..schema import ADD_TO_CART, FUNNEL_STAGES, PAGE_VIEW, PURCHASE
 
 SECONDS_EXACT = "decimal(38,6)"  # seconds carry microseconds: exact as decimal
@@ -178,16 +179,27 @@ def _product_tiebreak():
 
 
 def product_revenue_rank(products: DataFrame) -> DataFrame:
-    """``RANK() OVER (ORDER BY SUM(revenue) DESC)``, NULLs first."""
-    return global_rank(products, [desc("total_revenue")], _product_tiebreak(), "revenue_rank")
+    """``RANK() OVER (ORDER BY SUM(revenue) DESC)``, NULLs first: product key,
+    revenue and rank."""
+    narrow = products.select(*PRODUCT_KEYS, "total_revenue")
+    return global_rank(narrow, [desc("total_revenue")], _product_tiebreak(), "revenue_rank")
 
 
 def product_units_rank(products: DataFrame) -> DataFrame:
-    return global_rank(products, [desc("units_sold")], _product_tiebreak(), "units_rank")
+    narrow = products.select(*PRODUCT_KEYS, "units_sold")
+    return global_rank(narrow, [desc("units_sold")], _product_tiebreak(), "units_rank")
+
+
+def with_product_ranks(products: DataFrame) -> DataFrame:
+    """Both ranks, each computed on a narrow projection and joined back on
+    the (unique) product key."""
+    out = attach(products, PRODUCT_KEYS, product_revenue_rank(products).drop("total_revenue"))
+    return attach(out, PRODUCT_KEYS, product_units_rank(products).drop("units_sold"))
 
 
 def mart_product_performance(stg: DataFrame, as_of=None, sort: bool = True) -> DataFrame:
-    ranked = product_units_rank(product_revenue_rank(product_metrics(stg)))
+    # the ranks read the product table several times: materialise it once
+    ranked = with_product_ranks(cut_lineage(product_metrics(stg)))
     out = ranked.withColumn("dbt_updated_at", pg.as_of_literal(as_of))
     return out.orderBy(F.col("total_revenue").desc_nulls_first()) if sort else out
 
@@ -258,7 +270,12 @@ RECENCY_DOCUMENTED = "documented"  # 5 = most recent, as the README states
 
 
 def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
-    """Append the three NTILE(5) scores; ties are broken by user_id."""
+    """(user_id, recency_score, frequency_score, monetary_score): three
+    NTILE(5) over the whole user table; ties are broken by user_id.
+
+    Each score is computed on a two-column projection; the three results are
+    joined on the unique user_id.
+    """
     tie = asc("user_id")
     if recency == RECENCY_AS_CODED:
         r_order = [asc("days_since_last_session"), tie]
@@ -266,9 +283,14 @@ def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
         r_order = [desc("days_since_last_session"), tie]
     else:
         raise ValueError(f"unknown recency order {recency!r}")
-    out = global_ntile(users, 5, r_order, "recency_score")
-    out = global_ntile(out, 5, [asc("total_sessions"), tie], "frequency_score")
-    return global_ntile(out, 5, [asc("lifetime_revenue"), tie], "monetary_score")
+
+    def score(col: str, order, name: str) -> DataFrame:
+        return global_ntile(users.select("user_id", col), 5, order, name).select("user_id", name)
+
+    r = score("days_since_last_session", r_order, "recency_score")
+    f = score("total_sessions", [asc("total_sessions"), tie], "frequency_score")
+    m = score("lifetime_revenue", [asc("lifetime_revenue"), tie], "monetary_score")
+    return attach(attach(r, ["user_id"], f), ["user_id"], m)
 
 
 def with_customer_tier(scored: DataFrame) -> DataFrame:
@@ -286,7 +308,9 @@ def user_behavior_frame(sessions: DataFrame, as_of=None) -> DataFrame:
 def mart_user_behavior(sessions: DataFrame, as_of=None, recency: str = RECENCY_AS_CODED, sort: bool = True) -> DataFrame:
     """The reference joins the segments to an NTILE result over themselves by
     user_id; user_id is unique here, so the scores are appended in place."""
-    out = with_customer_tier(rfm_scores(user_behavior_frame(sessions, as_of), recency))
+    # the three tiles read the user table several times: materialise it once
+    users = cut_lineage(user_behavior_frame(sessions, as_of))
+    out = with_customer_tier(attach(users, ["user_id"], rfm_scores(users, recency)))
     out = out.withColumn("dbt_updated_at", pg.as_of_literal(as_of))
     if sort:
         out = out.orderBy(F.col("customer_score").desc_nulls_first(), F.col("lifetime_revenue").desc_nulls_first())

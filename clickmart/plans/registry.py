@@ -20,6 +20,7 @@ from .. import oracle as O
 from ..operators import dedup
 from ..operators.checks import ACCEPTED_VALUES, EXPRESSION_IS_TRUE, NOT_NULL, UNIQUE, UNIQUE_COMBINATION
 from ..schema import DEFAULT_AS_OF, WIRE_COLUMNS
+from ..session import cut_lineage
 from ..sources import events_json
 from ..sources.bronze import bronze_scan
 from ..sources.clickstream import clickstream
@@ -64,6 +65,11 @@ class Models:
     def users_frame(self) -> DataFrame:
         return gold.user_behavior_frame(self.sessions, self.as_of)
 
+    @cached_property
+    def users_table(self) -> DataFrame:
+        """The user frame materialised once (input of the RFM tiles)."""
+        return cut_lineage(self.users_frame)
+
     @cached_property
     def daily(self) -> DataFrame:
         return gold.mart_daily_metrics(self.stg, self.sessions, self.as_of, sort=False)
@@ -320,9 +326,7 @@ def _mart_products(m: Models) -> DataFrame:
     O.with_ctes(["products"], f"SELECT {PRODUCT_KEY_SQL}, total_revenue, revenue_rank FROM products"),
 )
 def _product_revenue_rank(m: Models) -> DataFrame:
-    return gold.product_revenue_rank(gold.product_metrics(m.stg)).select(
-        *gold.PRODUCT_KEYS, "total_revenue", "revenue_rank"
-    )
+    return gold.product_revenue_rank(cut_lineage(gold.product_metrics(m.stg)))
 
 
 @register(
@@ -330,7 +334,7 @@ def _product_revenue_rank(m: Models) -> DataFrame:
     O.with_ctes(["products"], f"SELECT {PRODUCT_KEY_SQL}, units_sold, units_rank FROM products"),
 )
 def _product_units_rank(m: Models) -> DataFrame:
-    return gold.product_units_rank(gold.product_metrics(m.stg)).select(*gold.PRODUCT_KEYS, "units_sold", "units_rank")
+    return gold.product_units_rank(cut_lineage(gold.product_metrics(m.stg)))
 
 
 @register(
@@ -402,14 +406,12 @@ _user_cols("avg_order_values", "user_id, user_conversion_rate, user_abandonment_
 
 @register("rfm_scores", O.with_ctes(["rfm"], "SELECT * FROM rfm"))
 def _rfm(m: Models) -> DataFrame:
-    return gold.rfm_scores(m.users_frame).select("user_id", "recency_score", "frequency_score", "monetary_score")
+    return gold.rfm_scores(m.users_table)
 
 
 @register("rfm_scores_documented", O.with_ctes(["rfm_documented"], "SELECT * FROM rfm_documented"))
 def _rfm_doc(m: Models) -> DataFrame:
-    return gold.rfm_scores(m.users_frame, gold.RECENCY_DOCUMENTED).select(
-        "user_id", "recency_score", "frequency_score", "monetary_score"
-    )
+    return gold.rfm_scores(m.users_table, gold.RECENCY_DOCUMENTED)
 
 
 @register(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -58,3 +58,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared checkpoint folder and return a
+    DataFrame that reads it back (``DataFrame.checkpoint``, eager).
+
+    Used before operators that read their input several times (global ranks
+    and tiles): the input is computed once, and a lost executor re-reads the
+    files instead of recomputing the lineage.  The folder comes from the
+    session (``spark.checkpoint.dir``); a local session without one gets a
+    private folder.  On a cluster without a configured folder the lineage is
+    kept as is -- the ranking operators are deterministic, so results are
+    the same, only the input is evaluated more than once.
+    """
+    spark = df.sparkSession
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not configured and not current.isDefined() and not _is_local(spark):
+        return df
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
