@@ -11,12 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.pg import as_of_literal
 from ..schema import QUANTITY_EVENT_TYPES, REQUIRED_COLUMNS, WIRE_COLUMNS, WIRE_SCHEMA
 
 RAW = "_raw"
 REASON = "reject_reason"
+CORRUPT = "_corrupt_record"
+# the wire schema plus a slot that receives text that does not parse
+PARSE_SCHEMA = T.StructType(WIRE_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def to_wire_json(bronze: DataFrame) -> DataFrame:
@@ -34,13 +38,18 @@ def _parsed(df: DataFrame, value_col: str) -> DataFrame:
     text = F.col(value_col).cast("string")
     return df.select(
         text.alias(RAW),
-        F.from_json(text, WIRE_SCHEMA, {"mode": "PERMISSIVE"}).alias("d"),
+        F.from_json(text, PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("d"),
     )
 
 
 def _reason() -> Column:
     d = F.col("d")
-    expr = F.when(d.isNull(), F.lit("unparseable"))
+    # text that is not a JSON object: nothing parsed.  A wrong-typed field
+    # alone only NULLs that field (the row is kept, as from_json does).
+    nothing = d[CORRUPT].isNotNull()
+    for c in REQUIRED_COLUMNS:
+        nothing = nothing & d[c].isNull()
+    expr = F.when(d.isNull() | nothing, F.lit("unparseable"))
     for c in REQUIRED_COLUMNS:
         expr = expr.when(d[c].isNull(), F.lit(f"missing {c}"))
     ts = d["event_timestamp"].try_cast("timestamp_ntz")
