@@ -34,6 +34,25 @@ BUCKET = "_rk_bucket"
 ENC = "_rk_enc"
 SAMPLE_PER_BUCKET = 20
 
+# Inputs with at most this many rows are ranked by Spark's own window in one
+# task (a proven bound, like a broadcast threshold); larger inputs take the
+# bucketed path.  ``0`` forces the bucketed path; set per session with
+# ``spark.clickmart.ranking.singleTaskMaxRows``.
+SINGLE_TASK_MAX_ROWS = 200_000
+THRESHOLD_CONF = "spark.clickmart.ranking.singleTaskMaxRows"
+
+
+def _single_task_ok(df: DataFrame, max_rows: int | None) -> bool:
+    """True when ``df`` is proven small: its row count is at most the bound.
+
+    Counting is one cheap job on a materialised input (see ``cut_lineage``).
+    """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(THRESHOLD_CONF, str(SINGLE_TASK_MAX_ROWS)))
+    if max_rows <= 0:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
 @dataclass(frozen=True)
 class SortKey:
@@ -133,10 +152,17 @@ def _row_numbers(df: DataFrame, order: list[SortKey], partitions: int | None) ->
 
 
 def global_row_number(
-    df: DataFrame, order: list[SortKey], name: str = "row_number", partitions: int | None = None
+    df: DataFrame,
+    order: list[SortKey],
+    name: str = "row_number",
+    partitions: int | None = None,
+    single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)`` (1-based, BIGINT).  ``order`` must
     make every row unique (add a key column as the last tie-break)."""
+    if _single_task_ok(df, single_task_max_rows):
+        w = Window.orderBy(*[k.sort() for k in order])
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     rows = _row_numbers(df, order, partitions)
     return _drop_work(rows.withColumn(name, F.col("_rk_pos") + 1))
 
@@ -152,9 +178,17 @@ def ntile_of(i: Column, n: Column, k: int) -> Column:
 
 
 def global_ntile(
-    df: DataFrame, k: int, order: list[SortKey], name: str = "ntile", partitions: int | None = None
+    df: DataFrame,
+    k: int,
+    order: list[SortKey],
+    name: str = "ntile",
+    partitions: int | None = None,
+    single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` (BIGINT); ``order`` must be unique."""
+    if _single_task_ok(df, single_task_max_rows):
+        w = Window.orderBy(*[k_.sort() for k_ in order])
+        return df.withColumn(name, F.ntile(k).over(w).cast("bigint"))
     rows = _row_numbers(df, order, partitions)
     return _drop_work(rows.withColumn(name, ntile_of(F.col("_rk_pos"), F.col("_rk_total"), k)))
 
@@ -165,6 +199,7 @@ def global_rank(
     tiebreak: list[SortKey],
     name: str = "rank",
     partitions: int | None = None,
+    single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """``RANK() OVER (ORDER BY order)`` (BIGINT, gaps after ties).
 
@@ -174,6 +209,8 @@ def global_rank(
     per-bucket statistics say where.
     """
     key_order = [k.sort() for k in order]
+    if _single_task_ok(df, single_task_max_rows):
+        return df.withColumn(name, F.rank().over(Window.orderBy(*key_order)).cast("bigint"))
     t = _with_buckets(df, order + tiebreak, partitions)
     t = t.withColumn("_rk_key", F.struct(*[k.value().alias(f"k{i}") for i, k in enumerate(order)]))
     t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(BUCKET).orderBy(*key_order)).cast("bigint"))

@@ -47,6 +47,9 @@ class Models:
     spark: SparkSession
     sf_dir: str
     as_of: str = DEFAULT_AS_OF
+    # queries that read several marts materialise silver once, as the
+    # refresh job does, instead of re-deriving it in every branch
+    materialize_silver: bool = False
     _cache: dict = field(default_factory=dict)
 
     @cached_property
@@ -55,11 +58,13 @@ class Models:
 
     @cached_property
     def stg(self) -> DataFrame:
-        return silver.stg_clickstream_events(self.bronze, self.as_of)
+        stg = silver.stg_clickstream_events(self.bronze, self.as_of)
+        return cut_lineage(stg) if self.materialize_silver else stg
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return silver.int_user_sessions(self.stg, self.as_of)
+        sessions = silver.int_user_sessions(self.stg, self.as_of)
+        return cut_lineage(sessions) if self.materialize_silver else sessions
 
     @cached_property
     def users_frame(self) -> DataFrame:
@@ -101,21 +106,23 @@ class Models:
 class Query:
     build: Callable[[Models], DataFrame]
     sql: str | None
+    many_models: bool = False
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, many_models: bool = False):
     def deco(fn: Callable[[Models], DataFrame]):
-        QUERIES[name] = Query(fn, sql)
+        QUERIES[name] = Query(fn, sql, many_models)
         return fn
 
     return deco
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical(QUERIES[name].build(Models(spark, sf_dir)))
+    q = QUERIES[name]
+    return canonical(q.build(Models(spark, sf_dir, materialize_silver=q.many_models)))
 
 
 # ---------------------------------------------------------------------------
@@ -553,7 +560,9 @@ def _register_checks(name: str, kinds: list[str] | None) -> None:
     deps = sorted({_CHECK_SRC[c.model] for c in checks})
     sql = O.with_ctes(deps, "\nUNION ALL\n".join(_check_sql(c) for c in checks))
 
-    @register(name, sql)
+    many = len({c.model for c in checks}) > 1
+
+    @register(name, sql, many_models=many)
     def _q(m: Models) -> DataFrame:
         return quality.check_summary(m.by_model(), checks)
 

@@ -26,9 +26,9 @@ def rank_ties(spark):
 def test_rank_ntile_rownumber_equal_builtin(spark, rank_ties, descending):
     k = desc("key") if descending else asc("key")
     order = [k, asc("id")]
-    got = global_rank(rank_ties, [k], [asc("id")], "r", partitions=6)
-    got = global_ntile(got, 5, order, "nt", partitions=7)
-    got = global_row_number(got, order, "rn", partitions=8)
+    got = global_rank(rank_ties, [k], [asc("id")], "r", partitions=6, single_task_max_rows=0)
+    got = global_ntile(got, 5, order, "nt", partitions=7, single_task_max_rows=0)
+    got = global_row_number(got, order, "rn", partitions=8, single_task_max_rows=0)
     exp = rank_ties.select(
         "id",
         F.rank().over(Window.orderBy(k.sort())).alias("r2"),
@@ -50,11 +50,20 @@ def test_ntile_formula(spark, n):
 
 
 def test_small_and_empty_inputs(spark):
-    empty = spark.createDataFrame([], "id string, key int")
-    assert global_ntile(empty, 5, [asc("key"), asc("id")], "t").count() == 0
-    tiny = spark.createDataFrame([("a", 1), ("b", None)], "id string, key int")
-    out = {r.id: (r.t, r.r) for r in global_rank(global_ntile(tiny, 5, [asc("key"), asc("id")], "t"), [asc("key")], [asc("id")], "r").collect()}
-    assert out == {"a": (1, 1), "b": (2, 2)}
+    for limit in (0, None):  # bucketed path, then the size-checked single-task path
+        empty = spark.createDataFrame([], "id string, key int")
+        assert global_ntile(empty, 5, [asc("key"), asc("id")], "t", single_task_max_rows=limit).count() == 0
+        tiny = spark.createDataFrame([("a", 1), ("b", None)], "id string, key int")
+        nt = global_ntile(tiny, 5, [asc("key"), asc("id")], "t", single_task_max_rows=limit)
+        out = {r.id: (r.t, r.r) for r in global_rank(nt, [asc("key")], [asc("id")], "r", single_task_max_rows=limit).collect()}
+        assert out == {"a": (1, 1), "b": (2, 2)}
+
+
+def test_single_task_path_is_size_checked(spark, rank_ties):
+    from clickmart.operators.ranking import _single_task_ok
+
+    assert _single_task_ok(rank_ties, 3001) and not _single_task_ok(rank_ties, 3000)
+    assert not _single_task_ok(rank_ties, 0)
 
 
 def test_buckets_split_a_hot_key(spark):
@@ -63,6 +72,6 @@ def test_buckets_split_a_hot_key(spark):
     df = spark.createDataFrame(rows, "id string, key int")
     from clickmart.operators.ranking import _with_buckets
 
-    sizes = [r["count"] for r in _with_buckets(df, [asc("key"), asc("id")], 8).groupBy("_rk_bucket").count().collect()]
+    sizes = [r["count"] for r in _with_buckets(df, [asc("key"), asc("id")], 8).groupBy("_rk_bucket").count().collect()]  # noqa: E501
     assert max(sizes) < 0.5 * 4000
     assert len(sizes) >= 6
