@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import BRONZE_COLUMNS
 
 # --- fixed values of the derivation rule -----------------------------------
 EVENT_TYPE_MAP = {
@@ -37,77 +36,64 @@ REPLAY_DELAY_SECONDS = 60
 # --- end of fixed values ----------------------------------------------------
 
 
-def _pick(values: list[str], index: F.Column) -> F.Column:
-    """``values[index]`` for a 0-based integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+# Only the columns the derivation reads; giving the schema skips footer
+# inference on the driver and prunes the Parquet scan.
+EVENTS_COLUMNS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING"
+PART_COLUMNS = "p_partkey BIGINT, p_name STRING, p_type STRING"
 
 
-def _type_map(c: F.Column) -> F.Column:
-    expr = None
-    for src, dst in EVENT_TYPE_MAP.items():
-        expr = F.when(c == src, dst) if expr is None else expr.when(c == src, dst)
-    return expr
+def _pick(values: list[str], index: str) -> str:
+    """SQL for ``values[index]`` with a 0-based integer expression."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), CAST({index} AS INT) + 1)"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _type_map(c: str) -> str:
+    branches = " ".join(f"WHEN '{src}' THEN '{dst}'" for src, dst in EVENT_TYPE_MAP.items())
+    return f"CASE {c} {branches} END"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze events (17 columns, duplicates included) for one scale directory."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-
-    eid = F.col("event_id")
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("int")
-    ev = ev.select(
-        eid,
+    ev = read_table(spark, sf_dir, "events", EVENTS_COLUMNS).selectExpr(
+        "event_id",
         "ts",
         "event_type",
-        k.alias("k"),
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
         # each driver user becomes one heavy and seven light shoppers
-        (F.col("user_id") * 8 + F.least(eid % 13, F.lit(7))).alias("uid"),
+        "user_id * 8 + least(event_id % 13, 7) AS uid",
     )
+    part = read_table(spark, sf_dir, "part", PART_COLUMNS)
     joined = ev.join(part, F.col("p_partkey") == F.col("k"), "inner")
-
-    etype = F.col("event_type")
-    in_cart = etype.isin("click", "purchase")
+    # copy 0 is the original delivery, copy 1 the replay of every tenth event
     quantity = (
-        F.when(~in_cart, F.lit(None).cast("int"))
-        .when(eid % 17 == 0, F.lit(None).cast("int"))
-        .when(eid % 19 == 0, F.lit(0))
-        .otherwise((eid % 3 + 1).cast("int"))
+        "CASE WHEN event_type NOT IN ('click', 'purchase') THEN NULL "
+        "WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 0 "
+        "ELSE CAST(event_id % 3 + 1 AS INT) END"
+    )
+    return joined.selectExpr(
+        "*", "explode(IF(event_id % 10 = 0, array(0, 1), array(0))) AS copy_no"
+    ).selectExpr(
+        "concat('EVT_', CAST(event_id AS STRING)) AS event_id",
+        "ts AS event_timestamp",
+        "concat('USER_', CAST(uid AS STRING)) AS user_id",
+        "concat('SESSION_', CAST(uid AS STRING), '_', CAST(CAST(ts AS DATE) AS STRING)) AS session_id",
+        f"{_type_map('event_type')} AS event_type",
+        "concat('P', CAST(k AS STRING)) AS product_id",
+        "p_name AS product_name",
+        "p_type AS product_category",
+        f"CAST(CAST(k AS DECIMAL(10,2)) + CAST('{PRICE_OFFSET}' AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS product_price",
+        f"CAST(({quantity}) + copy_no AS INT) AS quantity",
+        "concat('https://shop.example.com/product/P', CAST(k AS STRING)) AS page_url",
+        "'https://google.com' AS referrer_url",
+        f"{_pick(DEVICES, 'event_id % 3')} AS device_type",
+        f"{_pick(BROWSERS, 'event_id % 4')} AS browser",
+        f"{_pick(COUNTRIES, 'uid % 5')} AS country",
+        "concat('City_', CAST(uid % 20 AS STRING)) AS city",
+        f"ts + make_dt_interval(0, 0, 0, {INGEST_DELAY_SECONDS} + copy_no * {REPLAY_DELAY_SECONDS}) AS ingestion_timestamp",
     )
-    uid_s = F.col("uid").cast("string")
-    k_s = F.col("k").cast("string")
-    # copy 0 is the original delivery, copy 1 the replay of every tenth event
-    copy = F.explode(F.when(eid % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    rows = joined.select("*", copy.alias("copy_no"))
-    replay = F.col("copy_no") == 1
-    return rows.select(
-        F.concat(F.lit("EVT_"), eid.cast("string")).alias("event_id"),
-        F.col("ts").alias("event_timestamp"),
-        F.concat(F.lit("USER_"), uid_s).alias("user_id"),
-        F.concat(F.lit("SESSION_"), uid_s, F.lit("_"), F.to_date("ts").cast("string")).alias("session_id"),
-        _type_map(etype).alias("event_type"),
-        F.concat(F.lit("P"), k_s).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("product_category"),
-        (F.col("k").cast("decimal(10,2)") + F.lit(PRICE_OFFSET).cast("decimal(10,2)"))
-        .cast("decimal(10,2)")
-        .alias("product_price"),
-        F.when(replay, quantity + 1).otherwise(quantity).cast("int").alias("quantity"),
-        F.concat(F.lit("https://shop.example.com/product/P"), k_s).alias("page_url"),
-        F.lit("https://google.com").alias("referrer_url"),
-        _pick(DEVICES, eid % 3).alias("device_type"),
-        _pick(BROWSERS, eid % 4).alias("browser"),
-        _pick(COUNTRIES, F.col("uid") % 5).alias("country"),
-        F.concat(F.lit("City_"), (F.col("uid") % 20).cast("string")).alias("city"),
-        (
-            F.col("ts")
-            + F.make_dt_interval(secs=F.lit(INGEST_DELAY_SECONDS))
-            + F.when(replay, F.make_dt_interval(secs=F.lit(REPLAY_DELAY_SECONDS))).otherwise(
-                F.make_dt_interval(secs=F.lit(0))
-            )
-        ).alias("ingestion_timestamp"),
-    ).select(*BRONZE_COLUMNS)
