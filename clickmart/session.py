@@ -19,6 +19,8 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "8g",
+    # delete checkpoint files once the DataFrame reading them is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -56,13 +56,13 @@ def _reason() -> Column:
     return expr.when(ts.isNull(), F.lit("bad event_timestamp"))
 
 
-def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split raw messages into (typed events, rejects).
+def parse_with_reason(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Raw text, the parsed struct and the reject reason (NULL when good)."""
+    return _parsed(df, value_col).withColumn(REASON, _reason())
 
-    Both outputs come from the same projection; in a stream both are written
-    by one ``foreachBatch`` call, in batch Catalyst reuses the scan.
-    """
-    p = _parsed(df, value_col).withColumn(REASON, _reason())
+
+def split_parsed(p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed events, rejects) from :func:`parse_with_reason` output."""
     good = p.filter(F.col(REASON).isNull()).select(
         *[
             F.col("d")[c].try_cast("timestamp_ntz").alias(c) if c == "event_timestamp" else F.col("d")[c].alias(c)
@@ -73,6 +73,15 @@ def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, Da
     return good, rejects
 
 
+def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split raw messages into (typed events, rejects).
+
+    Both outputs come from the same projection; the stream sink persists that
+    projection once per micro-batch and writes both from it.
+    """
+    return split_parsed(parse_with_reason(df, value_col))
+
+
 def repair_quantity(df: DataFrame) -> DataFrame:
     """Cart and purchase events with a NULL or non-positive quantity get 1;
     every other row keeps its quantity."""
@@ -89,5 +98,9 @@ def stamp_ingestion(df: DataFrame, as_of=None) -> DataFrame:
 
 def ingest(df: DataFrame, value_col: str = "value", as_of=None) -> tuple[DataFrame, DataFrame]:
     """Parse, repair and stamp: (bronze rows, rejects)."""
-    good, rejects = parse_events(df, value_col)
+    return ingest_parsed(parse_with_reason(df, value_col), as_of)
+
+
+def ingest_parsed(parsed: DataFrame, as_of=None) -> tuple[DataFrame, DataFrame]:
+    good, rejects = split_parsed(parsed)
     return stamp_ingestion(repair_quantity(good), as_of), rejects

@@ -8,9 +8,11 @@ batch produce identical rows.  The sink is ``foreachBatch``:
   that one folder.  A batch that fails after a partial write is replayed under
   the same id after restart and replaces its own output: exactly-once files on
   top of the at-least-once source;
-* the batch is persisted for the two writes and released afterwards, and its
-  row count is observed during the write (no separate ``count()`` pass);
-* empty batches write nothing.
+* the batch is parsed once, persisted for the two writes and released
+  afterwards, and its row count is observed during the write (no separate
+  ``count()`` pass);
+* the engine calls the sink only for batches that brought data, so there is
+  no emptiness probe (an extra job per batch).
 
 Progress lives in the checkpoint folder; ``trigger`` is a processing-time
 interval (``"5 seconds"``) or ``available_now=True`` for a bounded catch-up.
@@ -61,12 +63,9 @@ class BronzeBatchWriter:
         self.last_counts: dict[int, dict[str, int]] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = events_json.parse_with_reason(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, rejects = events_json.ingest(batch, "value", self.as_of)
-            if batch.isEmpty():
-                log.info("batch %s: no new events", batch_id)
-                return
+            good, rejects = events_json.ingest_parsed(parsed, self.as_of)
             obs = Observation(f"bronze_batch_{batch_id}")
             good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp")).observe(
                 obs, F.count(F.lit(1)).alias("rows")
@@ -84,7 +83,7 @@ class BronzeBatchWriter:
             log.exception("batch %s failed; it is replayed on restart", batch_id)
             raise
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
 
 def start_ingest(

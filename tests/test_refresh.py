@@ -17,3 +17,39 @@ def test_refresh_writes_everything(spark, tmp_dir):
     assert failures["unique_clickstream_events_event_id"] > 0
     assert failures["accepted_values_clickstream_events_event_type"] == 1
     assert failures["unique_stg_clickstream_events_event_id"] == 0
+
+
+def test_cleanup_duplicates(spark, tmp_dir):
+    from clickmart.plans.cleanup import cleanup_duplicates
+
+    out = cleanup_duplicates(clickstream(spark, SF_SMALL), f"{tmp_dir}/clean")
+    assert out == {"duplicate_ids_found": 100, "rows_written": 1000, "duplicate_ids_remaining": 0}
+
+
+def test_progress_log_measures_stream(spark, tmp_dir):
+    import json
+    import os
+
+    from clickmart.streaming.ingest import read_events, start_ingest
+    from clickmart.streaming.progress import attach_progress_log
+    from tests.test_ingest import GOOD
+
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for i in range(50):
+            f.write(json.dumps(dict(GOOD, event_id=f"E{i}")) + "\n")
+    log = attach_progress_log(spark)
+    try:
+        q = start_ingest(read_events(spark, "text", src), f"{tmp_dir}/b", f"{tmp_dir}/r", f"{tmp_dir}/c", available_now=True)
+        q.awaitTermination()
+        q.stop()
+        import time
+
+        deadline = time.time() + 30  # progress events are delivered asynchronously
+        while log.summary(q.id)["rows"] < 50 and time.time() < deadline:
+            time.sleep(0.2)
+        s = log.summary(q.id)
+        assert s["rows"] == 50 and s["batches"] >= 1
+    finally:
+        spark.streams.removeListener(log)
