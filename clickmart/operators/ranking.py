@@ -212,16 +212,24 @@ def global_rank(
     if _single_task_ok(df, single_task_max_rows):
         return df.withColumn(name, F.rank().over(Window.orderBy(*key_order)).cast("bigint"))
     t = _with_buckets(df, order + tiebreak, partitions)
-    t = t.withColumn("_rk_key", F.struct(*[k.value().alias(f"k{i}") for i, k in enumerate(order)]))
     t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(BUCKET).orderBy(*key_order)).cast("bigint"))
 
-    # per-bucket statistics, at most P rows (one small task)
+    # per-bucket statistics, at most P rows (one small task): count, the key
+    # of the first and of the last tie group, where the last group starts.
+    # Key components are aggregated one by one (scalar buffers stay in the
+    # hash aggregate; a struct buffer would force a sort-based aggregate).
+    firsts = [F.min_by(k.value(), "_rk_lrank").alias(f"_rk_f{i}") for i, k in enumerate(order)]
+    lasts = [F.max_by(k.value(), "_rk_lrank").alias(f"_rk_l{i}") for i, k in enumerate(order)]
+    stats = t.groupBy(BUCKET).agg(
+        F.count(F.lit(1)).alias("_rk_n"), F.max("_rk_lrank").alias("_rk_last_lrank"), *firsts, *lasts
+    )
     stats = _offsets(
-        t.groupBy(BUCKET).agg(
-            F.count(F.lit(1)).alias("_rk_n"),
-            F.min_by("_rk_key", "_rk_lrank").alias("_rk_first"),
-            F.max_by("_rk_key", "_rk_lrank").alias("_rk_last"),
-            F.max("_rk_lrank").alias("_rk_last_lrank"),
+        stats.select(
+            BUCKET,
+            "_rk_n",
+            "_rk_last_lrank",
+            F.struct(*[F.col(f"_rk_f{i}") for i in range(len(order))]).alias("_rk_first"),
+            F.struct(*[F.col(f"_rk_l{i}") for i in range(len(order))]).alias("_rk_last"),
         )
     )
     by_bucket = Window.orderBy(BUCKET)
