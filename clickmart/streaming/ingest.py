@@ -54,12 +54,20 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
 
 
 class BronzeBatchWriter:
-    """``foreachBatch`` callback writing one micro-batch idempotently."""
+    """``foreachBatch`` callback writing one micro-batch idempotently.
 
-    def __init__(self, bronze_path: str, rejects_path: str, as_of=None):
+    ``jdbc_options`` (``url``, ``dbtable``, ``user``, ``password``, ``driver``)
+    additionally appends the good rows to a database table through Spark's
+    JDBC writer, as the reference sink does.  A JDBC append is at-least-once:
+    a replayed batch appends again, and the downstream dedup removes the
+    copies.  No credentials have defaults.
+    """
+
+    def __init__(self, bronze_path: str, rejects_path: str, as_of=None, jdbc_options: dict | None = None):
         self.bronze_path = bronze_path
         self.rejects_path = rejects_path
         self.as_of = as_of
+        self.jdbc_options = jdbc_options
         self.last_counts: dict[int, dict[str, int]] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -76,6 +84,8 @@ class BronzeBatchWriter:
                 .parquet(f"{self.bronze_path}/batch_id={batch_id}")
             )
             rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
+            if self.jdbc_options:
+                good.drop(PARTITION_COLUMN).write.format("jdbc").options(**self.jdbc_options).mode("append").save()
             rows = int(obs.get.get("rows", 0))
             self.last_counts[batch_id] = {"rows": rows}
             log.info("batch %s: %s events written", batch_id, rows)
@@ -95,9 +105,11 @@ def start_ingest(
     available_now: bool = False,
     as_of=None,
     query_name: str | None = None,
+    jdbc_options: dict | None = None,
 ) -> StreamingQuery:
     """Start the ingest query; stop it with ``query.stop()`` (graceful)."""
-    writer = stream.writeStream.foreachBatch(BronzeBatchWriter(bronze_path, rejects_path, as_of)).option(
+    sink = BronzeBatchWriter(bronze_path, rejects_path, as_of, jdbc_options)
+    writer = stream.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
     )
     if query_name:
