@@ -4,12 +4,14 @@
 The models rank whole tables (all users, all products), so here the order is
 cut into contiguous buckets and each bucket is numbered on its own:
 
-1. Boundaries.  The sort tuple (keys + a unique tie-break) is hashed; the
-   ``P * 20`` rows with the smallest hashes form a uniform sample (a bounded
-   top-k: each task keeps at most that many rows).  Every 20th sampled tuple
-   in sort order is a boundary.  The boundary array travels as a scalar
-   subquery -- at most ``P`` tuples, a proven size bound.
-2. Bucket of a row = number of boundaries below its tuple.  Because the tuple
+1. Boundaries.  The sort tuple (keys + a unique tie-break) is hashed; rows
+   under a hash fraction chosen from the row count, trimmed to the ``P * 20``
+   smallest hashes, form a uniform sample of bounded size (each task sends
+   only its share).  Every 20th sampled tuple in sort order is a boundary.
+   The boundary array travels as a scalar subquery -- at most ``P`` tuples,
+   a proven size bound.
+2. Bucket of a row = number of boundaries below its tuple, found by binary
+   search over the boundary array (log2 P comparisons).  Because the tuple
    is unique, a key shared by a third of the rows (zero revenue, say) is cut
    into several buckets like any other range.
 3. A window partitioned by bucket numbers rows inside each bucket (one hash
@@ -42,18 +44,6 @@ SINGLE_TASK_MAX_ROWS = 200_000
 THRESHOLD_CONF = "spark.clickmart.ranking.singleTaskMaxRows"
 
 
-def _single_task_ok(df: DataFrame, max_rows: int | None) -> bool:
-    """True when ``df`` is proven small: its row count is at most the bound.
-
-    Counting is one cheap job on a materialised input (see ``cut_lineage``).
-    """
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(THRESHOLD_CONF, str(SINGLE_TASK_MAX_ROWS)))
-    if max_rows <= 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 @dataclass(frozen=True)
 class SortKey:
     """One ``ORDER BY`` item with PostgreSQL defaults: ASC sorts NULLs last,
@@ -113,11 +103,65 @@ def _encoded(df: DataFrame, keys: list[SortKey]) -> Column:
     return F.struct(*fields)
 
 
-def _with_buckets(df: DataFrame, keys: list[SortKey], partitions: int | None) -> DataFrame:
-    """``df`` plus a bucket id: contiguous, roughly equal ranges of the order."""
+def _row_count(df: DataFrame) -> int:
+    """Row count of the (materialised) input: one cheap job."""
+    return df.count()
+
+
+def _single_task_ok(df: DataFrame, max_rows: int | None, n: int | None = None) -> bool:
+    """True when ``df`` is proven small: its row count is at most the bound."""
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(THRESHOLD_CONF, str(SINGLE_TASK_MAX_ROWS)))
+    if max_rows <= 0:
+        return False
+    if n is not None:
+        return n <= max_rows
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def _idiv(a: Column, b: Column) -> Column:
+    return ((a - F.pmod(a, b)) / b).cast("int")
+
+
+def _lower_bound(bounds: str, value: Column, size: int) -> Column:
+    """Number of elements of the sorted array ``bounds`` that are ``< value``:
+    a binary search of ceil(log2(size + 1)) steps, not a scan of the array."""
+    steps = max(1, (size + 1).bit_length())
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = _idiv(lo + hi, F.lit(2))
+        below = F.element_at(bounds, mid + 1) < value
+        moved = F.when(below, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(
+            F.struct(lo.alias("lo"), mid.alias("hi"))
+        )
+        return F.when(lo < hi, moved).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["lo"])
+
+
+HASH_MOD = 1_000_000_007
+
+
+def _with_buckets(df: DataFrame, keys: list[SortKey], partitions: int | None, n: int | None = None) -> DataFrame:
+    """``df`` plus a bucket id: contiguous, roughly equal ranges of the order.
+
+    The sample is every row whose tuple hash falls under a fraction chosen
+    from the row count ``n`` (about ``4 * P * 20`` rows in total, spread over
+    all tasks), trimmed to ``P * 20`` by smallest hash.  Each task therefore
+    sends only its share of the sample to the single task that picks the
+    boundaries.
+    """
     p = _partitions(df, partitions)
+    cap = p * SAMPLE_PER_BUCKET
+    n = _row_count(df) if n is None else n
     base = df.withColumn(ENC, _encoded(df, keys))
-    sample = base.select(ENC).orderBy(F.xxhash64(ENC), ENC).limit(p * SAMPLE_PER_BUCKET)
+    h = F.pmod(F.xxhash64(ENC), F.lit(HASH_MOD))
+    sample = base.select(ENC, h.alias("_rk_h"))
+    if n > 4 * cap:
+        sample = sample.filter(F.col("_rk_h") < F.lit(int(HASH_MOD * 4 * cap / n)))
+    sample = sample.orderBy("_rk_h", ENC).limit(cap)
     # at most P * 20 sampled rows: a bounded single-task window
     ranked = sample.select(ENC, F.row_number().over(Window.orderBy(ENC)).alias("_rk_i"))
     bounds = (
@@ -127,8 +171,7 @@ def _with_buckets(df: DataFrame, keys: list[SortKey], partitions: int | None) ->
     )
     # a subquery cannot sit inside a lambda: project it first
     with_bounds = base.withColumn("_rk_bounds", bounds)
-    below = F.filter("_rk_bounds", lambda b: b < F.col(ENC))
-    return with_bounds.withColumn(BUCKET, F.size(below)).drop("_rk_bounds")
+    return with_bounds.withColumn(BUCKET, _lower_bound("_rk_bounds", F.col(ENC), p)).drop("_rk_bounds")
 
 
 def _offsets(stats: DataFrame) -> DataFrame:
@@ -141,9 +184,9 @@ def _drop_work(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_rk_")])
 
 
-def _row_numbers(df: DataFrame, order: list[SortKey], partitions: int | None) -> DataFrame:
+def _row_numbers(df: DataFrame, order: list[SortKey], partitions: int | None, n: int | None = None) -> DataFrame:
     """Adds ``_rk_pos`` (0-based global row number) and ``_rk_total``."""
-    t = _with_buckets(df, order, partitions)
+    t = _with_buckets(df, order, partitions, n)
     t = t.withColumn("_rk_lrn", F.row_number().over(Window.partitionBy(BUCKET).orderBy(*[k.sort() for k in order])))
     stats = _offsets(t.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_rk_n")))
     stats = stats.withColumn("_rk_total", F.sum("_rk_n").over(Window.partitionBy(F.lit(1))))
@@ -160,10 +203,11 @@ def global_row_number(
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order)`` (1-based, BIGINT).  ``order`` must
     make every row unique (add a key column as the last tie-break)."""
-    if _single_task_ok(df, single_task_max_rows):
+    n = _row_count(df)
+    if _single_task_ok(df, single_task_max_rows, n):
         w = Window.orderBy(*[k.sort() for k in order])
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    rows = _row_numbers(df, order, partitions)
+    rows = _row_numbers(df, order, partitions, n)
     return _drop_work(rows.withColumn(name, F.col("_rk_pos") + 1))
 
 
@@ -186,10 +230,11 @@ def global_ntile(
     single_task_max_rows: int | None = None,
 ) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` (BIGINT); ``order`` must be unique."""
-    if _single_task_ok(df, single_task_max_rows):
+    n = _row_count(df)
+    if _single_task_ok(df, single_task_max_rows, n):
         w = Window.orderBy(*[k_.sort() for k_ in order])
         return df.withColumn(name, F.ntile(k).over(w).cast("bigint"))
-    rows = _row_numbers(df, order, partitions)
+    rows = _row_numbers(df, order, partitions, n)
     return _drop_work(rows.withColumn(name, ntile_of(F.col("_rk_pos"), F.col("_rk_total"), k)))
 
 
@@ -209,9 +254,10 @@ def global_rank(
     per-bucket statistics say where.
     """
     key_order = [k.sort() for k in order]
-    if _single_task_ok(df, single_task_max_rows):
+    n = _row_count(df)
+    if _single_task_ok(df, single_task_max_rows, n):
         return df.withColumn(name, F.rank().over(Window.orderBy(*key_order)).cast("bigint"))
-    t = _with_buckets(df, order + tiebreak, partitions)
+    t = _with_buckets(df, order + tiebreak, partitions, n)
     t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(BUCKET).orderBy(*key_order)).cast("bigint"))
 
     # per-bucket statistics, at most P rows (one small task): count, the key
