@@ -223,3 +223,31 @@ def test_rfm_join_equivalence(spark):
         (F.col("recency_score") != F.col("r")) | (F.col("frequency_score") != F.col("f")) | (F.col("monetary_score") != F.col("m"))
     )
     assert joined.count() == 40 and bad.count() == 0
+
+
+def test_funnel_stack_equals_union(spark):
+    """One aggregate + stack gives the same rows as four unioned selects."""
+    from clickmart.plans.registry import Models
+
+    sessions = Models(spark, "/root/testdata/sf0.001").sessions
+    f = gold.funnel_counts(sessions)
+    t, v, c, p = (F.col(x) for x in ("total_sessions", "sessions_with_views", "sessions_with_carts", "sessions_with_purchases"))
+    stages = [
+        (1, t, F.lit(0), F.lit(100.0), F.lit(100.0)),
+        (2, v, t - v, pg.pct(v, t), pg.pct(v, t)),
+        (3, c, v - c, pg.pct(c, v), pg.pct(c, t)),
+        (4, p, c - p, pg.pct(p, c), pg.pct(p, t)),
+    ]
+    union = None
+    for order, n, dropped, prev, start in stages:
+        part = f.select(
+            F.lit(order).cast("bigint").alias("stage_order"),
+            n.cast("bigint").alias("sessions"),
+            dropped.cast("bigint").alias("users_dropped"),
+            prev.cast("double").alias("conversion_rate_from_previous"),
+            start.cast("double").alias("conversion_rate_from_start"),
+        )
+        union = part if union is None else union.unionByName(part)
+    cols = ["stage_order", "sessions", "users_dropped", "conversion_rate_from_previous", "conversion_rate_from_start"]
+    stacked = gold.mart_conversion_funnel(sessions).select(*cols)
+    assert sorted(stacked.collect()) == sorted(union.collect())

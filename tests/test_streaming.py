@@ -71,3 +71,19 @@ def test_stream_dedup_and_live_metrics(spark, tmp_dir):
     rows = {r.window_start.minute: r for r in spark.table("live_out").collect()}
     assert rows[1].events == 3 and rows[1].purchases == 1 and rows[1].conversion_rate == 50.0
     assert rows[2].events == 1
+
+
+def test_stream_output_equals_batch_output(spark, tmp_dir):
+    """The stream sink and the batch ingest produce the same bronze rows."""
+    from clickmart.sources.clickstream import clickstream
+    from clickmart.sources.events_json import ingest, to_wire_json
+    from tests.conftest import SF_SMALL
+
+    src = os.path.join(tmp_dir, "in")
+    wire = to_wire_json(clickstream(spark, SF_SMALL)).repartition(3)
+    wire.write.text(src)
+    run_until_caught_up(read_events(spark, "text", src), f"{tmp_dir}/b", f"{tmp_dir}/r", f"{tmp_dir}/c", as_of="2024-02-06 00:00:00")
+    streamed = read_bronze(spark, f"{tmp_dir}/b")
+    batch, _ = ingest(spark.read.text(src), as_of="2024-02-06 00:00:00")
+    assert streamed.count() == batch.count() == 1100
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
