@@ -521,6 +521,30 @@ def _ingest_latency(m: Models) -> DataFrame:
     return reports.ingest_latency(m.bronze)
 
 
+@register(
+    "live_metrics",
+    O.with_ctes(
+        ["bronze"],
+        f"""
+        SELECT date_trunc('minute', event_timestamp) AS window_start,
+          date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE AS window_end,
+          CAST(COUNT(*) AS BIGINT) AS events,
+          CAST(COUNT(*) FILTER (WHERE event_type = 'page_view') AS BIGINT) AS page_views,
+          CAST(COUNT(*) FILTER (WHERE event_type = 'add_to_cart') AS BIGINT) AS add_to_carts,
+          CAST(COUNT(*) FILTER (WHERE event_type = 'purchase') AS BIGINT) AS purchases,
+          {O.pct("COUNT(*) FILTER (WHERE event_type = 'purchase')", "COUNT(*) FILTER (WHERE event_type = 'page_view')")}
+            AS conversion_rate
+        FROM bronze GROUP BY 1, 2
+        """,
+    ),
+)
+def _live_metrics(m: Models) -> DataFrame:
+    """The stream's windowed metric applied to the whole bronze table."""
+    from ..streaming.live import live_metrics
+
+    return live_metrics(m.bronze, "1 minute")
+
+
 # ---------------------------------------------------------------------------
 # checks
 # ---------------------------------------------------------------------------

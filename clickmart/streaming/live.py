@@ -38,9 +38,10 @@ def live_metrics(events: DataFrame, window: str = "1 minute", watermark: str = "
         F.count_if(etype == ADD_TO_CART).alias("add_to_carts"),
         F.count_if(etype == PURCHASE).alias("purchases"),
     )
+    # back to zone-less wall-clock time, like the input
     return agg.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
         "events",
         "page_views",
         "add_to_carts",
