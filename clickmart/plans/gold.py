@@ -16,7 +16,7 @@ from ..functions import pg
 from ..functions import segments as seg
 from ..operators.ranking import asc, attach, desc, global_ntile, global_rank
 from ..session import cut_lineage
-from ..schema import ADD_TO_CART, FUNNEL_STAGES, PAGE_VIEW, PURCHASE
+from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, PAGE_VIEW, PURCHASE
 
 SECONDS_EXACT = "decimal(38,6)"  # seconds carry microseconds: exact as decimal
 
@@ -319,8 +319,6 @@ def mart_user_behavior(sessions: DataFrame, as_of=None, recency: str = RECENCY_A
 
 def hot_leads(users: DataFrame, k: int = 50) -> DataFrame:
     """Recent cart abandoners by purchase propensity: a top-k report."""
-    from ..schema import HOT_LEAD
-
     return (
         users.filter(F.col("lifecycle_stage") == HOT_LEAD)
         .orderBy(F.col("purchase_propensity_score").desc_nulls_first(), F.col("user_id").asc_nulls_last())

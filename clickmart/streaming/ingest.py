@@ -128,3 +128,18 @@ def run_until_caught_up(stream: DataFrame, bronze_path: str, rejects_path: str,
         q.awaitTermination()
     finally:
         q.stop()
+
+
+def run_ingest(stream: DataFrame, bronze_path: str, rejects_path: str, checkpoint: str, **kwargs) -> None:
+    """Run the ingest until it fails or is interrupted; always stop it cleanly.
+
+    A failing batch ends the query with its exception (re-raised); restarting
+    with the same checkpoint replays that batch into its own folder.
+    """
+    q = start_ingest(stream, bronze_path, rejects_path, checkpoint, **kwargs)
+    try:
+        q.awaitTermination()
+    except KeyboardInterrupt:
+        log.info("stopping ingest on request")
+    finally:
+        q.stop()
