@@ -21,11 +21,21 @@ def bronze_scan(df: DataFrame) -> DataFrame:
     return df.select(*BRONZE_COLUMNS)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """Read a bronze Parquet table written by :func:`write_bronze` or by the
-    streaming ingest (no schema inference; the partition column is dropped)."""
+    streaming ingest (no schema inference; the partition column is dropped).
+
+    ``since`` / ``until`` (dates, inclusive) become a filter on the
+    ``event_date`` partition column, so only those folders are listed and
+    read (partition pruning), plus a pushed-down filter on the timestamp.
+    """
     schema = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(PARTITION_COLUMN, T.DateType())])
-    return bronze_scan(spark.read.schema(schema).parquet(path))
+    df = spark.read.schema(schema).parquet(path)
+    if since is not None:
+        df = df.filter((F.col(PARTITION_COLUMN) >= F.lit(since).cast("date")))
+    if until is not None:
+        df = df.filter((F.col(PARTITION_COLUMN) <= F.lit(until).cast("date")))
+    return bronze_scan(df)
 
 
 def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:

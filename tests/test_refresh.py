@@ -53,3 +53,15 @@ def test_progress_log_measures_stream(spark, tmp_dir):
         assert s["rows"] == 50 and s["batches"] >= 1
     finally:
         spark.streams.removeListener(log)
+
+
+def test_bronze_date_range_prunes_partitions(spark, tmp_dir):
+    from clickmart.sources.bronze import read_bronze, write_bronze
+
+    write_bronze(clickstream(spark, SF_SMALL), f"{tmp_dir}/bronze")
+    df = read_bronze(spark, f"{tmp_dir}/bronze", since="2024-01-05", until="2024-01-06")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-05" in plan
+    dates = {r.d for r in df.selectExpr("CAST(event_timestamp AS DATE) AS d").distinct().collect()}
+    assert {str(d) for d in dates} == {"2024-01-05", "2024-01-06"}
+    assert read_bronze(spark, f"{tmp_dir}/bronze").count() == 1100
