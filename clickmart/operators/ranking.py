@@ -312,3 +312,52 @@ def attach(base: DataFrame, keys: list[str], scored: DataFrame) -> DataFrame:
     right = scored.select(*[F.col(k).alias(f"_rk_j_{k}") for k in keys], *extra)
     cond = [base[k].eqNullSafe(right[f"_rk_j_{k}"]) for k in keys]
     return base.join(right, cond, "inner").drop(*[f"_rk_j_{k}" for k in keys])
+
+
+def with_ntiles(
+    df: DataFrame,
+    key: list[str],
+    specs: list[tuple[str, int, list[SortKey]]],
+    partitions: int | None = None,
+    single_task_max_rows: int | None = None,
+) -> DataFrame:
+    """Append several ``NTILE`` columns, ``specs`` = [(name, k, order), ...].
+
+    ``key`` is unique in ``df``.  A proven-small input gets all tiles from
+    Spark's windows in one single-task pass; a large one gets each tile on a
+    narrow ``key + order`` projection (bucketed path) joined back on the key.
+    """
+    n = _row_count(df)
+    if _single_task_ok(df, single_task_max_rows, n):
+        out = df
+        for name, k, order in specs:
+            out = out.withColumn(name, F.ntile(k).over(Window.orderBy(*[o.sort() for o in order])).cast("bigint"))
+        return out
+    for name, k, order in specs:
+        cols = list(dict.fromkeys(key + [o.column for o in order if isinstance(o.column, str)]))
+        tiles = global_ntile(df.select(*cols), k, order, name, partitions, single_task_max_rows=0)
+        df = attach(df, key, tiles.select(*key, name))
+    return df
+
+
+def with_ranks(
+    df: DataFrame,
+    key: list[str],
+    specs: list[tuple[str, list[SortKey]]],
+    partitions: int | None = None,
+    single_task_max_rows: int | None = None,
+) -> DataFrame:
+    """Append several ``RANK`` columns, ``specs`` = [(name, order), ...];
+    ``key`` is unique and is the tie-break of the buckets."""
+    n = _row_count(df)
+    if _single_task_ok(df, single_task_max_rows, n):
+        out = df
+        for name, order in specs:
+            out = out.withColumn(name, F.rank().over(Window.orderBy(*[o.sort() for o in order])).cast("bigint"))
+        return out
+    tie = [asc(c) for c in key]
+    for name, order in specs:
+        cols = list(dict.fromkeys(key + [o.column for o in order if isinstance(o.column, str)]))
+        ranked = global_rank(df.select(*cols), order, tie, name, partitions, single_task_max_rows=0)
+        df = attach(df, key, ranked.select(*key, name))
+    return df

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pg
 from ..functions import segments as seg
-from ..operators.ranking import asc, attach, desc, global_ntile, global_rank
+from ..operators.ranking import asc, attach, desc, global_rank, with_ntiles, with_ranks
 from ..session import cut_lineage
 from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, PAGE_VIEW, PURCHASE
 
@@ -191,10 +191,13 @@ def product_units_rank(products: DataFrame) -> DataFrame:
 
 
 def with_product_ranks(products: DataFrame) -> DataFrame:
-    """Both ranks, each computed on a narrow projection and joined back on
-    the (unique) product key."""
-    out = attach(products, PRODUCT_KEYS, product_revenue_rank(products).drop("total_revenue"))
-    return attach(out, PRODUCT_KEYS, product_units_rank(products).drop("units_sold"))
+    """Both ranks: one single-task pass for a proven-small table, otherwise
+    each on a narrow projection (bucketed) joined back on the product key."""
+    return with_ranks(
+        products,
+        PRODUCT_KEYS,
+        [("revenue_rank", [desc("total_revenue")]), ("units_rank", [desc("units_sold")])],
+    )
 
 
 def mart_product_performance(stg: DataFrame, as_of=None, sort: bool = True) -> DataFrame:
@@ -269,13 +272,8 @@ RECENCY_AS_CODED = "as_coded"  # NTILE over days ASC: the most recent get 1
 RECENCY_DOCUMENTED = "documented"  # 5 = most recent, as the README states
 
 
-def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
-    """(user_id, recency_score, frequency_score, monetary_score): three
-    NTILE(5) over the whole user table; ties are broken by user_id.
-
-    Each score is computed on a two-column projection; the three results are
-    joined on the unique user_id.
-    """
+def rfm_orders(recency: str = RECENCY_AS_CODED):
+    """The three NTILE(5) orders; ties are broken by user_id."""
     tie = asc("user_id")
     if recency == RECENCY_AS_CODED:
         r_order = [asc("days_since_last_session"), tie]
@@ -283,14 +281,24 @@ def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
         r_order = [desc("days_since_last_session"), tie]
     else:
         raise ValueError(f"unknown recency order {recency!r}")
+    return [
+        ("recency_score", 5, r_order),
+        ("frequency_score", 5, [asc("total_sessions"), tie]),
+        ("monetary_score", 5, [asc("lifetime_revenue"), tie]),
+    ]
 
-    def score(col: str, order, name: str) -> DataFrame:
-        return global_ntile(users.select("user_id", col), 5, order, name).select("user_id", name)
 
-    r = score("days_since_last_session", r_order, "recency_score")
-    f = score("total_sessions", [asc("total_sessions"), tie], "frequency_score")
-    m = score("lifetime_revenue", [asc("lifetime_revenue"), tie], "monetary_score")
-    return attach(attach(r, ["user_id"], f), ["user_id"], m)
+def with_rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
+    """Append the three scores to the (unique-user) table.  The reference
+    joins an NTILE result over the same rows back by user_id; here the scores
+    land on the same rows, through ``ranking.with_ntiles``."""
+    return with_ntiles(users, ["user_id"], rfm_orders(recency))
+
+
+def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
+    """(user_id, recency_score, frequency_score, monetary_score)."""
+    narrow = users.select("user_id", "days_since_last_session", "total_sessions", "lifetime_revenue")
+    return with_rfm_scores(narrow, recency).select("user_id", "recency_score", "frequency_score", "monetary_score")
 
 
 def with_customer_tier(scored: DataFrame) -> DataFrame:
@@ -310,7 +318,7 @@ def mart_user_behavior(sessions: DataFrame, as_of=None, recency: str = RECENCY_A
     user_id; user_id is unique here, so the scores are appended in place."""
     # the three tiles read the user table several times: materialise it once
     users = cut_lineage(user_behavior_frame(sessions, as_of))
-    out = with_customer_tier(attach(users, ["user_id"], rfm_scores(users, recency)))
+    out = with_customer_tier(with_rfm_scores(users, recency))
     out = out.withColumn("dbt_updated_at", pg.as_of_literal(as_of))
     if sort:
         out = out.orderBy(F.col("customer_score").desc_nulls_first(), F.col("lifetime_revenue").desc_nulls_first())
