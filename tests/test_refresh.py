@@ -65,3 +65,24 @@ def test_bronze_date_range_prunes_partitions(spark, tmp_dir):
     dates = {r.d for r in df.selectExpr("CAST(event_timestamp AS DATE) AS d").distinct().collect()}
     assert {str(d) for d in dates} == {"2024-01-05", "2024-01-06"}
     assert read_bronze(spark, f"{tmp_dir}/bronze").count() == 1100
+
+
+def test_command_line_jobs(spark, tmp_dir):
+    """The CLI runs ingest (files), refresh, cleanup and checks end to end."""
+    import json
+    import os
+
+    from clickmart.__main__ import main
+    from clickmart.sources.events_json import to_wire_json
+
+    src = os.path.join(tmp_dir, "in")
+    to_wire_json(clickstream(spark, SF_SMALL)).write.text(src)
+    b, r, c = (os.path.join(tmp_dir, x) for x in ("bronze", "rejects", "ckpt"))
+    main(["ingest", "--source", "text", "--input", src, "--bronze", b, "--rejects", r, "--checkpoint", c, "--available-now"], spark)
+    out = main(["refresh", "--bronze", b, "--out", os.path.join(tmp_dir, "out"), "--as-of", "2024-02-06 00:00:00"], spark)
+    assert len(out["failures"]) == 24
+    cleaned = main(["cleanup", "--bronze", b, "--out", os.path.join(tmp_dir, "clean")], spark)
+    assert cleaned["duplicate_ids_found"] == 100 and cleaned["duplicate_ids_remaining"] == 0
+    checks = main(["checks", "--bronze", b, "--as-of", "2024-02-06 00:00:00"], spark)
+    assert len(checks["checks"]) == 24
+    json.dumps(checks, default=str)
