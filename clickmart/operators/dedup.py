@@ -36,8 +36,8 @@ def _order(first: bool, columns: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if first else F.col(c).desc_nulls_first() for c in cols]
 
 
-def _keep_one(df: DataFrame, first: bool) -> DataFrame:
-    w = Window.partitionBy(KEY).orderBy(*_order(first, df.columns))
+def _keep_one(df: DataFrame, first: bool, partition: list[str] | None = None) -> DataFrame:
+    w = Window.partitionBy(*(partition or [KEY])).orderBy(*_order(first, df.columns))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -49,10 +49,16 @@ def dedup_keep_first(df: DataFrame) -> DataFrame:
 
 def dedup_keep_last(df: DataFrame) -> DataFrame:
     """Latest ingested row per ``event_id``; rows with a NULL id never match
-    each other (join semantics), so all of them are kept.  They bypass the
-    shuffle entirely, so a flood of NULL ids cannot pile up in one task."""
-    keyed = _keep_one(df.filter(F.col(KEY).isNotNull()), first=False)
-    return keyed.unionByName(df.filter(F.col(KEY).isNull()))
+    each other (join semantics), so all of them are kept.
+
+    One scan: a NULL-id row gets its own group through a per-row id, which
+    also spreads a flood of NULL ids evenly over the shuffle instead of piling
+    them into one task.  The id only has to be unique -- whichever value a
+    recomputed task assigns, every NULL-id row is still kept.
+    """
+    solo = F.when(F.col(KEY).isNull(), F.monotonically_increasing_id())
+    keyed = df.withColumn("_solo", solo)
+    return _keep_one(keyed, first=False, partition=[KEY, "_solo"]).drop("_solo")
 
 
 def duplicate_event_ids(df: DataFrame) -> DataFrame:
