@@ -22,7 +22,13 @@ cut into contiguous buckets and each bucket is numbered on its own:
 Everything is a deterministic function of the data -- the sample is chosen by
 hash, not by a random seed -- so the plan may evaluate its input once or
 several times (exchange reuse, a lost executor) and still assigns every row
-to the same bucket.  Nothing is persisted and nothing is collected.
+to the same bucket.  Nothing is persisted and no data row is collected; the
+only driver-side numbers are the input's row count and the boundaries.
+
+Callers materialise a multiply-read input first (``session.cut_lineage``).
+An input whose counted size is under a bound (``SINGLE_TASK_MAX_ROWS``) is
+ranked by Spark's own window in one task instead -- bounded work, fewer
+stages -- exactly like a size-checked broadcast.
 """
 
 from __future__ import annotations
