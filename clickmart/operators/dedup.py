@@ -52,9 +52,11 @@ def dedup_keep_last(df: DataFrame) -> DataFrame:
     each other (join semantics), so all of them are kept.
 
     One scan: a NULL-id row gets its own group through a per-row id, which
-    also spreads a flood of NULL ids evenly over the shuffle instead of piling
-    them into one task.  The id only has to be unique -- whichever value a
-    recomputed task assigns, every NULL-id row is still kept.
+    also spreads a flood of NULL ids (even identical copies) evenly over the
+    shuffle instead of piling them into one task.  The id only has to be
+    unique: it is stable when a task is recomputed over the same input split
+    (the bronze scan keeps its row order), and whichever value it takes,
+    every NULL-id row is kept, so the output rows never depend on it.
     """
     solo = F.when(F.col(KEY).isNull(), F.monotonically_increasing_id())
     keyed = df.withColumn("_solo", solo)
