@@ -12,12 +12,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import (
+    ACTIVE_MAX_DAYS,
     CUSTOMER_TIERS,
     ENGAGEMENT_LEVELS,
+    ENGAGEMENT_MIN_EVENTS,
+    FREQUENCY_MIN_SESSIONS,
     FREQUENCY_SEGMENTS,
     LIFECYCLE_STAGES,
+    LOYAL_MIN_PURCHASES,
+    MONETARY_MIN_REVENUE,
     MONETARY_SEGMENTS,
+    PROPENSITY_CAP,
+    PROPENSITY_RECENT_BONUS,
+    PROPENSITY_WEIGHTS,
+    RECENCY_MAX_DAYS,
     RECENCY_SEGMENTS,
+    RECENT_MAX_DAYS,
+    TIER_MIN_SCORE,
 )
 from .pg import col
 
@@ -29,28 +40,29 @@ def _chain(branches: list[tuple[Column, str]], otherwise: str) -> Column:
     return expr.otherwise(F.lit(otherwise))
 
 
+def _at_least(x: Column, limits: list, labels: list[str]) -> Column:
+    return _chain([(x >= lim, lab) for lim, lab in zip(limits, labels)], labels[-1])
+
+
 def frequency_segment(total_sessions="total_sessions") -> Column:
-    n = col(total_sessions)
-    a, b, c, d = FREQUENCY_SEGMENTS
-    return _chain([(n >= 10, a), (n >= 5, b), (n >= 2, c)], d)
+    return _at_least(col(total_sessions), FREQUENCY_MIN_SESSIONS, FREQUENCY_SEGMENTS)
 
 
 def monetary_segment(lifetime_revenue="lifetime_revenue") -> Column:
     r = col(lifetime_revenue)
-    a, b, c, d, e = MONETARY_SEGMENTS
-    return _chain([(r >= 500, a), (r >= 200, b), (r >= 50, c), (r > 0, d)], e)
+    branches = [(r >= lim, lab) for lim, lab in zip(MONETARY_MIN_REVENUE, MONETARY_SEGMENTS)]
+    micro, non_buyer = MONETARY_SEGMENTS[-2:]
+    return _chain(branches + [(r > 0, micro)], non_buyer)
 
 
 def recency_segment(days="days_since_last_session") -> Column:
     d = col(days)
-    a, b, c, e = RECENCY_SEGMENTS
-    return _chain([(d <= 1, a), (d <= 7, b), (d <= 30, c)], e)
+    branches = [(d <= lim, lab) for lim, lab in zip(RECENCY_MAX_DAYS, RECENCY_SEGMENTS)]
+    return _chain(branches, RECENCY_SEGMENTS[-1])
 
 
 def engagement_level(avg_events="avg_events_per_session") -> Column:
-    x = col(avg_events)
-    a, b, c, d = ENGAGEMENT_LEVELS
-    return _chain([(x >= 10, a), (x >= 5, b), (x >= 2, c)], d)
+    return _at_least(col(avg_events), ENGAGEMENT_MIN_EVENTS, ENGAGEMENT_LEVELS)
 
 
 def lifecycle_stage(
@@ -63,12 +75,12 @@ def lifecycle_stage(
     loyal, active, churned, hot, cold, browser, inactive = LIFECYCLE_STAGES
     return _chain(
         [
-            ((p >= 3) & (d <= 30), loyal),
-            ((p >= 1) & (d <= 30), active),
-            ((p >= 1) & (d > 30), churned),
-            ((ab > 0) & (d <= 7), hot),
-            ((ab > 0) & (d > 7), cold),
-            ((pv > 0) & (d <= 7), browser),
+            ((p >= LOYAL_MIN_PURCHASES) & (d <= ACTIVE_MAX_DAYS), loyal),
+            ((p >= 1) & (d <= ACTIVE_MAX_DAYS), active),
+            ((p >= 1) & (d > ACTIVE_MAX_DAYS), churned),
+            ((ab > 0) & (d <= RECENT_MAX_DAYS), hot),
+            ((ab > 0) & (d > RECENT_MAX_DAYS), cold),
+            ((pv > 0) & (d <= RECENT_MAX_DAYS), browser),
         ],
         inactive,
     )
@@ -85,15 +97,14 @@ def purchase_propensity_score(
     All terms are integer counts, so the sum is exact in BIGINT and the
     rounding is the identity.
     """
-    bonus = F.when(col(days) <= 7, F.lit(10)).otherwise(F.lit(0))
-    raw = col(page_views) * 1 + col(carts) * 5 + col(purchases) * 20 + bonus
-    return F.least(F.lit(100).cast("bigint"), raw.cast("bigint"))
+    w = PROPENSITY_WEIGHTS
+    bonus = F.when(col(days) <= RECENT_MAX_DAYS, F.lit(PROPENSITY_RECENT_BONUS)).otherwise(F.lit(0))
+    raw = col(page_views) * w["page_view"] + col(carts) * w["add_to_cart"] + col(purchases) * w["purchase"] + bonus
+    return F.least(F.lit(PROPENSITY_CAP).cast("bigint"), raw.cast("bigint"))
 
 
 def customer_tier(score="customer_score") -> Column:
-    s = col(score)
-    a, b, c, d, e = CUSTOMER_TIERS
-    return _chain([(s >= 13, a), (s >= 10, b), (s >= 7, c), (s >= 5, d)], e)
+    return _at_least(col(score), TIER_MIN_SCORE, CUSTOMER_TIERS)
 
 
 def rfm_segment(r="recency_score", f="frequency_score", m="monetary_score") -> Column:

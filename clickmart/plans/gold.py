@@ -16,7 +16,7 @@ from ..functions import pg
 from ..functions import segments as seg
 from ..operators.ranking import asc, attach, desc, global_rank, with_ntiles, with_ranks
 from ..session import cut_lineage
-from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, PAGE_VIEW, PURCHASE
+from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, NTILE_BUCKETS, PAGE_VIEW, PURCHASE
 
 SECONDS_EXACT = "decimal(38,6)"  # seconds carry microseconds: exact as decimal
 
@@ -281,10 +281,11 @@ def rfm_orders(recency: str = RECENCY_AS_CODED):
         r_order = [desc("days_since_last_session"), tie]
     else:
         raise ValueError(f"unknown recency order {recency!r}")
+    k = NTILE_BUCKETS
     return [
-        ("recency_score", 5, r_order),
-        ("frequency_score", 5, [asc("total_sessions"), tie]),
-        ("monetary_score", 5, [asc("lifetime_revenue"), tie]),
+        ("recency_score", k, r_order),
+        ("frequency_score", k, [asc("total_sessions"), tie]),
+        ("monetary_score", k, [asc("lifetime_revenue"), tie]),
     ]
 
 

@@ -268,12 +268,12 @@ def _session_durations(m: Models) -> DataFrame:
 @register(
     "daily_event_metrics",
     O.with_ctes(
-        ["daily_events"],
+        ["day_event_totals"],
         "SELECT event_date, CAST(total_events AS BIGINT) AS total_events, CAST(unique_users AS BIGINT) AS unique_users, "
         "CAST(total_sessions AS BIGINT) AS total_sessions, CAST(page_views AS BIGINT) AS page_views, "
         "CAST(add_to_carts AS BIGINT) AS add_to_carts, CAST(purchases AS BIGINT) AS purchases, "
         "CAST(total_revenue AS DOUBLE) AS total_revenue, avg_order_value, "
-        "CAST(products_sold AS BIGINT) AS products_sold, CAST(units_sold AS BIGINT) AS units_sold FROM daily_events",
+        "CAST(products_sold AS BIGINT) AS products_sold, CAST(units_sold AS BIGINT) AS units_sold FROM day_event_totals",
     ),
 )
 def _daily_events(m: Models) -> DataFrame:

@@ -93,6 +93,20 @@ FUNNEL_STAGES = [
     "Stage 3: Added to Cart",
     "Stage 4: Completed Purchase",
 ]
+
+# thresholds, highest first, each paired with the label list above
+FREQUENCY_MIN_SESSIONS = [10, 5, 2]  # >= ; else the last label
+MONETARY_MIN_REVENUE = [500, 200, 50]  # >= ; then > 0 ; else "Non-Buyer"
+RECENCY_MAX_DAYS = [1, 7, 30]  # <= ; else the last label (also NULL)
+ENGAGEMENT_MIN_EVENTS = [10, 5, 2]  # >= average events per session
+TIER_MIN_SCORE = [13, 10, 7, 5]  # >= recency + frequency + monetary score
+LOYAL_MIN_PURCHASES = 3
+ACTIVE_MAX_DAYS = 30  # lifecycle: buyers active within 30 days
+RECENT_MAX_DAYS = 7  # lifecycle leads/browsers and the propensity bonus
+PROPENSITY_WEIGHTS = {"page_view": 1, "add_to_cart": 5, "purchase": 20}
+PROPENSITY_RECENT_BONUS = 10
+PROPENSITY_CAP = 100
+NTILE_BUCKETS = 5
 # --- end of fixed values -----------------------------------------------------
 
 HOT_LEAD = LIFECYCLE_STAGES[3]
