@@ -128,13 +128,20 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # sources and ingest
 # ---------------------------------------------------------------------------
-WIRE_OUT = ", ".join("CAST(product_price AS DOUBLE) AS product_price" if c == "product_price" else c for c in WIRE_COLUMNS)
 REPAIRED_Q = (
-    "CAST(CASE WHEN event_type IN ('add_to_cart', 'purchase') AND (quantity IS NULL OR quantity <= 0) "
-    "THEN 1 ELSE quantity END AS INTEGER) AS quantity"
+    "CASE WHEN event_type IN ('add_to_cart', 'purchase') AND (quantity IS NULL OR quantity <= 0) "
+    "THEN 1 ELSE quantity END"
 )
 
 
+def _wire_out(quantity: str = "quantity") -> str:
+    typed = {"product_price": "CAST(product_price AS DOUBLE) AS product_price", "quantity": f"CAST({quantity} AS BIGINT) AS quantity"}
+    return ", ".join(typed.get(c, c) for c in WIRE_COLUMNS)
+
+
+WIRE_OUT = _wire_out()
+
+
 @register("bronze_scan", O.with_ctes(["bronze"], f"SELECT {O.BRONZE_OUT} FROM bronze"))
 def _bronze_scan(m: Models) -> DataFrame:
     return bronze_scan(m.bronze)
@@ -148,7 +155,7 @@ def _bronze_parse_json(m: Models) -> DataFrame:
 
 @register(
     "bronze_repair_quantity",
-    O.with_ctes(["bronze"], f"SELECT {O.BRONZE_OUT.replace('quantity,', REPAIRED_Q + ',')} FROM bronze"),
+    O.with_ctes(["bronze"], f"SELECT {O.bronze_out(REPAIRED_Q)} FROM bronze"),
 )
 def _bronze_repair_quantity(m: Models) -> DataFrame:
     return events_json.repair_quantity(m.bronze)
@@ -158,7 +165,7 @@ def _bronze_repair_quantity(m: Models) -> DataFrame:
     "bronze_ingest",
     O.with_ctes(
         ["bronze"],
-        f"SELECT {WIRE_OUT.replace('quantity,', REPAIRED_Q + ',')}, {O.AS_OF} AS ingestion_timestamp FROM bronze",
+        f"SELECT {_wire_out(REPAIRED_Q)}, {O.AS_OF} AS ingestion_timestamp FROM bronze",
     ),
 )
 def _bronze_ingest(m: Models) -> DataFrame:

@@ -50,3 +50,26 @@ def test_ranked_queries_on_bucketed_path(spark, con, name):
     finally:
         spark.conf.unset(THRESHOLD_CONF)
     assert r["rows_match"] and r["cols_match"] and r["hash_match"]
+
+
+SPARK_TO_SQL = {
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def test_column_types_match_oracle(spark, con):
+    """Same column names and the same types on both engines, for every query."""
+    mismatched = {}
+    for name in sorted(QUERIES):
+        sdf = QUERIES[name](spark, SF_SMALL)
+        got = {f.name: SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+        rel = con.sql(SQL[name])
+        want = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        if got != want:
+            mismatched[name] = {k: (got.get(k), want.get(k)) for k in set(got) | set(want) if got.get(k) != want.get(k)}
+    assert not mismatched, mismatched
