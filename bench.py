@@ -2,7 +2,7 @@
 
 Each query is fully evaluated into Spark's ``noop`` sink (every row computed,
 nothing collected to the driver).  One untimed warm-up run loads the JVM
-code paths; each query is then timed ``BENCH_REPEAT`` times and the best run
+code paths; each query is then timed ``BENCH_REPEAT`` (default 3) times and the best run
 is kept.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
@@ -87,7 +87,7 @@ def stream_ingest(spark, sf_dir: str, files: int = 8) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="bench")
 
