@@ -478,11 +478,11 @@ def _hot_leads(m: Models) -> DataFrame:
         SELECT CAST(e.total_events AS BIGINT) AS total_events, CAST(e.page_views AS BIGINT) AS page_views,
           CAST(e.add_to_carts AS BIGINT) AS add_to_carts, CAST(e.purchases AS BIGINT) AS purchases,
           CAST(e.total_revenue AS DOUBLE) AS total_revenue, CAST(e.unique_users AS BIGINT) AS unique_users,
-          CAST(e.total_sessions AS BIGINT) AS total_sessions, CAST(s.abandoned_carts AS BIGINT) AS abandoned_carts,
+          CAST(e.total_sessions AS BIGINT) AS total_sessions, CAST(e.abandoned_carts AS BIGINT) AS abandoned_carts,
           {O.pct('e.purchases', 'e.page_views')} AS conversion_rate,
           {O.pct('e.add_to_carts', 'e.page_views')} AS cart_rate,
           {O.pct('e.purchases', 'e.add_to_carts')} AS checkout_rate,
-          {O.pct('s.abandoned_carts', 'e.total_sessions')} AS cart_abandonment_rate,
+          {O.pct('e.abandoned_carts', 'e.total_sessions')} AS cart_abandonment_rate,
           {O.money_ratio('e.total_revenue', 'e.purchases')} AS average_order_value,
           {O.money_ratio('e.total_revenue', 'e.unique_users')} AS revenue_per_user
         FROM (SELECT COUNT(*) AS total_events,
@@ -491,8 +491,9 @@ def _hot_leads(m: Models) -> DataFrame:
                      COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
                      SUM(revenue) AS total_revenue,
                      COUNT(DISTINCT user_id) AS unique_users,
-                     COUNT(DISTINCT session_id) AS total_sessions FROM stg) e
-        JOIN (SELECT COUNT(*) FILTER (WHERE cart_abandoned) AS abandoned_carts FROM sessions) s ON TRUE
+                     COUNT(DISTINCT session_id) AS total_sessions,
+                     (SELECT COUNT(*) FILTER (WHERE cart_abandoned) FROM sessions) AS abandoned_carts
+              FROM stg) e
         """,
     ),
 )
