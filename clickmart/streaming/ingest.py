@@ -4,8 +4,8 @@ The same ``sources.events_json`` functions run per micro-batch, so stream and
 batch produce identical rows.  The sink is ``foreachBatch``:
 
 * good rows go to ``<bronze>/batch_id=<n>`` and rejects (with the raw text and
-  a reason) to ``<rejects>/batch_id=<n>``, each written with ``overwrite`` of
-  that one folder.  A batch that fails after a partial write is replayed under
+  a reason) to ``<rejects>/batch_id=<n>`` when there are any, each written
+  with ``overwrite`` of that one folder.  A batch that fails after a partial write is replayed under
   the same id after restart and replaces its own output: exactly-once files on
   top of the at-least-once source;
 * the batch is parsed once, persisted for the two writes and released
@@ -73,22 +73,31 @@ class BronzeBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         parsed = events_json.parse_with_reason(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, rejects = events_json.ingest_parsed(parsed, self.as_of)
+            # message and reject counts are observed during the bronze write:
+            # no separate count() pass, and no rejects job when there are none
             obs = Observation(f"bronze_batch_{batch_id}")
-            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp")).observe(
-                obs, F.count(F.lit(1)).alias("rows")
+            observed = parsed.observe(
+                obs,
+                F.count(F.lit(1)).alias("messages"),
+                F.count_if(F.col(events_json.REASON).isNotNull()).alias("rejects"),
             )
+            good, _ = events_json.ingest_parsed(observed, self.as_of)
+            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp"))
             (
                 good.write.mode("overwrite")
                 .partitionBy(PARTITION_COLUMN)
                 .parquet(f"{self.bronze_path}/batch_id={batch_id}")
             )
-            rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
+            metrics = obs.get
+            rejected = int(metrics.get("rejects", 0))
+            if rejected:
+                _, rejects = events_json.split_parsed(parsed)
+                rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
             if self.jdbc_options:
                 good.drop(PARTITION_COLUMN).write.format("jdbc").options(**self.jdbc_options).mode("append").save()
-            rows = int(obs.get.get("rows", 0))
-            self.last_counts[batch_id] = {"rows": rows}
-            log.info("batch %s: %s events written", batch_id, rows)
+            rows = int(metrics.get("messages", 0)) - rejected
+            self.last_counts[batch_id] = {"rows": rows, "rejects": rejected}
+            log.info("batch %s: %s events written, %s rejected", batch_id, rows, rejected)
         except Exception:
             log.exception("batch %s failed; it is replayed on restart", batch_id)
             raise
