@@ -28,16 +28,19 @@ from . import gold, quality, reports, silver
 
 
 def canonical(df: DataFrame) -> DataFrame:
-    """DECIMAL -> DOUBLE, INT/SMALLINT/TINYINT -> BIGINT (comparison types)."""
-    cols = []
+    """DECIMAL -> DOUBLE, INT/SMALLINT/TINYINT -> BIGINT (comparison types),
+    as one projection (or none when every column already has its type)."""
+    exprs, changed = [], False
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        target = None
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            target = "DOUBLE"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            target = "BIGINT"
+        name = f"`{f.name}`"
+        exprs.append(f"CAST({name} AS {target}) AS {name}" if target else name)
+        changed = changed or target is not None
+    return df.selectExpr(*exprs) if changed else df
 
 
 @dataclass
