@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pg
 from ..functions import segments as seg
-from ..operators.ranking import asc, attach, desc, global_rank, with_ntiles, with_ranks
+from ..operators.ranking import asc, desc, global_rank, with_ntiles, with_ranks
 from ..session import cut_lineage
 from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, NTILE_BUCKETS, PAGE_VIEW, PURCHASE
 
