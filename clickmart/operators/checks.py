@@ -5,9 +5,10 @@ NULL handling follows the public definitions of the five test kinds:
 pass on NULL results, ``not_null`` fails on them.  The failure count of a
 check is the number of rows its violations query returns.
 
-Group-based checks (unique, accepted values, unique combination) are one
-partial-aggregated shuffle each; row-level checks (not null, expression) of one
-model are counted together in a single pass by :func:`row_check_counts`.
+For a suite, :func:`model_check_counts` evaluates every check of one model
+in a single scan and a single shuffle: the group-based checks (unique,
+accepted values, unique combination) as grouping sets of one aggregation,
+the row-level checks (not null, expression) as counts in its whole-table set.
 """
 
 from __future__ import annotations
@@ -118,7 +119,43 @@ def row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(F.array(*structs).alias("r")).select(F.inline("r"))
 
 
-def group_check_count(df: DataFrame, check: Check) -> DataFrame:
-    """Failure count of one group-based check, as one summary row."""
-    v = violations(df, check)
-    return v.agg(F.array(_summary_row(check, F.count(F.lit(1)))).alias("r")).select(F.inline("r"))
+GROUP_KINDS = (UNIQUE, ACCEPTED_VALUES, UNIQUE_COMBINATION)
+
+
+def model_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Every check of one model in one scan and one shuffle.
+
+    The group-based checks need counts per value of their columns; one
+    ``GROUPING SETS`` aggregation produces all of them at once (plus the
+    whole-table set, which carries the row-level counts), and
+    ``grouping_id()`` tells the sets apart.  A small second aggregate turns
+    the groups into one failure count per check.
+    """
+    group_checks = [c for c in checks if c.kind in GROUP_KINDS]
+    if not group_checks:
+        return row_check_counts(df, checks)
+    row_checks = [c for c in checks if c.kind not in GROUP_KINDS]
+    sets: list[tuple[str, ...]] = list(dict.fromkeys(tuple(c.columns) for c in group_checks))
+    cols = list(dict.fromkeys(col for s in sets for col in s))
+
+    def gid(s: tuple[str, ...]) -> int:
+        return sum(1 << (len(cols) - 1 - j) for j, col in enumerate(cols) if col not in s)
+
+    aggs = [F.count(F.lit(1)).alias("_ck_n"), F.grouping_id().alias("_ck_gid")]
+    aggs += [F.count_if(c.predicate_failing()).alias(f"_ck_r{i}") for i, c in enumerate(row_checks)]
+    groups = df.groupingSets([list(s) for s in sets] + [[]], *cols).agg(*aggs)
+
+    g, n = F.col("_ck_gid"), F.col("_ck_n")
+    results = []
+    for c in checks:
+        if c.kind == UNIQUE:
+            fail = F.count_if((g == gid(c.columns)) & F.col(c.columns[0]).isNotNull() & (n > 1))
+        elif c.kind == ACCEPTED_VALUES:
+            fail = F.count_if((g == gid(c.columns)) & ~F.col(c.columns[0]).isin(*c.arg))
+        elif c.kind == UNIQUE_COMBINATION:
+            fail = F.count_if((g == gid(c.columns)) & (n > 1))
+        else:
+            i = row_checks.index(c)
+            fail = F.coalesce(F.sum(F.when(g == gid(()), F.col(f"_ck_r{i}"))), F.lit(0))
+        results.append(_summary_row(c, fail))
+    return groups.agg(F.array(*results).alias("r")).select(F.inline("r"))

@@ -13,8 +13,7 @@ from ..operators.checks import (
     UNIQUE,
     UNIQUE_COMBINATION,
     Check,
-    group_check_count,
-    row_check_counts,
+    model_check_counts,
     violations,
 )
 from ..schema import CUSTOMER_TIERS, VALID_EVENT_TYPES
@@ -55,8 +54,6 @@ SUITE: list[Check] = [
 ]
 # --- end of fixed values ------------------------------------------------------
 
-ROW_LEVEL = (NOT_NULL, EXPRESSION_IS_TRUE)
-
 
 def checks_of(kinds: list[str] | None = None, models: list[str] | None = None) -> list[Check]:
     return [c for c in SUITE if (kinds is None or c.kind in kinds) and (models is None or c.model in models)]
@@ -65,18 +62,15 @@ def checks_of(kinds: list[str] | None = None, models: list[str] | None = None) -
 def check_summary(models: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
     """(test_name, model, column_name, failures) for each check.
 
-    Row-level checks of one model share one aggregate pass; each group-based
-    check is one aggregation.  Every part is a one-row-per-check result.
+    All checks of one model share one scan and one shuffle
+    (``operators.checks.model_check_counts``); the parts are one row per
+    check.
     """
     checks = SUITE if checks is None else checks
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
-        df = models[model]
         mine = [c for c in checks if c.model == model]
-        row_level = [c for c in mine if c.kind in ROW_LEVEL]
-        if row_level:
-            parts.append(row_check_counts(df, row_level))
-        parts.extend(group_check_count(df, c) for c in mine if c.kind not in ROW_LEVEL)
+        parts.append(model_check_counts(models[model], mine))
     return reduce(DataFrame.unionByName, parts)
 
 
