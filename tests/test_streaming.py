@@ -86,3 +86,36 @@ def test_stream_output_equals_batch_output(spark, tmp_dir):
     batch, _ = ingest(spark.read.text(src), as_of="2024-02-06 00:00:00")
     assert streamed.count() == batch.count() == 1100
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_append_mode_windows_close_with_the_watermark(spark, tmp_dir):
+    """A window is emitted once the watermark passes it; an event behind the
+    watermark is dropped instead of reopening the window.
+
+    Spark judges lateness against the watermark of the previous batch, so
+    the straggler arrives two batches after the event that moved it.
+    """
+    from clickmart.sources.events_json import parse_events
+
+    src = os.path.join(tmp_dir, "in")
+    batches = [
+        ("a.json", [_event(1, 1), _event(2, 1), _event(3, 2), _event(4, 30)]),  # watermark -> 10:20
+        ("b.json", [_event(5, 31)]),  # 10:01 and 10:02 windows close here
+        ("c.json", [_event(6, 1)]),  # straggler for 10:01: dropped
+    ]
+    for i, (name, evs) in enumerate(batches):
+        _write_lines(src, name, evs)
+        # the file source takes files in modification-time order
+        os.utime(os.path.join(src, name), (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    good, _ = parse_events(read_events(spark, "text", src, maxFilesPerTrigger=1))
+    q = (
+        live_metrics(good, "1 minute", watermark="10 minutes")
+        .writeStream.format("memory")
+        .queryName("live_append")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    rows = {r.window_start.minute: r.events for r in spark.table("live_append").collect()}
+    assert rows == {1: 2, 2: 1}  # 10:30 and 10:31 stay open; the straggler is not counted
