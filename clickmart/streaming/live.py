@@ -3,7 +3,10 @@
 The stream carries zone-less timestamps; watermarks need ``TIMESTAMP``, so
 the event time is cast with the session time zone (UTC in our sessions).
 State is bounded by the watermark: a window or an event id is forgotten once
-the watermark passes it.
+the watermark passes it.  Spark closes windows with the watermark of the
+current batch but judges an input row late against the watermark of the
+previous batch, so a straggler is dropped from the second batch after the
+event that moved the watermark on.
 """
 
 from __future__ import annotations
