@@ -40,18 +40,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local runs and tests) is a private
-    temporary folder set; on a cluster the configured shared folder is used.
+    The folder the context already uses (Spark sets it at startup from
+    ``spark.checkpoint.dir``) is kept; a configured folder is applied once;
+    only when the session has none (local runs and tests) is a private
+    temporary folder set.
     """
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
     local = tempfile.mkdtemp(prefix="clickmart-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
