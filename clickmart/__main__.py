@@ -6,6 +6,7 @@
     python -m clickmart refresh --bronze PATH --out PATH [--as-of TS] [--no-checks]
     python -m clickmart cleanup --bronze PATH --out PATH
     python -m clickmart checks  --bronze PATH [--as-of TS]
+    python -m clickmart plan    --query NAME --tables DIR   # formatted physical plan
 
 The session comes from the environment (``spark-submit`` settings, including
 ``spark.checkpoint.dir``); nothing here sets cluster configuration.
@@ -14,6 +15,8 @@ The session comes from the environment (``spark-submit`` settings, including
 from __future__ import annotations
 
 import argparse
+import contextlib
+import io
 import json
 import sys
 
@@ -48,6 +51,10 @@ def _parser() -> argparse.ArgumentParser:
     chk = sub.add_parser("checks", help="run the 24 checks and print the summary")
     chk.add_argument("--bronze", required=True)
     chk.add_argument("--as-of", default=None)
+
+    pln = sub.add_parser("plan", help="print the physical plan of a registered query")
+    pln.add_argument("--query", required=True)
+    pln.add_argument("--tables", required=True, help="directory with the driver tables")
     return p
 
 
@@ -57,6 +64,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     from .sources.bronze import read_bronze
 
+    if args.cmd == "plan":
+        from .plans.registry import run
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            run(args.query, spark, args.tables).explain("formatted")
+        text = buf.getvalue()
+        print(text)
+        return {"plan": text}
     if args.cmd == "ingest":
         from .streaming.ingest import read_events, run_ingest
 

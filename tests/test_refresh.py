@@ -86,3 +86,10 @@ def test_command_line_jobs(spark, tmp_dir):
     checks = main(["checks", "--bronze", b, "--as-of", "2024-02-06 00:00:00"], spark)
     assert len(checks["checks"]) == 24
     json.dumps(checks, default=str)
+
+
+def test_command_line_plan(spark):
+    from clickmart.__main__ import main
+
+    out = main(["plan", "--query", "stg_clickstream_events", "--tables", SF_SMALL], spark)
+    assert "WindowGroupLimit" in out["plan"] and "ReadSchema" in out["plan"]
