@@ -45,9 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only when the session has none (local runs and tests) is a private
     temporary folder set.
     """
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
@@ -84,8 +84,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not configured and not current.isDefined() and not _is_local(spark):
+    current = spark.sparkContext.getCheckpointDir()
+    if not configured and not current and not _is_local(spark):
         return df
     ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
