@@ -119,3 +119,18 @@ def test_append_mode_windows_close_with_the_watermark(spark, tmp_dir):
     q.awaitTermination()
     rows = {r.window_start.minute: r.events for r in spark.table("live_append").collect()}
     assert rows == {1: 2, 2: 1}  # 10:30 and 10:31 stay open; the straggler is not counted
+
+
+def test_latency_and_pruned_reads_over_the_stream_layout(spark, tmp_dir):
+    """Per-batch ingest latency, and date-range reads of the stream's bronze
+    folders (batch_id=N/event_date=D) prune to the requested days."""
+    from clickmart.streaming.live import ingest_latency_per_batch
+
+    src = os.path.join(tmp_dir, "in")
+    evs = [dict(_event(i, 0), event_id=f"D{i}", event_timestamp=f"2024-01-0{i}T10:00:00") for i in range(1, 6)]
+    _write_lines(src, "a.json", evs)
+    run_until_caught_up(read_events(spark, "text", src), f"{tmp_dir}/b", f"{tmp_dir}/r", f"{tmp_dir}/c", as_of="2024-01-06 10:00:00")
+    two_days = read_bronze(spark, f"{tmp_dir}/b", since="2024-01-02", until="2024-01-03")
+    assert sorted(r.event_id for r in two_days.collect()) == ["D2", "D3"]
+    lat = ingest_latency_per_batch(read_bronze(spark, f"{tmp_dir}/b")).collect()[0]
+    assert lat.events == 5 and lat.max_latency_seconds == 5 * 86400.0 and lat.avg_latency_seconds == 3 * 86400.0
