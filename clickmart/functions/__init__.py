@@ -1 +1 @@
-"""functions of clickmart."""
+"""Column helpers: PostgreSQL semantics and the segment CASE chains."""

@@ -1 +1 @@
-"""operators of clickmart."""
+"""Operators the models need beyond built-ins: dedup, global ranking, data checks."""

@@ -1 +1 @@
-"""plans of clickmart."""
+"""Models and jobs: silver, gold, reports, check suite, refresh, cleanup, registry."""

@@ -1 +1 @@
-"""sources of clickmart."""
+"""Inputs: bronze derived from the driver tables, bronze Parquet, JSON events."""

@@ -1 +1 @@
-"""streaming of clickmart."""
+"""Structured Streaming: ingest sink, live metrics, stream dedup, progress log."""
