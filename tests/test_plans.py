@@ -53,3 +53,11 @@ def test_bucketed_ranking_has_no_single_partition_window_over_data(spark):
     # per-bucket counts
     assert "windowspecdefinition(_rk_bucket" in p
     assert "ntile(5)" not in p
+
+
+def test_ranking_input_is_materialised_once(spark):
+    """The user mart ranks a checkpointed table: its plan starts from the
+    checkpoint, not from a re-derivation of the events."""
+    p = plan(run("mart_user_behavior", spark, SF_SMALL))
+    assert "Scan ExistingRDD" in p or "LogicalRDD" in p
+    assert "events.parquet" not in p
