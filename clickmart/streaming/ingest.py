@@ -8,9 +8,8 @@ batch produce identical rows.  The sink is ``foreachBatch``:
   with ``overwrite`` of that one folder.  A batch that fails after a partial write is replayed under
   the same id after restart and replaces its own output: exactly-once files on
   top of the at-least-once source;
-* the batch is parsed once, persisted for the two writes and released
-  afterwards, and its row count is observed during the write (no separate
-  ``count()`` pass);
+* the batch is parsed once for the bronze write, and its message and reject
+  counts are observed during that write (no separate ``count()`` pass);
 * the engine calls the sink only for batches that brought data, so there is
   no emptiness probe (an extra job per batch).
 
@@ -22,7 +21,6 @@ from __future__ import annotations
 
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -71,7 +69,10 @@ class BronzeBatchWriter:
         self.last_counts: dict[int, dict[str, int]] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = events_json.parse_with_reason(batch, "value").persist(StorageLevel.MEMORY_AND_DISK)
+        # No persist: the bronze write is normally the only pass over the
+        # batch; the rejects write (a second parse) only runs when there are
+        # rejects.
+        parsed = events_json.parse_with_reason(batch, "value")
         try:
             # message and reject counts are observed during the bronze write:
             # no separate count() pass, and no rejects job when there are none
@@ -101,8 +102,6 @@ class BronzeBatchWriter:
         except Exception:
             log.exception("batch %s failed; it is replayed on restart", batch_id)
             raise
-        finally:
-            parsed.unpersist()
 
 
 def start_ingest(
