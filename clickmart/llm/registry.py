@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from clickmart.llm import kk_shards, mph_dedup, url_rules
+from clickmart.llm import bwt_dedup, harmonic_pack, kk_shards, mph_dedup, nbsvm, pii, token_counts, url_rules
 
 QUERIES = {
     "op1_mph_dedup": mph_dedup.query,
+    "op2_nbsvm": nbsvm.query,
     "op3_kk_shards": kk_shards.query,
     "op4_url_rules": url_rules.query,
+    "op5_harmonic_pack": harmonic_pack.query,
+    "op6_token_counts": token_counts.query,
+    "op8_pii": pii.query,
+    "op9_bwt_dedup": bwt_dedup.query,
 }
 
 SQL = {
