@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickmart.llm import bwt_dedup, harmonic_pack, kk_shards, mph_dedup, nbsvm, pii, token_counts, url_rules
+from clickmart.llm import bwt_dedup, harmonic_pack, kk_shards, mph_dedup, nbsvm, ngram_join, pii, token_counts, url_rules
 
 QUERIES = {
     "op1_mph_dedup": mph_dedup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_token_counts": token_counts.query,
     "op8_pii": pii.query,
     "op9_bwt_dedup": bwt_dedup.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 SQL = {
