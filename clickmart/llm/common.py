@@ -55,3 +55,22 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, total
     few = F.broadcast(classes.filter(hot))
     many = classes.filter(~hot)
     return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(many, key))
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is in ``dropped`` (column ``key``).
+
+    Up to ``most`` keys (8 bytes each) are broadcast, so that the texts stay where they are; more
+    are joined by shuffle.
+    """
+    dropped = materialise(dropped.select("key").distinct(), "dropped").withColumnRenamed("key", "_llm_dropped")
+    if dropped.count() <= most:
+        dropped = F.broadcast(dropped)
+    columns = docs.columns
+    keyed = docs.withColumn("_llm_key", row_key())
+    return keyed.join(dropped, F.col("_llm_key") == F.col("_llm_dropped"), "left_anti").select(*columns)
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A 64-bit hash of id and text, by which rows are told apart where ids may be null or repeat."""
+    return F.xxhash64(F.col(id_col), text_or_empty(text_col))

@@ -70,20 +70,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     ``benchmark``: item_id, text.  Of several windows the most similar, then first, is returned.
     """
     items = benchmark.select("item_id", _words("text").alias("words")).select("item_id", F.size("words").alias("long"), F.expr(SHINGLES).alias("own"))
-    items = items.filter(F.size("own") > 0).dropDuplicates(["item_id", "own"]).withColumn("item", F.xxhash64("item_id", "own"))
+    items = items.filter(F.col("long") >= SHINGLE).dropDuplicates(["item_id", "own"]).withColumn("item", F.xxhash64("item_id", "own"))
     need = F.ceil(F.lit(2 * threshold / (1 + threshold)) * F.size("own") - 1e-9).cast("int")
     items = materialise(items.withColumn("need", need).withColumn("fingerprint", F.expr(FINGERPRINT)), "items")
     shingles = items.select("item", "long", "need", F.explode(F.array_distinct("own")).alias("hash"))
 
     rows = docs.select(F.xxhash64(F.col(id_col), text_or_empty(text_col)).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     hashed = rows.select("rid", _words("text").alias("words")).select("rid", F.size("words").alias("size"), F.expr(SHINGLES).alias("own"))
-    hits = hashed.select("rid", "size", F.posexplode("own").alias("at", "hash")).join(_small(shingles, shingles.count()), "hash")
+    # outer: an inner explode adds a filter on the array's size, which would compute the array again below
+    hits = hashed.select("rid", "size", F.posexplode_outer("own").alias("at", "hash")).join(_small(shingles, shingles.count()), "hash")
     hits = hits.groupBy("rid", "item").agg(F.sort_array(F.collect_set("at")).alias("at"), F.first("size").alias("size"), F.first("long").alias("long"), F.first("need").alias("need"))
     hits = hits.filter(F.size("at") >= F.col("need"))
     starts = f"""array_union(
       transform(filter(sequence(0, size(at) - need), j -> at[j + need - 1] <= at[j] + long - {SHINGLE}), j -> greatest(0, least(at[j], size - long))),
       CASE WHEN at[size(at) - 1] >= size - long THEN array(greatest(0, size - long)) ELSE array() END)"""
-    windows = hits.select("rid", "item", "long", F.explode(F.array_distinct(F.expr(starts))).alias("start"))
+    windows = hits.select("rid", "item", "long", F.explode_outer(F.array_distinct(F.expr(starts))).alias("start")).filter(F.col("start").isNotNull())
     windows = materialise(windows, "windows")
     per_row = windows.groupBy("rid").agg(F.collect_set(F.struct("item", "long", "start")).alias("windows"))
 
@@ -92,7 +93,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     found = found.select("doc_id", "row", "shingles", F.explode("windows").alias("w")).select("doc_id", "row", F.col("w.item").alias("item"), "w.long", "w.start", F.expr(f"slice(shingles, w.start + 1, w.long - {SHINGLE - 1})").alias("own"))
     found = materialise(found.withColumn("fingerprint", F.expr(FINGERPRINT)), "fingerprints")
 
-    cut = F.explode(F.expr(_blocks(radius))).alias("b")
+    cut = F.explode_outer(F.expr(_blocks(radius))).alias("b")
     left = found.select("row", "item", "start", "fingerprint", cut).select("row", "item", "start", "fingerprint", "b.block", "b.value")
     right = items.select("item", F.col("fingerprint").alias("item_print"), cut).select("item", "item_print", "b.block", "b.value")
     bits = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))).alias("differing_bits")

@@ -24,6 +24,8 @@ from clickmart.llm.common import SPACES, join_classes, materialise, text_or_empt
 
 #: Distinct digests of a bucket, about.
 BUCKET_DIGESTS = 32_768
+#: Dropped rows (id and digest, about 80 bytes) up to which they are broadcast; more are joined by shuffle.
+BROADCAST_LOST = 500_000
 #: Positions of a level for each digest that reaches it.
 GAMMA = 2.0
 
@@ -33,7 +35,8 @@ INDEX = "bucket long, n long, sizes array<long>, bits array<binary>, digests bin
 
 def _mixed(words: np.ndarray, level: int) -> np.ndarray:
     """A 64-bit hash of the digests (as four words each) for a level."""
-    h = words[:, level % 4] + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15) + (words[:, (level + 1) % 4] >> np.uint64(7))
+    seed = np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    h = words[:, level % 4] + seed + (words[:, (level + 1) % 4] >> np.uint64(7))
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
@@ -167,6 +170,25 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str =
     return joined.select("doc_id", "keep_id", F.col("rows").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def keep_winners(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` per group of equal texts, with all its columns."""
+    judged = materialise(exact_dedup(docs).select("doc_id", "kept", "text_sha256"), "judged")
+    columns = docs.columns
+    sha = F.sha2(F.translate(text_or_empty("text"), SPACES, ""), 256)
+    keyed = docs.withColumn("_llm_sha", sha)
+    lost = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_llm_id"), F.col("text_sha256").alias("_llm_of")).distinct()
+    lost = materialise(lost, "lost")
+    n_lost = lost.count()
+    same = F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_sha") == F.col("_llm_of"))
+    kept = keyed.join(F.broadcast(lost) if n_lost <= BROADCAST_LOST else lost, same, "left_anti")
+    # rows repeated with id and text: all are the winner; one stays
+    again = judged.filter("kept").groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("text_sha256").alias("_llm_sha"))
+    again = materialise(again, "again")
+    if again.count():
+        kept = kept.join(again, "_llm_sha", "left_anti").unionByName(kept.join(again, "_llm_sha", "left_semi").dropDuplicates(["_llm_sha"]))
+    return kept.select(*columns)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

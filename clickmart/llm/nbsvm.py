@@ -134,14 +134,18 @@ def logistic(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple
     return float(theta[0]), float(theta[1])
 
 
+def _scores(texts: pa.Array, model: tuple) -> np.ndarray:
+    ratios, weights, offset, slope, shift = model
+    mark = np.zeros(FEATURES, np.int32)
+    m = np.array([margin(features(t.as_py() or "", mark), weights, ratios, offset) for t in texts], dtype=np.float64)
+    return 1 / (1 + np.exp(-np.clip(slope * m + shift, -700, 700)))
+
+
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratios, weights, offset, slope, shift = model.value
-        mark = np.zeros(FEATURES, np.int32)
         for batch in batches:
-            m = np.array([margin(features(t.as_py() or "", mark), weights, ratios, offset) for t in batch.column("text")])
-            score = 1 / (1 + np.exp(-np.clip(slope * m + shift, -700, 700)))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64())], names=["doc_id", "held_out", "score"])
+            score = pa.array(_scores(batch.column("text"), model.value), pa.float64())
+            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), score], names=["doc_id", "held_out", "score"])
 
     return run
 
@@ -191,6 +195,20 @@ def score(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str =
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_accepted(docs: DataFrame, model: tuple, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that the model accepts, with all their columns; no shuffle."""
+    ratios, weights, offset, slope, shift = model
+    shared = docs.sparkSession.sparkContext.broadcast((ratios.astype("<f4"), weights.astype("<f4"), offset, slope, shift))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = docs_columns.index(text_col)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(at), shared.value) >= threshold))
+
+    docs_columns = docs.columns
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

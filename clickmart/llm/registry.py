@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickmart.llm import bwt_dedup, harmonic_pack, kk_shards, mph_dedup, nbsvm, ngram_join, pii, token_counts, url_rules
+from clickmart.llm import bwt_dedup, decontaminate, harmonic_pack, kk_shards, mph_dedup, nbsvm, ngram_join, pii, token_counts, url_rules
 
 QUERIES = {
     "op1_mph_dedup": mph_dedup.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_url_rules": url_rules.query,
     "op5_harmonic_pack": harmonic_pack.query,
     "op6_token_counts": token_counts.query,
+    "op7_decontaminate": decontaminate.query,
     "op8_pii": pii.query,
     "op9_bwt_dedup": bwt_dedup.query,
     "op10_ngram_join": ngram_join.query,
