@@ -30,12 +30,12 @@ from tokenizers import Tokenizer
 #: Bytes of text (code points, to be exact) and documents of a block.
 BLOCK_CHARS = 12_000_000
 BLOCK_DOCS = 65_535
-#: Occurrences that a task sums before it passes them on.
-SUM_AT = 4_000_000
 
-LISTS = "key string, block long, row int, doc_id long, n_bytes long, tokens long, found binary"
-SUMS = "block long, row int, doc_id long, n_bytes long, tokens long"
-ARROW = pa.schema([("key", pa.string()), ("block", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("tokens", pa.int64()), ("found", pa.binary())])
+#: Begins the key of a block's documents; no pre-token does, as none has letters on both sides of a blank.
+HEAD = "documents of block "
+LISTS = "key string, block long, found binary"
+ARROW = pa.schema([("key", pa.string()), ("block", pa.int64()), ("found", pa.binary())])
+COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
 @functools.lru_cache(maxsize=2)
@@ -72,13 +72,10 @@ def _block(block: int, doc_ids: list, sizes: list[int], special: list[int], word
     counts = np.array([known.get(w, 0) for w in names], dtype=np.int64)
     own = counts[number] if len(number) else np.empty(0, np.int64)
     tokens = np.bincount(doc, weights=own, minlength=len(found)).astype(np.int64) + np.array(special, dtype=np.int64)
-    n = len(found)
-    yield pa.record_batch(
-        [
-            pa.array([f"\0{block}-{i}" for i in range(n)]), pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)),
-            pa.array(doc_ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens), pa.nulls(n, pa.binary()),
-        ], schema=ARROW,
-    )
+    # the block's documents: id, null or not, bytes, tokens so far
+    ids = np.array([0 if i is None else i for i in doc_ids], dtype="<i8")
+    head = np.stack([ids, np.array([i is None for i in doc_ids], "<i8"), np.array(sizes, "<i8"), tokens.astype("<i8")])
+    yield pa.record_batch([pa.array([f"{HEAD}{block}"]), pa.array([block]), pa.array([head.tobytes()], pa.binary())], schema=ARROW)
     open_ = own == 0
     number, doc = number[open_], doc[open_].astype("<u2")
     order = np.argsort(number, kind="stable")
@@ -91,8 +88,7 @@ def _block(block: int, doc_ids: list, sizes: list[int], special: list[int], word
         m = len(s)
         offsets = np.r_[s, e[-1]] * 2 - s[0] * 2
         lists = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data[2 * s[0] : 2 * e[-1]])])
-        none = pa.nulls(m, pa.int64())
-        yield pa.record_batch([pa.array([names[i] for i in number[s].tolist()]), pa.array(np.full(m, block)), pa.nulls(m, pa.int32()), none, none, none, lists], schema=ARROW)
+        yield pa.record_batch([pa.array([names[i] for i in number[s].tolist()]), pa.array(np.full(m, block)), lists], schema=ARROW)
 
 
 def _inverted(pattern: str, specials: list[str], known):
@@ -124,40 +120,22 @@ def _inverted(pattern: str, specials: list[str], known):
 def _counted(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [k for k, doc in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if not doc]
-            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(count_pieces(path, texts), pa.int64())], names=["key", "pieces"])
+            yield pa.record_batch([batch.column("key"), pa.array(count_pieces(path, batch.column("key").to_pylist()), pa.int64())], names=["key", "pieces"])
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums per document of what the task has joined; rows of documents pass through."""
-    names = ["block", "row", "doc_id", "n_bytes", "tokens"]
-    held, size = [], 0
-
-    def flush() -> pa.RecordBatch:
-        block, row, tokens = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((row, block))
-        block, row, tokens = block[order], row[order], tokens[order]
-        start = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (row[1:] != row[:-1])])
-        none = pa.nulls(len(start), pa.int64())
-        return pa.record_batch([pa.array(block[start]), pa.array(row[start].astype(np.int32)), none, none, pa.array(np.add.reduceat(tokens, start))], names=names)
-
-    for batch in batches:
-        docs = batch.filter(batch.column("found").is_null())
-        if docs.num_rows:
-            yield docs.select(names)
-        lists = batch.filter(batch.column("found").is_valid())
-        if lists.num_rows:
-            found = lists.column("found").to_pylist()
-            n = np.array([len(x) // 2 for x in found])
-            held.append((np.repeat(lists.column("block").to_numpy(), n), np.frombuffer(b"".join(found), "<u2"), np.repeat(lists.column("pieces").to_numpy(zero_copy_only=False), n)))
-            size += int(n.sum())
-        if size >= SUM_AT:
-            yield flush()
-            held, size = [], 0
-    if held:
-        yield flush()
+def _summed(joined: pa.Table) -> pa.Table:
+    """The documents of a block with their sums."""
+    found, head = joined.column("found").to_pylist(), joined.column("head").to_pylist()
+    at = head.index(True)
+    ids, none, sizes, tokens = np.frombuffer(found[at], "<i8").reshape(4, -1)
+    lists = [x for x, h in zip(found, head, strict=True) if not h]
+    pieces = joined.column("pieces").to_numpy()[~np.array(head)]
+    docs = np.frombuffer(b"".join(lists), "<u2")
+    weights = np.repeat(pieces, [len(x) // 2 for x in lists])
+    tokens = tokens + np.bincount(docs, weights=weights, minlength=len(ids)).astype(np.int64)
+    return pa.table([pa.array(ids, pa.int64(), mask=none == 1), pa.array(sizes), pa.array(tokens)], schema=COUNTS)
 
 
 def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,15 +149,11 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id
     lists = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_inverted(pattern, specials, known), LISTS)
     lists = lists.repartition("key")
     # every column is used here as below, so that both read the same exchange
-    distinct = lists.groupBy("key").agg(
-        (F.max("row").isNotNull() | F.max("doc_id").isNotNull() | F.max("n_bytes").isNotNull() | F.max("tokens").isNotNull()).alias("doc"),
-        F.max("block").alias("block"), F.max(F.octet_length("found")).alias("most"),
-    )
-    pieces = distinct.select("key", "doc", "block", "most").mapInArrow(_counted(path), "key string, pieces long")
-    joined = lists.join(pieces, "key", "left").select("block", "row", "doc_id", "n_bytes", "tokens", "found", "pieces")
-    sums = joined.mapInArrow(_summed, SUMS).groupBy("block", "row")
-    sums = sums.agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
-    return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    distinct = lists.groupBy("key").agg(F.max("block").alias("block"), F.max(F.octet_length("found")).alias("most"))
+    pieces = distinct.mapInArrow(_counted(path), "key string, pieces long")
+    joined = lists.join(pieces, "key").select("block", F.col("key").startswith(HEAD).alias("head"), "found", "pieces")
+    sums = joined.groupBy("block").applyInArrow(_summed, "doc_id long, n_bytes long, n_tokens long")
+    return sums.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
