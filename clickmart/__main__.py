@@ -8,6 +8,8 @@
     python -m clickmart checks  --bronze PATH [--as-of TS]
     python -m clickmart plan    --query NAME --tables DIR   # formatted physical plan
 
+A query with ranks or tiles sorts its table before its plan is known, so ``plan`` runs those jobs.
+
 The session comes from the environment (``spark-submit`` settings, including
 ``spark.checkpoint.dir``); nothing here sets cluster configuration.
 """
@@ -36,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--rejects", required=True)
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--trigger", default="5 seconds")
+    ing.add_argument("--option", action="append", default=[], metavar="K=V", help="source option, such as maxOffsetsPerTrigger=100000 (repeatable)")
+    ing.add_argument("--jdbc", action="append", default=[], metavar="K=V", help="append to a database, too: url, dbtable, user, password, driver (repeatable)")
     ing.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
     ref = sub.add_parser("refresh", help="rebuild silver and gold from bronze, run the checks")
@@ -58,6 +62,14 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _pairs(given: list[str]) -> dict[str, str]:
+    """``["k=v", ...]`` as a dict."""
+    bad = [x for x in given if "=" not in x]
+    if bad:
+        raise SystemExit(f"not K=V: {', '.join(bad)}")
+    return dict(x.split("=", 1) for x in given)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"clickmart-{args.cmd}").getOrCreate()
@@ -76,12 +88,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.cmd == "ingest":
         from .streaming.ingest import read_events, run_ingest
 
+        options = _pairs(args.option)
         if args.source == "kafka":
-            stream = read_events(spark, "kafka", **{"kafka.bootstrap.servers": args.servers, "subscribe": args.topic})
-        else:
-            stream = read_events(spark, "text", args.input)
+            options = {"kafka.bootstrap.servers": args.servers, "subscribe": args.topic, **options}
+        stream = read_events(spark, args.source, args.input, **options)
         run_ingest(
-            stream, args.bronze, args.rejects, args.checkpoint, trigger=args.trigger, available_now=args.available_now
+            stream,
+            args.bronze,
+            args.rejects,
+            args.checkpoint,
+            trigger=args.trigger,
+            available_now=args.available_now,
+            jdbc_options=_pairs(args.jdbc) or None,
         )
         result: dict = {"ingest": "stopped"}
     elif args.cmd == "refresh":
@@ -94,10 +112,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = cleanup_duplicates(read_bronze(spark, args.bronze), args.out)
     else:
         from .plans import gold, quality, silver
+        from .session import materialise
 
         bronze = read_bronze(spark, args.bronze)
-        stg = silver.stg_clickstream_events(bronze, args.as_of)
-        sessions = silver.int_user_sessions(stg, args.as_of)
+        stg = materialise(silver.stg_clickstream_events(bronze, args.as_of), "stg")
+        sessions = materialise(silver.int_user_sessions(stg, args.as_of), "sessions")
         models = {
             quality.BRONZE: bronze,
             quality.STG: stg,

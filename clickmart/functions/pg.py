@@ -28,13 +28,28 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_clock(instant: Column) -> Column:
+    """The UTC wall clock of a TIMESTAMP as TIMESTAMP_NTZ, whatever the session's time zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(MICROS_PER_SECOND)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
+def utc_instant(clock: Column) -> Column:
+    """The TIMESTAMP at which UTC clocks show ``clock`` (a TIMESTAMP_NTZ)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), clock))
+
+
 def as_of_literal(as_of: str | _dt.datetime | None = None) -> Column:
     """``CURRENT_TIMESTAMP`` made explicit: a zone-less timestamp literal.
 
-    ``None`` means the wall clock (constant within one query, like PostgreSQL).
+    ``None`` means the UTC wall clock (constant within one query, like PostgreSQL).
     """
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return utc_clock(F.current_timestamp())
     if isinstance(as_of, _dt.datetime):
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(as_of).cast("timestamp_ntz")
@@ -112,13 +127,3 @@ def count_where(cond: Column) -> Column:
 def sum_where(cond: Column, c: str | Column) -> Column:
     """``SUM(x) FILTER (WHERE cond)``: NULL, not 0, when no row matches."""
     return F.sum(F.when(cond, col(c)))
-
-
-def pg_desc(c: str | Column) -> Column:
-    """PostgreSQL ``DESC`` puts NULLs first."""
-    return col(c).desc_nulls_first()
-
-
-def pg_asc(c: str | Column) -> Column:
-    """PostgreSQL ``ASC`` puts NULLs last."""
-    return col(c).asc_nulls_last()

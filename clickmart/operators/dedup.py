@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 KEY = "event_id"
 ORDER_COLUMN = "ingestion_timestamp"
+# all other columns, so that only rows equal in every column tie
 TIE_BREAKS = [
     "event_timestamp",
     "event_type",
@@ -27,6 +28,12 @@ TIE_BREAKS = [
     "session_id",
     "device_type",
     "browser",
+    "product_name",
+    "product_category",
+    "page_url",
+    "referrer_url",
+    "country",
+    "city",
 ]
 
 
@@ -36,8 +43,8 @@ def _order(first: bool, columns: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if first else F.col(c).desc_nulls_first() for c in cols]
 
 
-def _keep_one(df: DataFrame, first: bool, partition: list[str] | None = None) -> DataFrame:
-    w = Window.partitionBy(*(partition or [KEY])).orderBy(*_order(first, df.columns))
+def _keep_one(df: DataFrame, first: bool) -> DataFrame:
+    w = Window.partitionBy(KEY).orderBy(*_order(first, df.columns))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -51,16 +58,12 @@ def dedup_keep_last(df: DataFrame) -> DataFrame:
     """Latest ingested row per ``event_id``; rows with a NULL id never match
     each other (join semantics), so all of them are kept.
 
-    One scan: a NULL-id row gets its own group through a per-row id, which
-    also spreads a flood of NULL ids (even identical copies) evenly over the
-    shuffle instead of piling them into one task.  The id only has to be
-    unique: it is stable when a task is recomputed over the same input split
-    (the bronze scan keeps its row order), and whichever value it takes,
-    every NULL-id row is kept, so the output rows never depend on it.
+    The rows with an id are deduplicated; the others join them as they are,
+    found by a pushed-down filter and never shuffled, so a flood of NULL ids
+    fills no task and the result doesn't depend on any row number.
     """
-    solo = F.when(F.col(KEY).isNull(), F.monotonically_increasing_id())
-    keyed = df.withColumn("_solo", solo)
-    return _keep_one(keyed, first=False, partition=[KEY, "_solo"]).drop("_solo")
+    without = df.filter(F.col(KEY).isNull())
+    return _keep_one(df.filter(F.col(KEY).isNotNull()), first=False).unionByName(without)
 
 
 def duplicate_event_ids(df: DataFrame) -> DataFrame:

@@ -1,53 +1,35 @@
 """Global ``ROW_NUMBER`` / ``NTILE`` / ``RANK`` without a single-partition window.
 
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
-The models rank whole tables (all users, all products), so here the order is
-cut into contiguous buckets and each bucket is numbered on its own:
-
-1. Boundaries.  The sort tuple (keys + a unique tie-break) is hashed; rows
-   under a hash fraction chosen from the row count, trimmed to the ``P * 20``
-   smallest hashes, form a uniform sample of bounded size (each task sends
-   only its share).  Every 20th sampled tuple in sort order is a boundary.
-   The boundary array travels as a scalar subquery -- at most ``P`` tuples,
-   a proven size bound.
-2. Bucket of a row = number of boundaries below its tuple, found by binary
-   search over the boundary array (log2 P comparisons).  Because the tuple
-   is unique, a key shared by a third of the rows (zero revenue, say) is cut
-   into several buckets like any other range.
-3. A window partitioned by bucket numbers rows inside each bucket (one hash
-   shuffle); per-bucket counts (at most ``P`` rows) give each bucket its
-   offset and are broadcast back.  Ranks also carry tie groups that cross a
-   bucket edge.
-
-Everything is a deterministic function of the data -- the sample is chosen by
-hash, not by a random seed -- so the plan may evaluate its input once or
-several times (exchange reuse, a lost executor) and still assigns every row
-to the same bucket.  Nothing is persisted and no data row is collected; the
-only driver-side numbers are the input's row count and the boundaries.
-
-Callers materialise a multiply-read input first (``session.cut_lineage``).
-An input whose counted size is under a bound (``SINGLE_TASK_MAX_ROWS``) is
-ranked by Spark's own window in one task instead -- bounded work, fewer
-stages -- exactly like a size-checked broadcast.
+``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.  Here all orders
+of a table are sorted together, in one range shuffle of narrow rows:
+
+1. One row per order and input row holds the order's number and its sort columns (those of
+   other orders stay NULL).  The union is range-partitioned and sorted by all of them.  With a
+   unique tie-break as last column no run of equal keys is too large to cut.
+2. The sorted rows are written once to the shared folder with their partition and place in it;
+   per partition and order the rows are counted (at most as many counts as partitions and
+   orders), and the running sum of the counts is the place of a partition's first row.
+3. ``NTILE(k)``: only the first rows of the tiles are read, k - 1 per order.  A row's tile is
+   the number of those that don't sort after it: a comparison with constants, no join.
+   ``RANK``: step 1 runs over the distinct key values with their counts, the sums give each
+   value its rank, and the ranks are joined to the rows by value, values with many rows by a
+   broadcast (there are few of them).
+
+Every table takes the same path.  Callers materialise an input that is costly to derive.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_rk_bucket"
-ENC = "_rk_enc"
-SAMPLE_PER_BUCKET = 20
+from ..session import materialise
 
-# Inputs with at most this many rows are ranked by Spark's own window in one
-# task (a proven bound, like a broadcast threshold); larger inputs take the
-# bucketed path.  ``0`` forces the bucketed path; set per session with
-# ``spark.clickmart.ranking.singleTaskMaxRows``.
-SINGLE_TASK_MAX_ROWS = 200_000
-THRESHOLD_CONF = "spark.clickmart.ranking.singleTaskMaxRows"
+# a value with more than one row in HOT_SHARE is joined by a broadcast: at most HOT_SHARE values
+HOT_SHARE = 1000
 
 
 @dataclass(frozen=True)
@@ -66,12 +48,18 @@ class SortKey:
     def nulls_go_first(self) -> bool:
         return self.desc if self.nulls_first is None else self.nulls_first
 
-    def sort(self) -> Column:
-        v = self.value()
+    def sort(self, value: Column | None = None) -> Column:
+        v = self.value() if value is None else value
         if self.desc:
             return v.desc_nulls_first() if self.nulls_go_first else v.desc_nulls_last()
         return v.asc_nulls_first() if self.nulls_go_first else v.asc_nulls_last()
 
+    def after(self, value: Column, mark: Column) -> Column:
+        """Whether ``value`` sorts strictly after ``mark`` (never NULL)."""
+        beyond = F.coalesce(value < mark if self.desc else value > mark, F.lit(False))
+        by_null = mark.isNull() & value.isNotNull() if self.nulls_go_first else mark.isNotNull() & value.isNull()
+        return beyond | by_null
+
 
 def asc(c: str | Column, nulls_first: bool | None = None) -> SortKey:
     return SortKey(c, False, nulls_first)
@@ -81,289 +69,137 @@ def desc(c: str | Column, nulls_first: bool | None = None) -> SortKey:
     return SortKey(c, True, nulls_first)
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def idiv(a: Column, b: Column) -> Column:
     """Exact integral division of non-negative BIGINTs (SQL ``a DIV b``)."""
     return ((a - F.pmod(a, b)) / b).cast("bigint")
 
 
-def _encoded(df: DataFrame, keys: list[SortKey]) -> Column:
-    """A struct whose natural ascending order is the requested order: a NULL
-    flag per key (placing NULLs first or last) and the value, negated for
-    DESC keys."""
-    fields = []
-    types = dict(df.select(*[k.value().alias(f"k{i}") for i, k in enumerate(keys)]).dtypes)
-    for i, k in enumerate(keys):
-        v = k.value()
-        flag = v.isNotNull() if k.nulls_go_first else v.isNull()
-        if k.desc:
-            if types[f"k{i}"] in ("string", "binary", "boolean"):
-                raise TypeError(f"DESC order on a {types[f'k{i}']} key is not supported")
-            v = -v
-        fields += [flag.alias(f"n{i}"), v.alias(f"v{i}")]
-    return F.struct(*fields)
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    return int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _row_count(df: DataFrame) -> int:
-    """Row count of the (materialised) input: one cheap job."""
-    return df.count()
+def _sorted(rows: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:
+    """``rows`` in a global order, written once, with ``_rk_part`` and ``_rk_at`` (place in it)."""
+    dealt = rows.repartitionByRange(_partitions(rows, partitions), *order).sortWithinPartitions(*order)
+    # the lower 33 bits of this id count the rows of a partition
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return materialise(dealt.select("*", F.spark_partition_id().alias("_rk_part"), at.alias("_rk_at")), "ranked")
 
 
-def _single_task_ok(df: DataFrame, max_rows: int | None, n: int | None = None) -> bool:
-    """True when ``df`` is proven small: its row count is at most the bound."""
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(THRESHOLD_CONF, str(SINGLE_TASK_MAX_ROWS)))
-    if max_rows <= 0:
-        return False
-    if n is not None:
-        return n <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+def _before(rows: DataFrame, group: list[str], size: Column) -> DataFrame:
+    """Per partition (and ``group``): ``_rk_before``, the sizes of the earlier ones, and ``_rk_total``."""
+    parts = rows.groupBy(*group, "_rk_part").agg(F.sum(size).alias("_rk_n"), F.min("_rk_at").alias("_rk_first"))
+    own = Window.partitionBy(*(group or [F.lit(0)]))
+    earlier = own.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(*group, "_rk_part", "_rk_first", F.coalesce(F.sum("_rk_n").over(earlier), F.lit(0)).alias("_rk_before"), F.sum("_rk_n").over(own).alias("_rk_total"))
 
 
-def _idiv(a: Column, b: Column) -> Column:
-    return ((a - F.pmod(a, b)) / b).cast("int")
+def _all_orders(frames: list[DataFrame], orders: list[list[SortKey]], extra: list[str]) -> tuple[DataFrame, list[Column]]:
+    """The sort columns of all orders in one frame, ``_rk_o`` the order's number, and the common order."""
+    types = [dict(df.select(*[k.value().alias(f"_rk_{o}_{i}") for i, k in enumerate(keys)]).dtypes) for o, (df, keys) in enumerate(zip(frames, orders, strict=True))]
+    parts = []
+    for o, (df, keys) in enumerate(zip(frames, orders, strict=True)):
+        own = {f"_rk_{o}_{i}": k.value() for i, k in enumerate(keys)}
+        columns = [own.get(c, F.lit(None).cast(t)).alias(c) for by in types for c, t in by.items()]
+        parts.append(df.select(F.lit(o).alias("_rk_o"), *columns, *extra))
+    common = [F.col("_rk_o").asc()] + [k.sort(F.col(f"_rk_{o}_{i}")) for o, keys in enumerate(orders) for i, k in enumerate(keys)]
+    return reduce(DataFrame.unionByName, parts), common
 
 
-def _lower_bound(bounds: str, value: Column, size: int) -> Column:
-    """Number of elements of the sorted array ``bounds`` that are ``< value``:
-    a binary search of ceil(log2(size + 1)) steps, not a scan of the array."""
-    steps = max(1, (size + 1).bit_length())
+def global_row_number(df: DataFrame, order: list[SortKey], name: str = "row_number", partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order)`` (1-based, BIGINT).  ``order`` must
+    make every row unique (add a key column as the last tie-break)."""
+    rows = _sorted(df, [k.sort() for k in order], partitions)
+    before = F.broadcast(_before(rows, [], F.lit(1)).select("_rk_part", "_rk_before"))
+    number = (F.col("_rk_before") + F.col("_rk_at") + 1).cast("bigint")
+    return rows.join(before, "_rk_part").select(*df.columns, number.alias(name))
 
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = _idiv(lo + hi, F.lit(2))
-        below = F.element_at(bounds, mid + 1) < value
-        moved = F.when(below, F.struct((mid + 1).alias("lo"), hi.alias("hi"))).otherwise(
-            F.struct(lo.alias("lo"), mid.alias("hi"))
-        )
-        return F.when(lo < hi, moved).otherwise(acc)
 
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["lo"])
+def _tile_starts(n: int, k: int) -> list[int]:
+    """0-based places of the first rows of the tiles 2 to ``k`` that hold rows."""
+    q, r = divmod(n, k)
+    return [t * q + min(t, r) for t in range(1, k) if t * q + min(t, r) < n]
 
 
-HASH_MOD = 1_000_000_007
+def _reached(keys: list[SortKey], marks: list[Column]) -> Column:
+    """Whether a row's tuple sorts at or after the marks."""
+    out = F.lit(True)
+    for key, mark in reversed(list(zip(keys, marks, strict=True))):
+        out = key.after(key.value(), mark) | (key.value().eqNullSafe(mark) & out)
+    return out
 
 
-def _with_buckets(df: DataFrame, keys: list[SortKey], partitions: int | None, n: int | None = None) -> DataFrame:
-    """``df`` plus a bucket id: contiguous, roughly equal ranges of the order.
+def with_ntiles(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], partitions: int | None = None) -> DataFrame:
+    """Append several ``NTILE`` columns (BIGINT), ``specs`` = [(name, k, order), ...]; each
+    order must make every row unique.
 
-    The sample is every row whose tuple hash falls under a fraction chosen
-    from the row count ``n`` (about ``4 * P * 20`` rows in total, spread over
-    all tasks), trimmed to ``P * 20`` by smallest hash.  Each task therefore
-    sends only its share of the sample to the single task that picks the
-    boundaries.
+    The tiles' first rows (k - 1 per order) come to the driver as constants.
     """
-    p = _partitions(df, partitions)
-    cap = p * SAMPLE_PER_BUCKET
-    n = _row_count(df) if n is None else n
-    base = df.withColumn(ENC, _encoded(df, keys))
-    h = F.pmod(F.xxhash64(ENC), F.lit(HASH_MOD))
-    sample = base.select(ENC, h.alias("_rk_h"))
-    if n > 4 * cap:
-        sample = sample.filter(F.col("_rk_h") < F.lit(int(HASH_MOD * 4 * cap / n)))
-    sample = sample.orderBy("_rk_h", ENC).limit(cap)
-    # at most P * 20 sampled rows: a bounded single-task window
-    ranked = sample.select(ENC, F.row_number().over(Window.orderBy(ENC)).alias("_rk_i"))
-    bounds = (
-        ranked.filter(F.col("_rk_i") % SAMPLE_PER_BUCKET == 0)
-        .agg(F.sort_array(F.collect_list(ENC)).alias("_rk_bounds"))
-        .scalar()
-    )
-    # a subquery cannot sit inside a lambda: project it first
-    with_bounds = base.withColumn("_rk_bounds", bounds)
-    return with_bounds.withColumn(BUCKET, _lower_bound("_rk_bounds", F.col(ENC), p)).drop("_rk_bounds")
-
-
-def _offsets(stats: DataFrame) -> DataFrame:
-    """Rows before each bucket, from at most P per-bucket counts."""
-    running = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    return stats.withColumn("_rk_off", F.coalesce(F.sum("_rk_n").over(running), F.lit(0)))
-
-
-def _drop_work(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_rk_")])
-
-
-def _row_numbers(df: DataFrame, order: list[SortKey], partitions: int | None, n: int | None = None) -> DataFrame:
-    """Adds ``_rk_pos`` (0-based global row number) and ``_rk_total``."""
-    t = _with_buckets(df, order, partitions, n)
-    t = t.withColumn("_rk_lrn", F.row_number().over(Window.partitionBy(BUCKET).orderBy(*[k.sort() for k in order])))
-    stats = _offsets(t.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_rk_n")))
-    stats = stats.withColumn("_rk_total", F.sum("_rk_n").over(Window.partitionBy(F.lit(1))))
-    rows = t.join(F.broadcast(stats.select(BUCKET, "_rk_off", "_rk_total")), BUCKET)
-    return rows.withColumn("_rk_pos", (F.col("_rk_off") + F.col("_rk_lrn") - 1).cast("bigint"))
-
-
-def global_row_number(
-    df: DataFrame,
-    order: list[SortKey],
-    name: str = "row_number",
-    partitions: int | None = None,
-    single_task_max_rows: int | None = None,
-) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY order)`` (1-based, BIGINT).  ``order`` must
-    make every row unique (add a key column as the last tie-break)."""
-    n = _row_count(df)
-    if _single_task_ok(df, single_task_max_rows, n):
-        w = Window.orderBy(*[k.sort() for k in order])
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    rows = _row_numbers(df, order, partitions, n)
-    return _drop_work(rows.withColumn(name, F.col("_rk_pos") + 1))
-
-
-def ntile_of(i: Column, n: Column, k: int) -> Column:
-    """NTILE(k) bucket of the 0-based row number ``i`` among ``n`` rows: the
-    first ``n % k`` tiles hold one row more than the others."""
-    kk = F.lit(k).cast("bigint")
-    q = idiv(n, kk)
-    r = F.pmod(n, kk)
-    big = r * (q + 1)
-    return F.when(i < big, idiv(i, q + 1) + 1).otherwise(r + idiv(i - big, F.nullif(q, F.lit(0))) + 1)
-
-
-def global_ntile(
-    df: DataFrame,
-    k: int,
-    order: list[SortKey],
-    name: str = "ntile",
-    partitions: int | None = None,
-    single_task_max_rows: int | None = None,
-) -> DataFrame:
+    orders = [order for _, _, order in specs]
+    narrow, common = _all_orders([df] * len(specs), orders, [])
+    rows = _sorted(narrow, common, partitions)
+    before = materialise(_before(rows, ["_rk_o"], F.lit(1)), "ranked-before")
+    totals = {r[0]: r[1] for r in before.groupBy("_rk_o").agg(F.max("_rk_total")).collect()}
+    wanted = [(o, at) for o, (_, k, _) in enumerate(specs) for at in _tile_starts(totals.get(o, 0), k)]
+    starts: dict[int, list] = {o: [] for o in range(len(specs))}
+    if wanted:
+        place = (F.col("_rk_before") + F.col("_rk_at") - F.col("_rk_first")).alias("_rk_place")
+        placed = rows.join(F.broadcast(before), ["_rk_o", "_rk_part"]).select(*narrow.columns, place)
+        one_of = reduce(Column.__or__, [(F.col("_rk_o") == o) & (F.col("_rk_place") == at) for o, at in wanted])
+        for row in placed.filter(one_of).collect():
+            starts[row["_rk_o"]].append(row)
+    types = dict(narrow.dtypes)
+    tiles = []
+    for o, (name, _, order) in enumerate(specs):
+        marks = [[F.lit(row[f"_rk_{o}_{i}"]).cast(types[f"_rk_{o}_{i}"]) for i in range(len(order))] for row in starts[o]]
+        tile = reduce(Column.__add__, [_reached(order, m).cast("bigint") for m in marks], F.lit(1).cast("bigint"))
+        tiles.append(tile.alias(name))
+    return df.select("*", *tiles)
+
+
+def global_ntile(df: DataFrame, k: int, order: list[SortKey], name: str = "ntile", partitions: int | None = None) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` (BIGINT); ``order`` must be unique."""
-    n = _row_count(df)
-    if _single_task_ok(df, single_task_max_rows, n):
-        w = Window.orderBy(*[k_.sort() for k_ in order])
-        return df.withColumn(name, F.ntile(k).over(w).cast("bigint"))
-    rows = _row_numbers(df, order, partitions, n)
-    return _drop_work(rows.withColumn(name, ntile_of(F.col("_rk_pos"), F.col("_rk_total"), k)))
-
-
-def global_rank(
-    df: DataFrame,
-    order: list[SortKey],
-    tiebreak: list[SortKey],
-    name: str = "rank",
-    partitions: int | None = None,
-    single_task_max_rows: int | None = None,
-) -> DataFrame:
-    """``RANK() OVER (ORDER BY order)`` (BIGINT, gaps after ties).
-
-    ``order + tiebreak`` must make every row unique; only ``order`` decides
-    the rank.  Inside a bucket ``rank()`` is exact except for the bucket's
-    first tie group, which may have started in an earlier bucket; the
-    per-bucket statistics say where.
-    """
-    key_order = [k.sort() for k in order]
-    n = _row_count(df)
-    if _single_task_ok(df, single_task_max_rows, n):
-        return df.withColumn(name, F.rank().over(Window.orderBy(*key_order)).cast("bigint"))
-    t = _with_buckets(df, order + tiebreak, partitions, n)
-    t = t.withColumn("_rk_lrank", F.rank().over(Window.partitionBy(BUCKET).orderBy(*key_order)).cast("bigint"))
-
-    # per-bucket statistics, at most P rows (one small task): count, the key
-    # of the first and of the last tie group, where the last group starts.
-    # Key components are aggregated one by one (scalar buffers stay in the
-    # hash aggregate; a struct buffer would force a sort-based aggregate).
-    firsts = [F.min_by(k.value(), "_rk_lrank").alias(f"_rk_f{i}") for i, k in enumerate(order)]
-    lasts = [F.max_by(k.value(), "_rk_lrank").alias(f"_rk_l{i}") for i, k in enumerate(order)]
-    stats = t.groupBy(BUCKET).agg(
-        F.count(F.lit(1)).alias("_rk_n"), F.max("_rk_lrank").alias("_rk_last_lrank"), *firsts, *lasts
-    )
-    stats = _offsets(
-        stats.select(
-            BUCKET,
-            "_rk_n",
-            "_rk_last_lrank",
-            F.struct(*[F.col(f"_rk_f{i}") for i in range(len(order))]).alias("_rk_first"),
-            F.struct(*[F.col(f"_rk_l{i}") for i in range(len(order))]).alias("_rk_last"),
-        )
-    )
-    by_bucket = Window.orderBy(BUCKET)
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    off = F.col("_rk_off")
-    # does the bucket's first row start a new tie group?
-    first_starts = F.lag(BUCKET).over(by_bucket).isNull() | ~F.col("_rk_first").eqNullSafe(
-        F.lag("_rk_last").over(by_bucket)
-    )
-    stats = stats.withColumn("_rk_first_starts", first_starts)
-    # global start of the last tie group that really starts inside the bucket
-    last_start = F.when(F.col("_rk_last_lrank") > 1, off + F.col("_rk_last_lrank") - 1).when(
-        F.col("_rk_first_starts"), off
-    )
-    stats = stats.withColumn("_rk_last_start", last_start)
-    # the first group starts here, or at the latest real start before here
-    gstart = F.when(F.col("_rk_first_starts"), off).otherwise(F.max("_rk_last_start").over(earlier))
-    edges = stats.select(BUCKET, "_rk_off", gstart.alias("_rk_gstart"))
-
-    rows = t.join(F.broadcast(edges), BUCKET)
-    rank = F.when(F.col("_rk_lrank") == 1, F.col("_rk_gstart") + 1).otherwise(F.col("_rk_off") + F.col("_rk_lrank"))
-    return _drop_work(rows.withColumn(name, rank.cast("bigint")))
-
-
-def attach(base: DataFrame, keys: list[str], scored: DataFrame) -> DataFrame:
-    """Join columns computed on a narrow projection of ``base`` back to it.
-
-    ``keys`` must be unique in ``base``; the match is NULL-safe and 1:1, so
-    every base row keeps exactly its own score.  Ranking narrow projections
-    and joining back keeps plans linear in the number of scores and shuffles
-    only the narrow rows by bucket.
-    """
-    extra = [c for c in scored.columns if c not in keys]
-    right = scored.select(*[F.col(k).alias(f"_rk_j_{k}") for k in keys], *extra)
-    cond = [base[k].eqNullSafe(right[f"_rk_j_{k}"]) for k in keys]
-    return base.join(right, cond, "inner").drop(*[f"_rk_j_{k}" for k in keys])
-
-
-def with_ntiles(
-    df: DataFrame,
-    key: list[str],
-    specs: list[tuple[str, int, list[SortKey]]],
-    partitions: int | None = None,
-    single_task_max_rows: int | None = None,
-) -> DataFrame:
-    """Append several ``NTILE`` columns, ``specs`` = [(name, k, order), ...].
-
-    ``key`` is unique in ``df``.  A proven-small input gets all tiles from
-    Spark's windows in one single-task pass; a large one gets each tile on a
-    narrow ``key + order`` projection (bucketed path) joined back on the key.
-    """
-    n = _row_count(df)
-    if _single_task_ok(df, single_task_max_rows, n):
-        out = df
-        for name, k, order in specs:
-            out = out.withColumn(name, F.ntile(k).over(Window.orderBy(*[o.sort() for o in order])).cast("bigint"))
-        return out
-    for name, k, order in specs:
-        cols = list(dict.fromkeys(key + [o.column for o in order if isinstance(o.column, str)]))
-        tiles = global_ntile(df.select(*cols), k, order, name, partitions, single_task_max_rows=0)
-        df = attach(df, key, tiles.select(*key, name))
+    return with_ntiles(df, [(name, k, order)], partitions)
+
+
+def with_ranks(df: DataFrame, specs: list[tuple[str, list[SortKey]]], partitions: int | None = None) -> DataFrame:
+    """Append several ``RANK`` columns (BIGINT, gaps after ties), ``specs`` = [(name, order), ...]."""
+    orders, frames = [], []
+    for o, (_, order) in enumerate(specs):
+        own = [f"_rk_{o}_{i}" for i in range(len(order))]
+        frames.append(df.select(*[k.value().alias(c) for k, c in zip(order, own, strict=True)]).groupBy(*own).agg(F.count(F.lit(1)).alias("_rk_size")))
+        orders.append([SortKey(c, k.desc, k.nulls_go_first) for k, c in zip(order, own, strict=True)])
+    values, common = _all_orders(frames, orders, ["_rk_size"])
+    rows = _sorted(values, common, partitions)
+    before = _before(rows, ["_rk_o"], F.col("_rk_size"))
+    inside = Window.partitionBy("_rk_o", "_rk_part").orderBy("_rk_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_rk_size").over(inside), F.lit(0))
+    ranked = rows.withColumn("_rk_inside", inside).join(F.broadcast(before), ["_rk_o", "_rk_part"])
+    ranked = materialise(ranked.withColumn("_rk_rank", (F.col("_rk_before") + F.col("_rk_inside") + 1).cast("bigint")), "ranked-values")
+    for o, (name, order) in enumerate(specs):
+        own = [f"_rk_{o}_{i}" for i in range(len(order))]
+        of = ranked.filter(F.col("_rk_o") == o).select(*own, F.col("_rk_rank").alias(name), (F.col("_rk_size") * HOT_SHARE > F.col("_rk_total")).alias("_rk_hot"))
+        df = _by_value(df, order, own, of, name)
     return df
 
 
-def with_ranks(
-    df: DataFrame,
-    key: list[str],
-    specs: list[tuple[str, list[SortKey]]],
-    partitions: int | None = None,
-    single_task_max_rows: int | None = None,
-) -> DataFrame:
-    """Append several ``RANK`` columns, ``specs`` = [(name, order), ...];
-    ``key`` is unique and is the tie-break of the buckets."""
-    n = _row_count(df)
-    if _single_task_ok(df, single_task_max_rows, n):
-        out = df
-        for name, order in specs:
-            out = out.withColumn(name, F.rank().over(Window.orderBy(*[o.sort() for o in order])).cast("bigint"))
-        return out
-    tie = [asc(c) for c in key]
-    for name, order in specs:
-        cols = list(dict.fromkeys(key + [o.column for o in order if isinstance(o.column, str)]))
-        ranked = global_rank(df.select(*cols), order, tie, name, partitions, single_task_max_rows=0)
-        df = attach(df, key, ranked.select(*key, name))
-    return df
+def _by_value(df: DataFrame, order: list[SortKey], own: list[str], ranked: DataFrame, name: str) -> DataFrame:
+    """``df`` with the ranks of its values, read once.
+
+    Rows with a hot value get their rank by a broadcast; for the join of the others they are
+    spread over numbers that no value has, so they fill no task.
+    """
+    same = [k.value().eqNullSafe(F.col(c)) for k, c in zip(order, own, strict=True)]
+    columns = df.columns
+    hot = ranked.filter("_rk_hot").select(*own, F.col(name).alias("_rk_known"))
+    rest = ranked.filter(~F.col("_rk_hot")).select(*own, name, F.lit(0).alias("_rk_spread"))
+    out = df.join(F.broadcast(hot), reduce(Column.__and__, same), "left").select(*columns, "_rk_known")
+    number = F.pmod(F.xxhash64(*columns), F.lit(HOT_SHARE)).cast("int") + 1
+    out = out.withColumn("_rk_to", F.when(F.col("_rk_known").isNull(), F.lit(0)).otherwise(number))
+    out = out.join(rest, reduce(Column.__and__, same, F.col("_rk_to") == F.col("_rk_spread")), "left")
+    return out.select(*columns, F.coalesce("_rk_known", name).alias(name))
+
+
+def global_rank(df: DataFrame, order: list[SortKey], name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """``RANK() OVER (ORDER BY order)`` (BIGINT, gaps after ties)."""
+    return with_ranks(df, [(name, order)], partitions)

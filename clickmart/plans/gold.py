@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import pg
 from ..functions import segments as seg
 from ..operators.ranking import asc, desc, global_rank, with_ntiles, with_ranks
-from ..session import cut_lineage
+from ..session import materialise
 from ..schema import ADD_TO_CART, FUNNEL_STAGES, HOT_LEAD, NTILE_BUCKETS, PAGE_VIEW, PURCHASE
 
 SECONDS_EXACT = "decimal(38,6)"  # seconds carry microseconds: exact as decimal
@@ -25,19 +25,50 @@ SECONDS_EXACT = "decimal(38,6)"  # seconds carry microseconds: exact as decimal
 # daily KPIs
 # --------------------------------------------------------------------------
 def daily_event_metrics(stg: DataFrame) -> DataFrame:
+    """One row per event day.
+
+    The events are first summed per day, user and session, which partial
+    aggregation does inside the map tasks; the distinct counts expand those
+    rows only.  Sold products are counted apart, from the purchases.
+    """
     etype = F.col("event_type")
     rev = F.col("revenue")
-    return stg.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("total_events"),
+    visits = stg.groupBy("event_date", "user_id", "session_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        pg.count_where(etype == PAGE_VIEW).alias("views"),
+        pg.count_where(etype == ADD_TO_CART).alias("carts"),
+        pg.count_where(etype == PURCHASE).alias("buys"),
+        F.sum(rev).alias("revenue"),
+        pg.sum_where(rev > 0, rev).alias("paid"),
+        F.count_if(rev > 0).alias("orders"),
+        pg.sum_where(etype == PURCHASE, "quantity").alias("units"),
+    )
+    days = visits.groupBy("event_date").agg(
+        F.sum("events").alias("total_events"),
         F.count_distinct("user_id").alias("unique_users"),
         F.count_distinct("session_id").alias("total_sessions"),
-        pg.count_where(etype == PAGE_VIEW).alias("page_views"),
-        pg.count_where(etype == ADD_TO_CART).alias("add_to_carts"),
-        pg.count_where(etype == PURCHASE).alias("purchases"),
-        F.sum(rev).alias("total_revenue"),
-        pg.exact_avg(F.when(rev > 0, rev)).alias("avg_order_value"),
-        F.count_distinct(F.when(etype == PURCHASE, F.col("product_id"))).alias("products_sold"),
-        pg.sum_where(etype == PURCHASE, "quantity").alias("units_sold"),
+        F.sum("views").alias("page_views"),
+        F.sum("carts").alias("add_to_carts"),
+        F.sum("buys").alias("purchases"),
+        F.sum("revenue").alias("total_revenue"),
+        (F.sum("paid").cast("double") / F.nullif(F.sum("orders"), F.lit(0)).cast("double")).alias("avg_order_value"),
+        F.sum("units").alias("units_sold"),
+    )
+    sold = stg.filter(etype == PURCHASE).groupBy("event_date", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    sold = sold.groupBy("event_date").agg(F.count("product_id").alias("products_sold"))
+    out = days.join(sold.withColumnRenamed("event_date", "_day"), F.col("event_date").eqNullSafe(F.col("_day")), "left")
+    return out.select(
+        "event_date",
+        "total_events",
+        "unique_users",
+        "total_sessions",
+        "page_views",
+        "add_to_carts",
+        "purchases",
+        "total_revenue",
+        "avg_order_value",
+        F.coalesce("products_sold", F.lit(0)).alias("products_sold"),
+        "units_sold",
     )
 
 
@@ -174,37 +205,30 @@ def product_metrics(stg: DataFrame) -> DataFrame:
     )
 
 
-def _product_tiebreak():
-    return [asc(c) for c in PRODUCT_KEYS]
-
-
 def product_revenue_rank(products: DataFrame) -> DataFrame:
     """``RANK() OVER (ORDER BY SUM(revenue) DESC)``, NULLs first: product key,
     revenue and rank."""
     narrow = products.select(*PRODUCT_KEYS, "total_revenue")
-    return global_rank(narrow, [desc("total_revenue")], _product_tiebreak(), "revenue_rank")
+    return global_rank(narrow, [desc("total_revenue")], "revenue_rank")
 
 
 def product_units_rank(products: DataFrame) -> DataFrame:
     narrow = products.select(*PRODUCT_KEYS, "units_sold")
-    return global_rank(narrow, [desc("units_sold")], _product_tiebreak(), "units_rank")
+    return global_rank(narrow, [desc("units_sold")], "units_rank")
 
 
 def with_product_ranks(products: DataFrame) -> DataFrame:
-    """Both ranks: one single-task pass for a proven-small table, otherwise
-    each on a narrow projection (bucketed) joined back on the product key."""
-    return with_ranks(
-        products,
-        PRODUCT_KEYS,
-        [("revenue_rank", [desc("total_revenue")]), ("units_rank", [desc("units_sold")])],
-    )
+    """Both ranks, from one sort of the distinct revenues and units."""
+    return with_ranks(products, [("revenue_rank", [desc("total_revenue")]), ("units_rank", [desc("units_sold")])])
 
 
 def mart_product_performance(stg: DataFrame, as_of=None, sort: bool = True) -> DataFrame:
     # the ranks read the product table several times: materialise it once
-    ranked = with_product_ranks(cut_lineage(product_metrics(stg)))
+    ranked = with_product_ranks(materialise(product_metrics(stg), "products"))
     out = ranked.withColumn("dbt_updated_at", pg.as_of_literal(as_of))
-    return out.orderBy(F.col("total_revenue").desc_nulls_first()) if sort else out
+    # the key as last sort column: equal revenues can be cut between tasks
+    keys = [F.col(c).asc_nulls_last() for c in PRODUCT_KEYS]
+    return out.orderBy(F.col("total_revenue").desc_nulls_first(), *keys) if sort else out
 
 
 def top_products(products_mart: DataFrame, k: int = 10) -> DataFrame:
@@ -293,7 +317,7 @@ def with_rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFr
     """Append the three scores to the (unique-user) table.  The reference
     joins an NTILE result over the same rows back by user_id; here the scores
     land on the same rows, through ``ranking.with_ntiles``."""
-    return with_ntiles(users, ["user_id"], rfm_orders(recency))
+    return with_ntiles(users, rfm_orders(recency))
 
 
 def rfm_scores(users: DataFrame, recency: str = RECENCY_AS_CODED) -> DataFrame:
@@ -318,18 +342,17 @@ def mart_user_behavior(sessions: DataFrame, as_of=None, recency: str = RECENCY_A
     """The reference joins the segments to an NTILE result over themselves by
     user_id; user_id is unique here, so the scores are appended in place."""
     # the three tiles read the user table several times: materialise it once
-    users = cut_lineage(user_behavior_frame(sessions, as_of))
+    users = materialise(user_behavior_frame(sessions, as_of), "users")
     out = with_customer_tier(with_rfm_scores(users, recency))
     out = out.withColumn("dbt_updated_at", pg.as_of_literal(as_of))
     if sort:
-        out = out.orderBy(F.col("customer_score").desc_nulls_first(), F.col("lifetime_revenue").desc_nulls_first())
+        # the id as last sort column: users of equal score and revenue can be cut between tasks
+        by = [F.col("customer_score").desc_nulls_first(), F.col("lifetime_revenue").desc_nulls_first()]
+        out = out.orderBy(*by, F.col("user_id").asc_nulls_last())
     return out
 
 
-def hot_leads(users: DataFrame, k: int = 50) -> DataFrame:
-    """Recent cart abandoners by purchase propensity: a top-k report."""
-    return (
-        users.filter(F.col("lifecycle_stage") == HOT_LEAD)
-        .orderBy(F.col("purchase_propensity_score").desc_nulls_first(), F.col("user_id").asc_nulls_last())
-        .limit(k)
-    )
+def hot_leads(users: DataFrame) -> DataFrame:
+    """All recent cart abandoners, by purchase propensity."""
+    by = [F.col("purchase_propensity_score").desc_nulls_first(), F.col("user_id").asc_nulls_last()]
+    return users.filter(F.col("lifecycle_stage") == HOT_LEAD).orderBy(*by)

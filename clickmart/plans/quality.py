@@ -82,11 +82,14 @@ def failing_rows(models: dict[str, DataFrame], checks: list[Check] | None = None
 
 def store_failures(models: dict[str, DataFrame], out_dir: str, checks: list[Check] | None = None) -> dict[str, int]:
     """Write the violations of each check under ``out_dir/<check name>``
-    (overwrite), one write per check; returns the failure counts read back
-    from the written tables (no second evaluation of the check)."""
-    counts = {}
-    for name, v in failing_rows(models, checks).items():
-        path = f"{out_dir}/{name}"
-        v.write.mode("overwrite").parquet(path)
-        counts[name] = v.sparkSession.read.parquet(path).count()
+    (overwrite) and return the failure counts.
+
+    All checks of a model are counted in one pass; only a failing check reads
+    the model again, for its rows.  A passing one writes an empty table.
+    """
+    checks = SUITE if checks is None else checks
+    found = {(r.test_name, r.model, r.column_name): r.failures for r in check_summary(models, checks).collect()}
+    counts = {c.name: found[c.kind, c.model, c.column_name] for c in checks}
+    for name, rows in failing_rows(models, checks).items():
+        (rows if counts[name] else rows.limit(0)).write.mode("overwrite").parquet(f"{out_dir}/{name}")
     return counts

@@ -28,6 +28,7 @@ def refresh(
 ) -> dict[str, object]:
     stg = _write(silver.stg_clickstream_events(bronze, as_of), f"{out_dir}/silver/stg_clickstream_events")
     sessions = _write(silver.int_user_sessions(stg, as_of), f"{out_dir}/silver/int_user_sessions")
+    silver.register_views(stg, sessions)
     marts = {
         quality.DAILY: gold.mart_daily_metrics(stg, sessions, as_of),
         quality.FUNNEL: gold.mart_conversion_funnel(sessions),

@@ -9,7 +9,7 @@ small integers become BIGINT (``canonical``).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from .. import oracle as O
 from ..operators import dedup
 from ..operators.checks import ACCEPTED_VALUES, EXPRESSION_IS_TRUE, NOT_NULL, UNIQUE, UNIQUE_COMBINATION
 from ..schema import DEFAULT_AS_OF, WIRE_COLUMNS
-from ..session import cut_lineage
+from ..session import materialise
 from ..sources import events_json
 from ..sources.bronze import bronze_scan
 from ..sources.clickstream import clickstream
@@ -53,7 +53,6 @@ class Models:
     # queries that read several marts materialise silver once, as the
     # refresh job does, instead of re-deriving it in every branch
     materialize_silver: bool = False
-    _cache: dict = field(default_factory=dict)
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -62,12 +61,12 @@ class Models:
     @cached_property
     def stg(self) -> DataFrame:
         stg = silver.stg_clickstream_events(self.bronze, self.as_of)
-        return cut_lineage(stg) if self.materialize_silver else stg
+        return materialise(stg, "stg") if self.materialize_silver else stg
 
     @cached_property
     def sessions(self) -> DataFrame:
         sessions = silver.int_user_sessions(self.stg, self.as_of)
-        return cut_lineage(sessions) if self.materialize_silver else sessions
+        return materialise(sessions, "sessions") if self.materialize_silver else sessions
 
     @cached_property
     def users_frame(self) -> DataFrame:
@@ -76,7 +75,7 @@ class Models:
     @cached_property
     def users_table(self) -> DataFrame:
         """The user frame materialised once (input of the RFM tiles)."""
-        return cut_lineage(self.users_frame)
+        return materialise(self.users_frame, "users")
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -94,15 +93,17 @@ class Models:
     def users(self) -> DataFrame:
         return gold.mart_user_behavior(self.sessions, self.as_of, sort=False)
 
-    def by_model(self) -> dict[str, DataFrame]:
-        return {
-            quality.BRONZE: self.bronze,
-            quality.STG: self.stg,
-            quality.DAILY: self.daily,
-            quality.FUNNEL: self.funnel,
-            quality.PRODUCTS: self.products,
-            quality.USERS: self.users,
+    def by_model(self, names: set[str]) -> dict[str, DataFrame]:
+        """The named models; the others are not built."""
+        own = {
+            quality.BRONZE: "bronze",
+            quality.STG: "stg",
+            quality.DAILY: "daily",
+            quality.FUNNEL: "funnel",
+            quality.PRODUCTS: "products",
+            quality.USERS: "users",
         }
+        return {name: getattr(self, attribute) for name, attribute in own.items() if name in names}
 
 
 @dataclass(frozen=True)
@@ -343,7 +344,7 @@ def _mart_products(m: Models) -> DataFrame:
     O.with_ctes(["products"], f"SELECT {PRODUCT_KEY_SQL}, total_revenue, revenue_rank FROM products"),
 )
 def _product_revenue_rank(m: Models) -> DataFrame:
-    return gold.product_revenue_rank(cut_lineage(gold.product_metrics(m.stg)))
+    return gold.product_revenue_rank(materialise(gold.product_metrics(m.stg), "products"))
 
 
 @register(
@@ -351,7 +352,7 @@ def _product_revenue_rank(m: Models) -> DataFrame:
     O.with_ctes(["products"], f"SELECT {PRODUCT_KEY_SQL}, units_sold, units_rank FROM products"),
 )
 def _product_units_rank(m: Models) -> DataFrame:
-    return gold.product_units_rank(cut_lineage(gold.product_metrics(m.stg)))
+    return gold.product_units_rank(materialise(gold.product_metrics(m.stg), "products"))
 
 
 @register(
@@ -461,11 +462,11 @@ def _mart_users_doc(m: Models) -> DataFrame:
         ["users_enriched"],
         "SELECT user_id, purchase_propensity_score, abandoned_sessions, days_since_last_session, lifecycle_stage "
         "FROM users_enriched WHERE lifecycle_stage = 'Hot Lead (Recent Cart Abandonment)' "
-        "ORDER BY purchase_propensity_score DESC NULLS FIRST, user_id ASC NULLS LAST LIMIT 50",
+        "ORDER BY purchase_propensity_score DESC NULLS FIRST, user_id ASC NULLS LAST",
     ),
 )
 def _hot_leads(m: Models) -> DataFrame:
-    return gold.hot_leads(m.users_frame, 50).select(
+    return gold.hot_leads(m.users_frame).select(
         "user_id", "purchase_propensity_score", "abandoned_sessions", "days_since_last_session", "lifecycle_stage"
     )
 
@@ -599,7 +600,7 @@ def _register_checks(name: str, kinds: list[str] | None) -> None:
 
     @register(name, sql, many_models=many)
     def _q(m: Models) -> DataFrame:
-        return quality.check_summary(m.by_model(), checks)
+        return quality.check_summary(m.by_model({c.model for c in checks}), checks)
 
 
 _register_checks("check_not_null", [NOT_NULL])

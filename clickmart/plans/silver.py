@@ -64,6 +64,12 @@ def stg_clickstream_events(bronze: DataFrame, as_of=None) -> DataFrame:
     return enrich_events(deduped.filter(F.col("event_type").isin(*VALID_EVENT_TYPES)), as_of)
 
 
+def register_views(stg: DataFrame, sessions: DataFrame) -> None:
+    """The silver models as temporary views, for SQL users of the session."""
+    stg.createOrReplaceTempView("stg_clickstream_events")
+    sessions.createOrReplaceTempView("int_user_sessions")
+
+
 def session_aggregates(stg: DataFrame) -> DataFrame:
     """One row per ``(session_id, user_id)``; every aggregate is partial-
     aggregation friendly, so a hot session costs one row per map task."""

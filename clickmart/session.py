@@ -6,8 +6,8 @@ helpers are for tests, the bench and command-line use on a single machine.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,59 +33,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickmart-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the one the
+    context already checkpoints to.
 
-    The folder the context already uses (Spark sets it at startup from
-    ``spark.checkpoint.dir``) is kept; a configured folder is applied once;
-    only when the session has none (local runs and tests) is a private
-    temporary folder set.
+    A local session without either gets a private temporary folder.  On a cluster there is no
+    folder that could be guessed, so a missing setting is an error.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="clickmart-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
-
-
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder and return a
-    DataFrame that reads it back (``DataFrame.checkpoint``, eager).
-
-    Used before operators that read their input several times (global ranks
-    and tiles): the input is computed once, and a lost executor re-reads the
-    files instead of recomputing the lineage.  The folder comes from the
-    session (``spark.checkpoint.dir``); a local session without one gets a
-    private folder.  On a cluster without a configured folder the lineage is
-    kept as is -- the ranking operators are deterministic, so results are
-    the same, only the input is evaluated more than once.
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickmart-shared-"))
+        found = sc.getCheckpointDir()
+    return found.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    The lineage ends there: operators that read their input several times don't derive it
+    again, column pruning and filter pushdown still reach the files, and a lost executor
+    re-reads them.
     """
-    spark = df.sparkSession
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    current = spark.sparkContext.getCheckpointDir()
-    if not configured and not current and not _is_local(spark):
-        return df
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

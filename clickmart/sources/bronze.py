@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..schema import BRONZE_COLUMNS, BRONZE_SCHEMA
 
 PARTITION_COLUMN = "event_date"
+BATCH_COLUMN = "batch_id"
 
 
 def bronze_scan(df: DataFrame) -> DataFrame:
@@ -26,8 +27,8 @@ def read_bronze(spark: SparkSession, path: str, since=None, until=None) -> DataF
     streaming ingest (no schema inference; the partition column is dropped).
 
     ``since`` / ``until`` (dates, inclusive) become a filter on the
-    ``event_date`` partition column, so only those folders are listed and
-    read (partition pruning), plus a pushed-down filter on the timestamp.
+    ``event_date`` partition column: only files of those days are read.  The
+    driver still lists all folders of the table.
     """
     schema = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(PARTITION_COLUMN, T.DateType())])
     df = spark.read.schema(schema).parquet(path)

@@ -10,7 +10,8 @@ Scale notes: one scan of ``events`` (the copy is made with ``explode`` rather
 than a second scan and a union), column pruning to five event columns and
 three part columns, and an equi-join on the product key that Catalyst
 broadcasts only when ``part`` is under the broadcast threshold and plans as a
-shuffle join otherwise.
+shuffle join otherwise.  That join has only 100 distinct keys, which suits a
+fixture whose ``part`` is broadcast; it is no pattern for large dimensions.
 """
 
 from __future__ import annotations

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.pg import as_of_literal
+from ..functions.pg import as_of_literal, utc_clock
 from ..schema import QUANTITY_EVENT_TYPES, REQUIRED_COLUMNS, WIRE_COLUMNS, WIRE_SCHEMA
 
+# a time of day with Z, an offset or a zone name after it
+ZONED = r"(?i):\d{2}.*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})*|[a-z_]+/[a-z_/]+)$"
+
 RAW = "_raw"
 REASON = "reject_reason"
 CORRUPT = "_corrupt_record"
@@ -42,6 +45,13 @@ def _parsed(df: DataFrame, value_col: str) -> DataFrame:
     )
 
 
+def event_clock(text: Column) -> Column:
+    """Event time as a UTC wall clock: text with an offset is converted, text without one is taken
+    as it is; NULL when it is no timestamp."""
+    zoned = utc_clock(text.try_cast("timestamp"))
+    return F.when(F.trim(text).rlike(ZONED), zoned).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def _reason() -> Column:
     d = F.col("d")
     # text that is not a JSON object: nothing parsed.  A wrong-typed field
@@ -52,8 +62,7 @@ def _reason() -> Column:
     expr = F.when(d.isNull() | nothing, F.lit("unparseable"))
     for c in REQUIRED_COLUMNS:
         expr = expr.when(d[c].isNull(), F.lit(f"missing {c}"))
-    ts = d["event_timestamp"].try_cast("timestamp_ntz")
-    return expr.when(ts.isNull(), F.lit("bad event_timestamp"))
+    return expr.when(event_clock(d["event_timestamp"]).isNull(), F.lit("bad event_timestamp"))
 
 
 def parse_with_reason(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -65,7 +74,7 @@ def split_parsed(p: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed events, rejects) from :func:`parse_with_reason` output."""
     good = p.filter(F.col(REASON).isNull()).select(
         *[
-            F.col("d")[c].try_cast("timestamp_ntz").alias(c) if c == "event_timestamp" else F.col("d")[c].alias(c)
+            event_clock(F.col("d")[c]).alias(c) if c == "event_timestamp" else F.col("d")[c].alias(c)
             for c in WIRE_COLUMNS
         ]
     )
@@ -76,8 +85,9 @@ def split_parsed(p: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split raw messages into (typed events, rejects).
 
-    Both outputs come from the same projection; the stream sink persists that
-    projection once per micro-batch and writes both from it.
+    Both outputs come from the same projection.  The stream sink writes the
+    events from it and, only when it counted rejects, parses the batch again
+    for them.
     """
     return split_parsed(parse_with_reason(df, value_col))
 

@@ -3,9 +3,9 @@
 The same ``sources.events_json`` functions run per micro-batch, so stream and
 batch produce identical rows.  The sink is ``foreachBatch``:
 
-* good rows go to ``<bronze>/batch_id=<n>`` and rejects (with the raw text and
-  a reason) to ``<rejects>/batch_id=<n>`` when there are any, each written
-  with ``overwrite`` of that one folder.  A batch that fails after a partial write is replayed under
+* good rows go to ``<bronze>/event_date=<day>/batch_id=<n>``, overwriting just
+  the folders the batch has rows for, and rejects (with the raw text and a
+  reason) to ``<rejects>/batch_id=<n>`` when there are any.  A batch that fails after a partial write is replayed under
   the same id after restart and replaces its own output: exactly-once files on
   top of the at-least-once source;
 * the batch is parsed once for the bronze write, and its message and reject
@@ -20,13 +20,14 @@ interval (``"5 seconds"``) or ``available_now=True`` for a bounded catch-up.
 from __future__ import annotations
 
 import logging
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import events_json
-from ..sources.bronze import PARTITION_COLUMN
+from ..sources.bronze import BATCH_COLUMN, PARTITION_COLUMN
 
 log = logging.getLogger(__name__)
 
@@ -66,7 +67,8 @@ class BronzeBatchWriter:
         self.rejects_path = rejects_path
         self.as_of = as_of
         self.jdbc_options = jdbc_options
-        self.last_counts: dict[int, dict[str, int]] = {}
+        # of the last batch alone: batch id, rows, rejects
+        self.last_counts: dict[str, int] = {}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # No persist: the bronze write is normally the only pass over the
@@ -82,12 +84,15 @@ class BronzeBatchWriter:
                 F.count(F.lit(1)).alias("messages"),
                 F.count_if(F.col(events_json.REASON).isNotNull()).alias("rejects"),
             )
-            good, _ = events_json.ingest_parsed(observed, self.as_of)
-            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp"))
+            # one stamp for the batch, whatever is written from it
+            stamp = self.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+            good, _ = events_json.ingest_parsed(observed, stamp)
+            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp")).withColumn(BATCH_COLUMN, F.lit(batch_id))
             (
                 good.write.mode("overwrite")
-                .partitionBy(PARTITION_COLUMN)
-                .parquet(f"{self.bronze_path}/batch_id={batch_id}")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(PARTITION_COLUMN, BATCH_COLUMN)
+                .parquet(self.bronze_path)
             )
             metrics = obs.get
             rejected = int(metrics.get("rejects", 0))
@@ -95,9 +100,9 @@ class BronzeBatchWriter:
                 _, rejects = events_json.split_parsed(parsed)
                 rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
             if self.jdbc_options:
-                good.drop(PARTITION_COLUMN).write.format("jdbc").options(**self.jdbc_options).mode("append").save()
+                good.drop(PARTITION_COLUMN, BATCH_COLUMN).write.format("jdbc").options(**self.jdbc_options).mode("append").save()
             rows = int(metrics.get("messages", 0)) - rejected
-            self.last_counts[batch_id] = {"rows": rows, "rejects": rejected}
+            self.last_counts = {"batch_id": batch_id, "rows": rows, "rejects": rejected}
             log.info("batch %s: %s events written, %s rejected", batch_id, rows, rejected)
         except Exception:
             log.exception("batch %s failed; it is replayed on restart", batch_id)

@@ -1,7 +1,7 @@
 """Live metrics and streaming deduplication (bounded state, event time).
 
-The stream carries zone-less timestamps; watermarks need ``TIMESTAMP``, so
-the event time is cast with the session time zone (UTC in our sessions).
+The stream carries zone-less UTC timestamps; watermarks need ``TIMESTAMP``, so
+the event time is converted through UTC, whatever the session's time zone.
 State is bounded by the watermark: a window or an event id is forgotten once
 the watermark passes it.  Spark closes windows with the watermark of the
 current batch but judges an input row late against the watermark of the
@@ -21,9 +21,7 @@ EVENT_TIME = "event_time"
 
 
 def with_event_time(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    return events.withColumn(EVENT_TIME, F.col("event_timestamp").cast("timestamp")).withWatermark(
-        EVENT_TIME, watermark
-    )
+    return events.withColumn(EVENT_TIME, pg.utc_instant(F.col("event_timestamp"))).withWatermark(EVENT_TIME, watermark)
 
 
 def live_metrics(events: DataFrame, window: str = "1 minute", watermark: str = "10 minutes") -> DataFrame:
@@ -43,8 +41,8 @@ def live_metrics(events: DataFrame, window: str = "1 minute", watermark: str = "
     )
     # back to zone-less wall-clock time, like the input
     return agg.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        pg.utc_clock(F.col("w.start")).alias("window_start"),
+        pg.utc_clock(F.col("w.end")).alias("window_end"),
         "events",
         "page_views",
         "add_to_carts",

@@ -1,37 +1,38 @@
 """Micro-batch progress: rows, rates and durations from the query listener.
 
-Registered once per session; every progress event of every streaming query is
-kept (bounded: the last ``keep`` events per query), so throughput and batch
-latency can be read without an extra pass over the data.
+Registered once per session.  Per query it keeps running totals over all its
+batches, and the last progress event, so its size doesn't grow with the run.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict, deque
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
-        self.events: dict[str, deque] = defaultdict(lambda: deque(maxlen=self.keep))
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+        self.last: dict[str, dict] = {}
 
     def onQueryStarted(self, event):  # noqa: N802 (listener API)
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
         p = event.progress
-        self.events[str(p.id)].append(
-            {
-                "batch_id": p.batchId,
-                "rows": p.numInputRows,
-                "input_rows_per_second": p.inputRowsPerSecond,
-                "processed_rows_per_second": p.processedRowsPerSecond,
-                "trigger_ms": (p.durationMs or {}).get("triggerExecution"),
-            }
-        )
+        ms = (p.durationMs or {}).get("triggerExecution") or 0
+        self.last[str(p.id)] = {
+            "batch_id": p.batchId,
+            "rows": p.numInputRows,
+            "input_rows_per_second": p.inputRowsPerSecond,
+            "processed_rows_per_second": p.processedRowsPerSecond,
+            "trigger_ms": ms,
+        }
+        if p.numInputRows:
+            total = self.totals.setdefault(str(p.id), {"batches": 0, "rows": 0, "ms": 0})
+            total["batches"] += 1
+            total["rows"] += p.numInputRows
+            total["ms"] += ms
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -40,19 +41,18 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def summary(self, query_id: str) -> dict:
-        batches = [b for b in self.events.get(str(query_id), []) if b["rows"]]
-        rows = sum(b["rows"] for b in batches)
-        ms = sum(b["trigger_ms"] or 0 for b in batches)
+        total = self.totals.get(str(query_id), {"batches": 0, "rows": 0, "ms": 0})
+        batches, rows, ms = total["batches"], total["rows"], total["ms"]
         return {
-            "batches": len(batches),
+            "batches": batches,
             "rows": rows,
             "batch_ms_total": ms,
-            "avg_batch_ms": ms / len(batches) if batches else None,
+            "avg_batch_ms": ms / batches if batches else None,
             "rows_per_second": rows / (ms / 1000.0) if ms else None,
         }
 
 
-def attach_progress_log(spark: SparkSession, keep: int = 1000) -> ProgressLog:
-    log = ProgressLog(keep)
+def attach_progress_log(spark: SparkSession) -> ProgressLog:
+    log = ProgressLog()
     spark.streams.addListener(log)
     return log

@@ -6,8 +6,11 @@ import re
 
 import pytest
 
-from clickmart.operators.ranking import THRESHOLD_CONF
+from clickmart.operators.dedup import dedup_keep_last
+from clickmart.operators.ranking import asc, desc, with_ntiles, with_ranks
 from clickmart.plans.registry import QUERIES, run
+from clickmart.schema import BRONZE_SCHEMA
+from clickmart.session import materialise
 from tests.conftest import SF_SMALL
 
 
@@ -29,10 +32,19 @@ def test_scan_reads_only_needed_columns(spark):
     assert all("value" not in s for s in schemas)  # events.value is never read
 
 
-def test_keep_last_reads_events_once(spark):
-    p = plan(run("dedup_keep_last", spark, SF_SMALL))
-    assert p.count("FileScan parquet") == 2  # events once, part once
-    assert "Union" not in p
+def test_keep_last_shuffles_no_null_ids(spark):
+    df = spark.createDataFrame([], BRONZE_SCHEMA)
+    p = plan(dedup_keep_last(df))
+    # the branch of the NULL ids is a filter alone; the window has one exchange
+    assert p.count("Exchange hashpartitioning(event_id") == 1 and "monotonically_increasing_id" not in p
+
+
+def test_daily_metrics_expand_no_events(spark):
+    p = plan(run("daily_event_metrics", spark, SF_SMALL))
+    # the distinct counts expand rows that are already summed per day, user and session
+    assert p.count("Expand") == 1
+    below = p[p.index("Expand") :]
+    assert "hashpartitioning(event_date" in below and "partial_count" in below
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -42,22 +54,17 @@ def test_no_quadratic_or_sort_fallback_operators(spark, name):
         assert bad not in p, bad
 
 
-def test_bucketed_ranking_has_no_single_partition_window_over_data(spark):
-    spark.conf.set(THRESHOLD_CONF, "0")
-    try:
-        p = plan(run("rfm_scores", spark, SF_SMALL))
-    finally:
-        spark.conf.unset(THRESHOLD_CONF)
-    # the tiles are computed per bucket; single-partition windows only run
-    # over the bounded sample (inside the boundary subquery) and the <= P
-    # per-bucket counts
-    assert "windowspecdefinition(_rk_bucket" in p
-    assert "ntile(5)" not in p
+def test_ranking_is_linear_in_the_scores(spark):
+    """Ranks: one broadcast and one shuffled join each, the ranked table read once; tiles: no join."""
+    df = spark.createDataFrame([(f"u{i}", i % 7, i % 5, i % 3) for i in range(50)], "id string, a int, b int, c int")
+    df = materialise(df, "test")
+    for n in (1, 2, 3):
+        p = plan(with_ranks(df, [(f"r{k}", [desc(k)]) for k in "abc"[:n]]))
+        assert p.count("FileScan parquet") == 1 + 2 * n and "Window" not in p
+        p = plan(with_ntiles(df, [(f"t{k}", 5, [asc(k), asc("id")]) for k in "abc"[:n]]))
+        assert p.count("FileScan parquet") == 1 and "Exchange" not in p and "Window" not in p
 
 
-def test_ranking_input_is_materialised_once(spark):
-    """The user mart ranks a checkpointed table: its plan starts from the
-    checkpoint, not from a re-derivation of the events."""
+def test_ranked_marts_start_from_a_written_table(spark):
     p = plan(run("mart_user_behavior", spark, SF_SMALL))
-    assert "Scan ExistingRDD" in p or "LogicalRDD" in p
-    assert "events.parquet" not in p
+    assert "events.parquet" not in p and "users-" in p

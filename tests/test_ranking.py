@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clickmart.operators.ranking import asc, desc, global_ntile, global_rank, global_row_number, ntile_of
+from clickmart.operators.ranking import _sorted, asc, desc, global_ntile, global_rank, global_row_number
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +26,9 @@ def rank_ties(spark):
 def test_rank_ntile_rownumber_equal_builtin(spark, rank_ties, descending):
     k = desc("key") if descending else asc("key")
     order = [k, asc("id")]
-    got = global_rank(rank_ties, [k], [asc("id")], "r", partitions=6, single_task_max_rows=0)
-    got = global_ntile(got, 5, order, "nt", partitions=7, single_task_max_rows=0)
-    got = global_row_number(got, order, "rn", partitions=8, single_task_max_rows=0)
+    got = global_rank(rank_ties, [k], "r", partitions=6)
+    got = global_ntile(got, 5, order, "nt", partitions=7)
+    got = global_row_number(got, order, "rn", partitions=8)
     exp = rank_ties.select(
         "id",
         F.rank().over(Window.orderBy(k.sort())).alias("r2"),
@@ -42,36 +42,45 @@ def test_rank_ntile_rownumber_equal_builtin(spark, rank_ties, descending):
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 23, 101])
-def test_ntile_formula(spark, n):
+def test_tiles_of_any_size(spark, n):
     df = spark.range(n).select(F.col("id").alias("i"))
-    got = df.select("i", ntile_of(F.col("i"), F.lit(n).cast("bigint"), 5).alias("t"))
+    got = global_ntile(df, 5, [asc("i")], "t")
     exp = df.select("i", F.ntile(5).over(Window.orderBy("i")).alias("t2"))
     assert got.join(exp, "i").filter(F.col("t") != F.col("t2")).count() == 0
+    assert got.count() == n
 
 
-def test_small_and_empty_inputs(spark):
-    for limit in (0, None):  # bucketed path, then the size-checked single-task path
-        empty = spark.createDataFrame([], "id string, key int")
-        assert global_ntile(empty, 5, [asc("key"), asc("id")], "t", single_task_max_rows=limit).count() == 0
-        tiny = spark.createDataFrame([("a", 1), ("b", None)], "id string, key int")
-        nt = global_ntile(tiny, 5, [asc("key"), asc("id")], "t", single_task_max_rows=limit)
-        out = {r.id: (r.t, r.r) for r in global_rank(nt, [asc("key")], [asc("id")], "r", single_task_max_rows=limit).collect()}
-        assert out == {"a": (1, 1), "b": (2, 2)}
-
-
-def test_single_task_path_is_size_checked(spark, rank_ties):
-    from clickmart.operators.ranking import _single_task_ok
-
-    assert _single_task_ok(rank_ties, 3001) and not _single_task_ok(rank_ties, 3000)
-    assert not _single_task_ok(rank_ties, 0)
-
+def test_key_types_and_columns(spark):
+    """DESC on text and dates, a Column as key, a key that isn't unique."""
+    df = spark.sql("SELECT id, concat('k', id % 4) AS s, date_add(DATE'2024-01-01', CAST(id % 3 AS INT)) AS d FROM range(40)")
+    got = global_rank(df, [desc("s")], "rs")
+    got = global_rank(got, [desc("d"), asc("s")], "rd")
+    got = global_rank(got, [asc(F.col("id") % 6)], "rc")
+    got = global_ntile(got, 3, [desc(F.upper("s")), desc("id")], "t")
+    exp = df.select(
+        "id",
+        F.rank().over(Window.orderBy(F.col("s").desc())).alias("rs2"),
+        F.rank().over(Window.orderBy(F.col("d").desc(), "s")).alias("rd2"),
+        F.rank().over(Window.orderBy(F.col("id") % 6)).alias("rc2"),
+        F.ntile(3).over(Window.orderBy(F.col("s").desc(), F.col("id").desc())).alias("t2"),
+    )
+    j = got.join(exp, "id")
+    assert j.count() == 40
+    assert j.filter("rs != rs2 OR rd != rd2 OR rc != rc2 OR t != t2").count() == 0
 
-def test_buckets_split_a_hot_key(spark):
-    # 90% of rows share one key; with 8 buckets no bucket may hold them all
-    rows = [(f"u{i:05d}", 0 if i % 10 else i) for i in range(4000)]
-    df = spark.createDataFrame(rows, "id string, key int")
-    from clickmart.operators.ranking import _with_buckets
 
-    sizes = [r["count"] for r in _with_buckets(df, [asc("key"), asc("id")], 8).groupBy("_rk_bucket").count().collect()]  # noqa: E501
-    assert max(sizes) < 0.5 * 4000
-    assert len(sizes) >= 6
+def test_small_and_empty_inputs(spark):
+    empty = spark.createDataFrame([], "id string, key int")
+    assert global_ntile(empty, 5, [asc("key"), asc("id")], "t").count() == 0
+    assert global_rank(empty, [asc("key")], "r").count() == 0
+    tiny = spark.createDataFrame([("a", 1), ("b", None)], "id string, key int")
+    nt = global_ntile(tiny, 5, [asc("key"), asc("id")], "t")
+    out = {r.id: (r.t, r.r) for r in global_rank(nt, [asc("key")], "r").collect()}
+    assert out == {"a": (1, 1), "b": (2, 2)}
+
+
+def test_a_hot_key_is_cut(spark):
+    # 90% of rows share one key; with 8 partitions none may hold them all
+    df = spark.createDataFrame([(f"u{i:05d}", 0 if i % 10 else i) for i in range(4000)], "id string, key int")
+    parts = _sorted(df, [asc("key").sort(), asc("id").sort()], 8).groupBy("_rk_part").count().collect()
+    assert max(r["count"] for r in parts) < 0.5 * 4000 and len(parts) >= 6
