@@ -4,7 +4,7 @@ A document's set is that of its distinct n-word shingles.  Documents with equal
 node.  Two nodes link when 100 * intersection >= percent * union.
 
 Candidates come from token-combination prefixes.  All tokens (shingle hashes) have one global
-order: rare ones first, then the frequent tiers.  A set of m tokens can miss d = m -
+order: rare ones first, then by frequency, at last the tiers of very frequent ones.  A set of m tokens can miss d = m -
 ceil(percent * m / 100) of them in any partner.  Its prefix is extended until it holds d + 1
 units: a rare token is one unit and is indexed by itself; the tokens of a tier of combinations
 of k are dealt to classes by hash, a class with c of them in the prefix counts c - k + 1 units
@@ -12,15 +12,17 @@ and is indexed by its k-combinations.  Of two linked sets, consider the prefix t
 at most d of its tokens are missing in the other set, so some class keeps k shared tokens, and
 they lie in the other prefix, too.  The number of classes follows the size of the sets (by
 powers of two; a set is indexed for every power its partners can have), so that combinations
-stay few and units suffice: short sets have one class per tier.
+stay few and units suffice; the tokens of very short sets are all indexed by themselves.
 
 The frequencies are counts of the tasks' batches over all documents; only tokens seen once in a
 batch aren't passed on.  Any order gives the same result; the counts just make buckets small.
 
 A bucket (one signature) isn't expanded into pairs.  Its smallest member is compared with each
 other one and the links' components are formed.  Members outside the bucket's largest component
-are then compared with all members of other components, so no link is lost.  Comparisons read
-the whole texts of both nodes.
+are then compared with all members of other components, so no link is lost.  A
+comparison first bounds the intersection from above: a set's tokens are counted in buckets by
+hash, and the sum of the smaller counts is no less than the intersection.  Pairs that can reach
+the threshold by that bound are decided on the whole texts of both nodes.
 
 Nodes are told apart by a 64-bit hash of their sets, tokens by one of their words.
 Defined cases: null or empty text, or white space alone: no shingles, linked with nothing, its
@@ -45,8 +47,10 @@ from clickmart.llm.rolling import mix, shingles
 
 #: (least count, k): tokens with that count are indexed in combinations of k.
 TIERS = ((1_000, 2), (100_000, 3))
-#: Frequent tokens that are sent to the tasks at most (8 bytes each); the others count as rare.
-MOST_FREQUENT = 500_000
+#: Tokens from this count on are ordered by it; the most frequent MOST_FREQUENT of them are sent
+#: to the tasks (about 10 bytes each), the others count as rare.
+FREQUENT = 4
+MOST_FREQUENT = 2_000_000
 #: Tokens of a set for each class of a tier, about.
 CLASS_TOKENS = 8
 #: Ids up to this many are broadcast to fetch the candidates' texts; more are joined by shuffle.
@@ -106,20 +110,34 @@ def _power(n: int) -> int:
     return n.bit_length() - 1
 
 
-def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percent: int) -> np.ndarray:
-    """Signatures of a set: sorted distinct tokens with their tiers (0: rare, i: combinations of ks[i - 1])."""
+def _classes(power: int, ks: tuple[int, ...], percent: int) -> int:
+    """Classes of a tier for sets of 2**power tokens and more; 0: index all tokens by themselves.
+
+    A class holds back k - 1 tokens that count no unit.  Of n tokens there must remain d + 1 <=
+    n - percent * n / 100 + 1 units, and n is percent / 100 * 2**power at least.
+    """
+    held_back = sum(k - 1 for k in ks)
+    return min(max(1, (1 << power) // CLASS_TOKENS), max(0, (percent * percent << power) // 10_000 - 1) // held_back)
+
+
+def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percent: int, level: np.ndarray | None = None) -> np.ndarray:
+    """Signatures of a set: sorted distinct tokens with their tiers (0: rare, i: combinations of
+    ks[i - 1]) and their frequency levels."""
     n = len(tokens)
     need = misses(n, percent) + 1
     largest = 100 * n // percent
     if largest <= n and misses(n, percent) == 0:
         return tokens[:0]  # its partners are equal sets only
-    order = np.argsort(tier, kind="stable")  # by tier, then by hash
+    order = np.lexsort((tokens, tier) if level is None else (tokens, level, tier))
     tokens, tier = tokens[order], tier[order]
     rare = int(np.searchsorted(tier, 1))
     out = [tokens[: min(rare, need)]]
     if rare < need:
         for power in range(_power(max(1, -(-percent * n // 100))), _power(largest) + 1):
-            classes = max(1, (1 << power) // CLASS_TOKENS)
+            classes = _classes(power, ks, percent)
+            if not classes:
+                out.append(tokens[:need])
+                continue
             held: dict[tuple[int, int], list[int]] = {}
             units, found = rare, []
             for token, t in zip(tokens[rare:].tolist(), tier[rare:].tolist(), strict=True):
@@ -141,7 +159,7 @@ def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percen
 
 def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tiers = frequent.value
+        known, tiers, levels = frequent.value
         for batch in batches:
             nodes, sizes, found, seen = [], [], [], set()
             for _, texts in _text_chunks(batch):
@@ -149,12 +167,12 @@ def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
                     if not len(own) or (node := node_of(own)) in seen:
                         continue
                     seen.add(node)
-                    tier = np.zeros(len(own), np.int64)
+                    tier, level = np.zeros(len(own), np.int8), np.zeros(len(own), np.int8)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                         hit = known[at] == own
-                        tier[hit] = tiers[at[hit]]
-                    s = signatures(own, tier, ks, percent)
+                        tier[hit], level[hit] = tiers[at[hit]], levels[at[hit]]
+                    s = signatures(own, tier, ks, percent, level)
                     nodes.append(node)
                     sizes.append(len(own))
                     found.append(s)
@@ -186,6 +204,56 @@ def _linked(words: int, percent: int):
     return run
 
 
+def bucket_counts(tokens: np.ndarray) -> np.ndarray:
+    """Tokens per bucket by the leading bits of their hash; two to four tokens a bucket on average."""
+    bits = max(0, _power(max(1, len(tokens))) - 1)
+    if not bits:
+        return np.array([min(len(tokens), 255)], np.uint8)
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def most_shared(a: np.ndarray, b: np.ndarray, n: int) -> int:
+    """No less than the intersection of two sets with these bucket counts; ``n``: the smaller set's tokens."""
+    if max(a.max(), b.max()) == 255:
+        return n  # a count may be cut off
+    if len(a) < len(b):
+        a, b = b, a
+    folded = a.reshape(len(b), -1).sum(axis=1, dtype=np.int64)
+    return int(np.minimum(folded, b).sum())
+
+
+def _counted(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [bucket_counts(own).tobytes() for _, texts in _text_chunks(batch) for own in shingles(texts, words)]
+            yield pa.record_batch([batch.column("node"), pa.array(counts, pa.binary())], names=["node", "counts"])
+
+    return run
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            columns = (batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_counts", "b_counts"))
+            for i, (a_n, b_n, a, b) in enumerate(zip(*columns, strict=True)):
+                shared = most_shared(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8), min(a_n, b_n))
+                if 100 * shared >= percent * (a_n + b_n - shared):
+                    keep.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    return run
+
+
+def _possible_pairs(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can link by their bucket counts."""
+    for side in ("a", "b"):
+        own = counts.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("counts").alias(f"{side}_counts"))
+        pairs = pairs.join(own, side)
+    return pairs.select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(_possible(percent), "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
@@ -200,11 +268,13 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     first = materialise(docs.mapInArrow(_sets(words), "doc_id long, node long, n int, token long, count long"), "sets")
     rows = first.filter(F.col("n").isNotNull()).select("doc_id", "node", "n")
     counts = first.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count"))
-    counts = counts.filter(F.col("count") >= tiers[0][0]).orderBy(F.col("count").desc(), "token").limit(MOST_FREQUENT).toPandas()
+    counts = counts.filter(F.col("count") >= min(FREQUENT, tiers[0][0])).orderBy(F.col("count").desc(), "token").limit(MOST_FREQUENT).toPandas()
     token = counts["token"].to_numpy(dtype=np.int64).view(np.uint64)
-    tier = sum((counts["count"].to_numpy() >= least).astype(np.int64) for least, _ in tiers)
+    count = counts["count"].to_numpy(dtype=np.int64)
+    tier = sum((count >= least).astype(np.int8) for least, _ in tiers)
+    level = np.floor(np.log2(np.maximum(count, 1))).astype(np.int8)
     order = np.argsort(token)
-    frequent = spark.sparkContext.broadcast((token[order], tier[order]))
+    frequent = spark.sparkContext.broadcast((token[order], tier[order], level[order]))
 
     signed = docs.mapInArrow(_signed(words, percent, frequent, tuple(k for _, k in tiers)), "signature long, node long, n int").distinct()
     buckets = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("first")).filter("members > 1")
@@ -218,9 +288,13 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     # a repeated id can have several texts: the node says which one is meant
     texts = materialise(docs.join(one, "doc_id").select("node", "text").mapInArrow(_own_texts(words), "node long, text string").dropDuplicates(["node"]), "texts")
 
+    counts = texts.mapInArrow(_counted(words), "node long, counts binary").join(sizes, "node")
+    counts = materialise(counts.select("node", "n", "counts"), "counts")
+
     small = sizes.select(F.col("node").alias("first"), F.col("n").alias("first_n"))
     pairs = member.filter(F.col("node") != F.col("first")).select("first", "node", "n").distinct().join(small, "first")
     pairs = pairs.filter((F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent)).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    pairs = materialise(_possible_pairs(pairs, counts, percent), "pairs")
     links = materialise(_verified(pairs, texts, words, percent), "links")
     labels = components(links)
 
@@ -235,6 +309,7 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     fits = F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent
     met = stray.join(other, "signature").filter((F.col("label") != F.col("x_label")) & fits)
     pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    pairs = materialise(_possible_pairs(pairs, counts, percent), "more-pairs")
     more = materialise(_verified(pairs, texts, words, percent), "more-links")
     if more.count():
         labels = components(links.unionByName(more))
