@@ -46,7 +46,7 @@ STRETCH = 1 << 23
 #: Contexts of one anchor, and bytes of a block of several anchors.
 WIDE = 16_384
 BLOCK = 1 << 21
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 
 _PLACE = 28  # bits for a place in a chunk beside the hash that orders the anchors
 
