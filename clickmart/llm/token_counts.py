@@ -151,7 +151,8 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id
     # every column is used here as below, so that both read the same exchange
     distinct = lists.groupBy("key").agg(F.max("block").alias("block"), F.max(F.octet_length("found")).alias("most"))
     pieces = distinct.mapInArrow(_counted(path), "key string, pieces long")
-    joined = lists.join(pieces, "key").select("block", F.col("key").startswith(HEAD).alias("head"), "found", "pieces")
+    # a left join adds no filter below the exchange, which would make it another one
+    joined = lists.join(pieces, "key", "left").select("block", F.col("key").startswith(HEAD).alias("head"), "found", "pieces")
     sums = joined.groupBy("block").applyInArrow(_summed, "doc_id long, n_bytes long, n_tokens long")
     return sums.withColumn("over_limit", F.col("n_tokens") > limit)
 
