@@ -40,7 +40,7 @@ def utc_clock(instant: Column) -> Column:
 
 def utc_instant(clock: Column) -> Column:
     """The TIMESTAMP at which UTC clocks show ``clock`` (a TIMESTAMP_NTZ)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), clock))
+    return F.timestamp_micros(micros_between(F.lit(EPOCH).cast("timestamp_ntz"), clock))
 
 
 def as_of_literal(as_of: str | _dt.datetime | None = None) -> Column:
@@ -92,8 +92,15 @@ def pg_day_name(ts: str | Column) -> Column:
 
 
 def micros_between(start: str | Column, end: str | Column) -> Column:
-    """Whole microseconds from ``start`` to ``end`` (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end))
+    """Whole microseconds from ``start`` to ``end`` (BIGINT).
+
+    Taken from the parts of the interval: ``timestamp_diff`` would read zone-less
+    timestamps in the session's time zone, where hours can be skipped or repeated.
+    """
+    gap = col(end) - col(start)
+    day, hour, minute, second = (F.extract(F.lit(part), gap) for part in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    minutes = (day.cast("bigint") * 24 + hour) * 60 + minute
+    return minutes * (60 * MICROS_PER_SECOND) + (second * MICROS_PER_SECOND).cast("bigint")
 
 
 def epoch_seconds_between(start: str | Column, end: str | Column) -> Column:

@@ -44,3 +44,28 @@ def test_repair_and_stamp(spark):
     assert str(got[("EVT_5", "page_view")].ingestion_timestamp) == "2024-02-06 00:00:00"
     q = spark.createDataFrame([("add_to_cart", None), ("add_to_cart", -2), ("purchase", 3), ("page_view", 0)], "event_type string, quantity int")
     assert [r.quantity for r in repair_quantity(q).collect()] == [1, 1, 3, 0]
+
+
+def test_offsets_are_honoured(spark):
+    """Text with Z or an offset is converted to UTC; text without one is taken as it is, in any session zone."""
+    times = {
+        "2024-01-03T14:23:45": "2024-01-03 14:23:45",
+        "2024-01-03 14:23:45.250": "2024-01-03 14:23:45.250000",
+        "2024-01-03T14:23:45Z": "2024-01-03 14:23:45",
+        "2024-01-03T14:23:45+01:00": "2024-01-03 13:23:45",
+        "2024-01-03T14:23:45.5-05:30": "2024-01-03 19:53:45.500000",
+        "2024-03-10T02:30:00": "2024-03-10 02:30:00",
+        "2024-01-03": "2024-01-03 00:00:00",
+    }
+    rows = [(json.dumps(dict(GOOD, event_id=f"E{i}", event_timestamp=t)),) for i, t in enumerate(times)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            good, rejects = parse_events(spark.createDataFrame(rows, "value string"))
+            got = {r.event_id: r.event_timestamp for r in good.selectExpr("event_id", "CAST(event_timestamp AS STRING) AS event_timestamp").collect()}
+            want = {f"E{i}": t.rstrip("0") if "." in t else t for i, t in enumerate(times.values())}
+            assert got == want
+            assert rejects.count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -251,3 +251,12 @@ def test_funnel_stack_equals_union(spark):
     cols = ["stage_order", "sessions", "users_dropped", "conversion_rate_from_previous", "conversion_rate_from_start"]
     stacked = gold.mart_conversion_funnel(sessions).select(*cols)
     assert sorted(stacked.collect()) == sorted(union.collect())
+
+
+def test_rows_that_differ_in_city_alone(spark):
+    """The survivor follows from the row's columns, not from the layout."""
+    rows = [ev("E1", T0, "page_view")[:15] + (city, T0) for city in ("Lagos", "Abuja", None, "Kano")]
+    for order in (rows, rows[::-1]):
+        b = bronze_df(spark, order).repartition(3)
+        assert [r.city for r in dedup_keep_first(b).collect()] == ["Abuja"]
+        assert [r.city for r in dedup_keep_last(b).collect()] == [None]

@@ -134,3 +134,51 @@ def test_latency_and_pruned_reads_over_the_stream_layout(spark, tmp_dir):
     assert sorted(r.event_id for r in two_days.collect()) == ["D2", "D3"]
     lat = ingest_latency_per_batch(read_bronze(spark, f"{tmp_dir}/b")).collect()[0]
     assert lat.events == 5 and lat.max_latency_seconds == 5 * 86400.0 and lat.avg_latency_seconds == 3 * 86400.0
+
+
+def test_live_windows_in_another_session_zone(spark):
+    """Windows are those of the events' own clocks, also where the session's zone skips that hour."""
+    from clickmart.plans.reports import events_per_minute
+    from clickmart.sources.events_json import parse_events
+
+    rows = [(json.dumps(dict(_event(i, i), event_timestamp=f"2024-03-10T02:3{i}:00")),) for i in range(3)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        good, _ = parse_events(spark.createDataFrame(rows, "value string"))
+        live = {str(r[0]) for r in live_metrics(good, "1 minute").selectExpr("CAST(window_start AS STRING)").collect()}
+        batch = {str(r[0]) for r in events_per_minute(good).selectExpr("CAST(minute_start AS STRING)").collect()}
+        assert live == batch == {f"2024-03-10 02:3{i}:00" for i in range(3)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_trigger_interval_and_stop(spark, tmp_dir):
+    """A running query takes new files at its trigger and stops cleanly on request; the totals cover all its batches."""
+    import time
+
+    from clickmart.streaming.ingest import start_ingest
+    from clickmart.streaming.progress import attach_progress_log
+
+    src = os.path.join(tmp_dir, "in")
+    _write_lines(src, "a.json", [_event(i, i) for i in range(3)])
+    log = attach_progress_log(spark)
+    q = start_ingest(read_events(spark, "text", src), f"{tmp_dir}/b", f"{tmp_dir}/r", f"{tmp_dir}/c", trigger="5 seconds")
+
+    def wait_for(rows):
+        end = time.time() + 60
+        while log.summary(q.id)["rows"] < rows and time.time() < end:
+            time.sleep(0.2)
+        return log.summary(q.id)
+
+    try:
+        assert wait_for(3)["rows"] == 3
+        _write_lines(src, "b.json", [_event(i, i) for i in range(3, 5)])
+        assert wait_for(5) | {"batch_ms_total": 0, "avg_batch_ms": 0, "rows_per_second": 0} == {"batches": 2, "rows": 5, "batch_ms_total": 0, "avg_batch_ms": 0, "rows_per_second": 0}
+    finally:
+        q.stop()
+        spark.streams.removeListener(log)
+    assert not q.isActive and q.exception() is None
+    assert read_bronze(spark, f"{tmp_dir}/b").count() == 5
+    # one stamp per batch
+    assert read_bronze(spark, f"{tmp_dir}/b").select("ingestion_timestamp").distinct().count() == 2
