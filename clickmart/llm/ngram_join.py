@@ -38,10 +38,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import join_classes, materialise
+from clickmart.llm.common import join_classes, materialise, row_key
 from clickmart.llm.components import components
 from clickmart.llm.rolling import mix, shingles
 
@@ -77,7 +77,8 @@ def node_of(tokens: np.ndarray) -> int:
 
 
 def _sets(words: int):
-    names, types = ["doc_id", "node", "n", "token", "count"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["doc_id", "rid", "node", "n", "token", "count"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,11 +92,11 @@ def _sets(words: int):
                         seen.add(node)
                         tokens.append(own)
             k = len(nodes)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("rid"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
             if tokens:
                 token, count = np.unique(np.concatenate(tokens), return_counts=True)
                 token, count = token[count > 1].view(np.int64), count[count > 1]
-                none = [pa.nulls(len(token), t) for t in types[:3]]
+                none = [pa.nulls(len(token), t) for t in types[:4]]
                 yield pa.record_batch([*none, pa.array(token), pa.array(count.astype(np.int64))], names=names)
 
     return run
@@ -161,7 +162,7 @@ def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tiers, levels = frequent.value
         for batch in batches:
-            nodes, sizes, found, seen = [], [], [], set()
+            nodes, sizes, found, common, seen = [], [], [], [], set()
             for _, texts in _text_chunks(batch):
                 for own in shingles(texts, words):
                     if not len(own) or (node := node_of(own)) in seen:
@@ -176,11 +177,13 @@ def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
                     nodes.append(node)
                     sizes.append(len(own))
                     found.append(s)
+                    # tokens that aren't known to be frequent; combinations are of frequent ones
+                    common.append(~np.isin(s, own[level == 0], assume_unique=True))
             lengths = [len(s) for s in found]
             if sum(lengths):
                 yield pa.record_batch(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths))],
-                    names=["signature", "node", "n"],
+                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(np.concatenate(common))],
+                    names=["signature", "node", "n", "common"],
                 )
 
     return run
@@ -223,15 +226,47 @@ def most_shared(a: np.ndarray, b: np.ndarray, n: int) -> int:
     return int(np.minimum(folded, b).sum())
 
 
+def _own(words: int, batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarray]]:
+    """(node, text, tokens) of the rows whose text has the node's set."""
+    nodes = batch.column("node").to_pylist()
+    for at, texts in _text_chunks(batch):
+        for i, own in enumerate(shingles(texts, words), at):
+            if len(own) and node_of(own) == nodes[i]:
+                yield nodes[i], texts[i - at], own
+
+
 def _counted(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [bucket_counts(own).tobytes() for _, texts in _text_chunks(batch) for own in shingles(texts, words)]
-            yield pa.record_batch([batch.column("node"), pa.array(counts, pa.binary())], names=["node", "counts"])
+            rows = [(node, bucket_counts(own).tobytes()) for node, _, own in _own(words, batch)]
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "counts"])
+
+    return run
+
+
+def _texts(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(node, text) for node, text, _ in _own(words, batch)]
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["node", "text"])
 
     return run
 
 
+def _fetched(docs: DataFrame, nodes: DataFrame, run, columns: str) -> DataFrame:
+    """What ``run`` makes of one text of each of ``nodes`` (node, rid, again: whether that row repeats)."""
+
+    def read(of: DataFrame) -> DataFrame:
+        of = of.select("node", "rid")
+        return docs.join(F.broadcast(of) if few else of, "rid").select("node", "text").mapInArrow(run, columns)
+
+    few = nodes.count() <= BROADCAST_IDS
+    out = read(nodes.filter(~F.col("again")))
+    if nodes.filter("again").count():
+        out = out.unionByName(read(nodes.filter("again")).dropDuplicates(["node"]))
+    return out
+
+
 def _possible(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,12 +296,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.mapInArrow(_linked(words, percent), "a long, b long")
 
 
+def _links(docs: DataFrame, nodes: DataFrame, counts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The candidate pairs that link, written: first by the bound, then by their texts."""
+    pairs = materialise(_possible_pairs(pairs, counts, percent), "pairs")
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = materialise(_fetched(docs, nodes.join(needed, "node", "left_semi"), _texts(words), "node long, text string"), "texts")
+    return materialise(_verified(pairs, texts, words, percent), "links")
+
+
 def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple = TIERS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    first = materialise(docs.mapInArrow(_sets(words), "doc_id long, node long, n int, token long, count long"), "sets")
-    rows = first.filter(F.col("n").isNotNull()).select("doc_id", "node", "n")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
+    first = materialise(docs.mapInArrow(_sets(words), "doc_id long, rid long, node long, n int, token long, count long"), "sets")
+    rows = first.filter(F.col("n").isNotNull()).select("doc_id", "rid", "node", "n")
     counts = first.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count"))
     counts = counts.filter(F.col("count") >= min(FREQUENT, tiers[0][0])).orderBy(F.col("count").desc(), "token").limit(MOST_FREQUENT).toPandas()
     token = counts["token"].to_numpy(dtype=np.int64).view(np.uint64)
@@ -276,26 +319,29 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     order = np.argsort(token)
     frequent = spark.sparkContext.broadcast((token[order], tier[order], level[order]))
 
-    signed = docs.mapInArrow(_signed(words, percent, frequent, tuple(k for _, k in tiers)), "signature long, node long, n int").distinct()
-    buckets = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("first")).filter("members > 1")
-    member = materialise(signed.join(buckets.select("signature", "first"), "signature").select("signature", "node", "n", "first"), "members")
+    signed = docs.mapInArrow(_signed(words, percent, frequent, tuple(k for _, k in tiers)), "signature long, node long, n int, common boolean")
+    # few members have a signature that isn't common, so one shuffle is enough; common ones are
+    # aggregated before they are dealt out, and their members follow by a join
+    bucket = Window.partitionBy("signature")
+    rare = signed.filter(~F.col("common")).select("signature", "node", "n", F.min("node").over(bucket).alias("first"), F.max("node").over(bucket).alias("last"))
+    common = signed.filter("common").select("signature", "node", "n").distinct()
+    buckets = common.groupBy("signature").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    common = common.join(buckets.filter("first != last"), "signature").select("signature", "node", "n", "first")
+    member = rare.filter("first != last").select("signature", "node", "n", "first").unionByName(common)
+    member = materialise(member.distinct(), "members")
 
     sizes = materialise(member.select("node", "n").distinct(), "candidates")
-    nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
+    nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rid").alias("rid"), F.count(F.lit(1)).alias("rows"))
+    repeated = rows.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("again"))
+    nodes = nodes.join(repeated, "rid", "left").select("node", "doc_id", "rid", "rows", F.coalesce("again", F.lit(False)).alias("again"))
     nodes = materialise(nodes, "nodes")
-    one = nodes.join(sizes.select("node"), "node", "left_semi").select("node", "doc_id").filter(F.col("doc_id").isNotNull())
-    one = F.broadcast(one) if sizes.count() <= BROADCAST_IDS else one
-    # a repeated id can have several texts: the node says which one is meant
-    texts = materialise(docs.join(one, "doc_id").select("node", "text").mapInArrow(_own_texts(words), "node long, text string").dropDuplicates(["node"]), "texts")
-
-    counts = texts.mapInArrow(_counted(words), "node long, counts binary").join(sizes, "node")
+    counts = _fetched(docs, nodes.join(sizes.select("node"), "node", "left_semi"), _counted(words), "node long, counts binary").join(sizes, "node")
     counts = materialise(counts.select("node", "n", "counts"), "counts")
 
     small = sizes.select(F.col("node").alias("first"), F.col("n").alias("first_n"))
     pairs = member.filter(F.col("node") != F.col("first")).select("first", "node", "n").distinct().join(small, "first")
     pairs = pairs.filter((F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent)).select(F.col("first").alias("a"), F.col("node").alias("b"))
-    pairs = materialise(_possible_pairs(pairs, counts, percent), "pairs")
-    links = materialise(_verified(pairs, texts, words, percent), "links")
+    links = _links(docs, nodes, counts, pairs, words, percent)
     labels = components(links)
 
     # members of a bucket outside its largest component meet those of the others
@@ -309,8 +355,7 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     fits = F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent
     met = stray.join(other, "signature").filter((F.col("label") != F.col("x_label")) & fits)
     pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    pairs = materialise(_possible_pairs(pairs, counts, percent), "more-pairs")
-    more = materialise(_verified(pairs, texts, words, percent), "more-links")
+    more = _links(docs, nodes, counts, pairs, words, percent)
     if more.count():
         labels = components(links.unionByName(more))
 
@@ -319,23 +364,10 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     labelled = materialise(labelled, "classes")
     smallest = labelled.join(labels.select("label").distinct(), "label", "left_semi").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     classes = labelled.join(smallest, "label", "left").select("node", "rows", F.coalesce("component_id", "doc_id").alias("component_id"))
-    with_set = join_classes(rows.filter(F.col("node").isNotNull()), classes, "node", "rows", total).select("doc_id", "n", "component_id")
+    with_set = join_classes(rows.filter(F.col("node").isNotNull()).drop("rid"), classes, "node", "rows", total).select("doc_id", "n", "component_id")
     without = rows.filter(F.col("node").isNull()).select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return with_set.unionByName(without).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
-def _own_texts(words: int):
-    """Rows whose text has the node's set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, keep = batch.column("node").to_pylist(), []
-            for at, texts in _text_chunks(batch):
-                keep += [i for i, own in enumerate(shingles(texts, words), at) if len(own) and node_of(own) == nodes[i]]
-            yield batch.take(pa.array(keep, pa.int64()))
-
-    return run
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     return linked_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90)

@@ -132,6 +132,8 @@ def near_rows(seed=5):
 @pytest.mark.parametrize("words, percent, tiers", [(3, 90, ngram_join.TIERS), (3, 90, ((2, 2), (6, 3))), (5, 80, ((3, 2), (9, 3))), (1, 60, ((2, 2), (4, 3)))])
 def test_linked_components(spark, words, percent, tiers):
     rows = near_rows()
+    # near copies without an id, and one row repeated as a whole
+    rows += [(None, rows[-1][1] + " more"), (None, rows[-2][1]), rows[-1], rows[-1]]
     got = ngram_join.linked_components(documents(spark, rows, 1), words, percent, tiers).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in got) == plain_components(rows, words, percent)
 
