@@ -1,7 +1,8 @@
 """Quality classifier: a linear support vector machine on naive Bayes features.
 
 Features are indicators of a text's byte n-grams (NGRAM bytes, case kept), hashed to FEATURES
-positions.  Each indicator is scaled by its class log-count ratio over the labelled sample, the
+positions, and of n-grams of one word repeated, whatever the word (one position for each length
+in REPEATS).  Each indicator is scaled by its class log-count ratio over the labelled sample, the
 vectors are scaled to unit length, and a linear model with hinge loss is fitted by dual
 coordinate descent.  The sample is dealt to shards, each shard is fitted by itself and the
 weights are averaged; margins of a shard's rows under the other shards' models calibrate the
@@ -17,6 +18,7 @@ labels of both classes the score is the share of label 1 (0.5 without any label)
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,9 @@ from clickmart.llm.common import materialise
 
 NGRAM = 3
 FEATURES = 1 << 18
+#: Lengths of the n-grams of one repeated word; their features follow the hashed ones.
+REPEATS = (2, 3, 4, 6, 9)
+SPACE = FEATURES + len(REPEATS)
 #: Bound of the labelled sample that the model is fitted on.
 SAMPLE_ROWS = 20_000
 SHARDS = 4
@@ -41,17 +46,23 @@ SMOOTHING = 1.0
 
 def features(text: str, mark: np.ndarray) -> np.ndarray:
     """Distinct features of a text; ``mark`` is scratch space of FEATURES integers."""
+    longest = run = 1
+    words = text.split()
+    for a, b in zip(words, words[1:], strict=False):
+        run = run + 1 if a == b else 1
+        longest = max(longest, run)
+    repeats = np.arange(FEATURES, FEATURES + bisect.bisect_right(REPEATS, longest), dtype=np.uint32)
     b = np.frombuffer(text.encode(), np.uint8).astype(np.uint32)
     n = len(b) - NGRAM + 1
     if n <= 0:
-        return np.empty(0, np.uint32)
+        return repeats
     code = np.zeros(n, np.uint32)
     for i in range(NGRAM):
         code = (code << np.uint32(8)) | b[i : i + n]
     code = (code * np.uint32(2654435761)) >> np.uint32(32 - FEATURES.bit_length() + 1)
     at = np.arange(n, dtype=np.int32)
     mark[code] = at
-    return code[mark[code] == at]
+    return np.concatenate((code[mark[code] == at], repeats))
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +73,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, FEATURES), np.int64)
+    counts = np.zeros((2, SPACE), np.int64)
     for batch in batches:
         for label, own in zip(batch.column("label").to_pylist(), batch.column("features").to_pylist(), strict=True):
             counts[label, np.frombuffer(own, np.uint32)] += 1
@@ -162,10 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_r
     known = known.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known.select(F.col("doc_id").cast("long").alias("doc_id"), "label")), "doc_id")
     rows = materialise(rows.mapInArrow(_sampled, "doc_id long, label int, features binary"), "sample")
-    zeros, ones, classes = np.zeros(FEATURES), np.zeros(FEATURES), {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+    zeros, ones, classes = np.zeros(SPACE), np.zeros(SPACE), {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     if len(classes) < 2:
         share = classes.get(1, 0) / sum(classes.values()) if classes else 0.5
-        none = np.zeros(FEATURES, np.float64)
+        none = np.zeros(SPACE, np.float64)
         return none, none, 0.0, 1.0, float(np.log((share + 1e-9) / (1 - share + 1e-9)))
     counts = rows.mapInArrow(_counted, "feature long, zeros long, ones long").groupBy("feature").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toPandas()
     zeros[counts["feature"]], ones[counts["feature"]] = counts["zeros"], counts["ones"]
