@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickmart.session import materialise
+
+__all__ = ["HOT_SHARE", "SPACES", "ascii_lower", "join_classes", "materialise", "most_frequent", "row_key", "text_or_empty", "without_rows"]
+
 #: White space of the contracts: blank and the five controls 09-0D.
 SPACES = " \t\n\v\f\r"
 
@@ -15,26 +16,6 @@ SPACES = " \t\n\v\f\r"
 HOT_SHARE = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``).
-
-    Only where none is set, as in tests, a private folder is made and set.
-    """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back: the lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
@@ -74,3 +55,19 @@ def without_rows(docs: DataFrame, dropped: DataFrame, most: int = 2_000_000) ->
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """A 64-bit hash of id and text, by which rows are told apart where ids may be null or repeat."""
     return F.xxhash64(F.col(id_col), text_or_empty(text_col))
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Rows of ``counts`` (a column ``count``, at least 1) from the smallest count on that leaves
+    at most ``most`` of them, by a histogram of the counts' logarithms: no sort, and no task sees
+    more than its share."""
+    counts = materialise(counts, "counts")
+    level = F.floor(F.log2("count") * 8)
+    found = dict(counts.groupBy(level.alias("level")).count().collect())  # at most 8 levels a doubling
+    lowest, total = None, 0
+    for at in sorted(found, reverse=True):
+        total += found[at]
+        if total > most:
+            break
+        lowest = at
+    return counts.filter(level >= lowest) if lowest is not None else counts.limit(0)

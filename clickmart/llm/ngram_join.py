@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import join_classes, materialise, row_key
+from clickmart.llm.common import join_classes, materialise, most_frequent, row_key
 from clickmart.llm.components import components
 from clickmart.llm.rolling import mix, shingles
 
@@ -311,7 +311,7 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     first = materialise(docs.mapInArrow(_sets(words), "doc_id long, rid long, node long, n int, token long, count long"), "sets")
     rows = first.filter(F.col("n").isNotNull()).select("doc_id", "rid", "node", "n")
     counts = first.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("count").alias("count"))
-    counts = counts.filter(F.col("count") >= min(FREQUENT, tiers[0][0])).orderBy(F.col("count").desc(), "token").limit(MOST_FREQUENT).toPandas()
+    counts = most_frequent(counts.filter(F.col("count") >= min(FREQUENT, tiers[0][0])), MOST_FREQUENT).toPandas()
     token = counts["token"].to_numpy(dtype=np.int64).view(np.uint64)
     count = counts["count"].to_numpy(dtype=np.int64)
     tier = sum((count >= least).astype(np.int8) for least, _ in tiers)

@@ -5,8 +5,9 @@ count is the sum over its pre-tokens.  Each task turns blocks of documents into
 lists: a pre-token with the block's documents that hold it, once per occurrence.  Pre-tokens
 are dealt by hash; the tokenizer library encodes each distinct one once, the counts are
 joined to the lists, and the sums are aggregated per document.  No ids of a document are ever
-made.  Pre-tokens that are themselves pieces of the vocabulary (their number is bounded by it)
-are counted once on the driver and summed where the text is read.
+made.  Pre-tokens that are themselves pieces of the vocabulary, and the FREQUENT most frequent
+others (counted over all documents), take a shorter way: each is encoded once, and the bounded
+table of their counts is joined by a broadcast, so they are summed where the text is read.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); special strings in a text are one
 token each, as the library takes them by default; a repeated row is counted for itself.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from clickmart.llm.common import most_frequent
+
 #: Bytes of text (code points, to be exact) and documents of a block.
 BLOCK_CHARS = 12_000_000
 BLOCK_DOCS = 65_535
+#: Pre-tokens outside the vocabulary whose counts are broadcast, at most.
+FREQUENT = 500_000
 
 #: Begins the key of a block's documents; no pre-token does, as none has letters on both sides of a blank.
 HEAD = "documents of block "
@@ -91,21 +97,59 @@ def _block(block: int, doc_ids: list, sizes: list[int], special: list[int], word
         yield pa.record_batch([pa.array([names[i] for i in number[s].tolist()]), pa.array(np.full(m, block)), lists], schema=ARROW)
 
 
+def _splitter(pattern: str, specials: list[str]):
+    """Splits a text into its pre-tokens and the number of its special strings."""
+    split = regex.compile(pattern)
+    cut = re.compile("|".join(map(re.escape, specials))) if specials else None
+
+    def pretokens(text: str) -> tuple[list[str], int]:
+        if not cut or not any(s in text for s in specials):
+            return split.findall(text), 0
+        parts = cut.split(text)
+        return [w for p in parts for w in split.findall(p)], len(parts) - 1
+
+    return pretokens
+
+
+def _repeated(pattern: str, specials: list[str], known):
+    """Pre-tokens outside the vocabulary that occur more than once in a block, with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pretokens, vocabulary = _splitter(pattern, specials), known.value
+        held, chars = Counter(), 0
+
+        def flush() -> pa.RecordBatch:
+            own = [(w, n) for w, n in held.items() if n > 1 and w not in vocabulary]
+            return pa.record_batch([pa.array([w for w, _ in own], pa.string()), pa.array([n for _, n in own], pa.int64())], names=["key", "count"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                text = text.as_py() or ""
+                held.update(pretokens(text)[0])
+                chars += len(text)
+                if chars >= BLOCK_CHARS:
+                    yield flush()
+                    held.clear()
+                    chars = 0
+        if held:
+            yield flush()
+
+    return run
+
+
 def _inverted(pattern: str, specials: list[str], known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern)
-        cut = re.compile("|".join(map(re.escape, specials))) if specials else None
+        pretokens = _splitter(pattern, specials)
         block = TaskContext.get().partitionId() << 32
         words, found, doc_ids, sizes, special, chars = _Numbers(), [], [], [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                parts = cut.split(text) if cut and any(s in text for s in specials) else [text]
-                pretokens = [w for p in parts for w in split.findall(p)] if len(parts) > 1 else split.findall(text)
-                found.append(np.fromiter(map(words.__getitem__, pretokens), np.int32, len(pretokens)))
+                own, cuts = pretokens(text)
+                found.append(np.fromiter(map(words.__getitem__, own), np.int32, len(own)))
                 doc_ids.append(doc_id)
                 sizes.append(len(text.encode()))
-                special.append(len(parts) - 1)
+                special.append(cuts)
                 chars += len(text)
                 if chars >= BLOCK_CHARS or len(found) >= BLOCK_DOCS:
                     yield from _block(block, doc_ids, sizes, special, words, found, known.value)
@@ -145,8 +189,14 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = 1024, id
     """
     spark = docs.sparkSession
     specials = [a.content for a in _tokenizer(path).get_added_tokens_decoder().values()]
-    known = spark.sparkContext.broadcast(vocabulary_counts(path))
-    lists = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_inverted(pattern, specials, known), LISTS)
+    sc = spark.sparkContext
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    vocabulary = vocabulary_counts(path)
+    repeated = docs.select("text").mapInArrow(_repeated(pattern, specials, sc.broadcast(vocabulary)), "key string, count long")
+    frequent = most_frequent(repeated.groupBy("key").agg(F.sum("count").alias("count")), FREQUENT)
+    frequent = frequent.select("key").mapInArrow(_counted(path), "key string, pieces long").toPandas()
+    known = sc.broadcast(vocabulary | dict(zip(frequent["key"].tolist(), frequent["pieces"].tolist(), strict=True)))
+    lists = docs.mapInArrow(_inverted(pattern, specials, known), LISTS)
     lists = lists.repartition("key")
     # every column is used here as below, so that both read the same exchange
     distinct = lists.groupBy("key").agg(F.max("block").alias("block"), F.max(F.octet_length("found")).alias("most"))
