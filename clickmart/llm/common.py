@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.session import materialise
 
-__all__ = ["HOT_SHARE", "SPACES", "ascii_lower", "join_classes", "materialise", "most_frequent", "row_key", "text_or_empty", "without_rows"]
+__all__ = ["find_package", "HOT_SHARE", "SPACES", "ascii_lower", "join_classes", "materialise", "most_frequent", "row_key", "text_or_empty", "without_rows"]
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: White space of the contracts: blank and the five controls 09-0D.
 SPACES = " \t\n\v\f\r"
@@ -16,6 +20,17 @@ SPACES = " \t\n\v\f\r"
 HOT_SHARE = 1000
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package, wherever the session was started.
+
+    On a cluster the package is shipped with the job (``--py-files`` or installed).
+    """
+    sc = spark.sparkContext
+    path = sc.environment.get("PYTHONPATH", "")
+    if sc.master.startswith("local") and ROOT not in path.split(os.pathsep):
+        sc.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, path)))
+
+
 def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame
+
 from clickmart.llm import bwt_dedup, decontaminate, harmonic_pack, kk_shards, mph_dedup, nbsvm, ngram_join, pii, token_counts, url_rules
+from clickmart.llm.common import find_package
+
+
 
-QUERIES = {
+def _found(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    @wraps(query)
+    def run(spark, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_mph_dedup": mph_dedup.query,
     "op2_nbsvm": nbsvm.query,
     "op3_kk_shards": kk_shards.query,
@@ -17,6 +34,8 @@ QUERIES = {
     "op10_ngram_join": ngram_join.query,
 }
 
+QUERIES = {name: _found(query) for name, query in _QUERIES.items()}
+
 SQL = {
     "op1_mph_dedup": mph_dedup.SQL,
     "op4_url_rules": url_rules.SQL,

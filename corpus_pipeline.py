@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.llm import decontaminate, harmonic_pack, mph_dedup, nbsvm, ngram_join
-from clickmart.llm.common import materialise, row_key, without_rows
+from clickmart.llm.common import find_package, materialise, row_key, without_rows
 
 #: Near duplicates: words of a shingle, similarity in percent.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -70,6 +70,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
