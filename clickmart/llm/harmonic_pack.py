@@ -2,8 +2,9 @@
 
 A document's ids (and the end id) are cut into full sequences and a tail.  A piece of length r
 belongs to the reciprocal class k = capacity // r, and k pieces of class k fill a sequence,
-whatever their exact lengths.  So each worker numbers the pieces of a class and puts k
-consecutive ones into each sequence, with no search and without other workers.  Cuts are free,
+whatever their exact lengths.  A piece of class 1, such as every full sequence, is one by
+itself.  Each worker numbers its pieces of any other class and puts k consecutive ones into each
+sequence, with no search and without other workers.  Cuts are free,
 so a tail that would waste over ``waste`` of its sequences is cut at the largest reciprocal
 length below it, and its rest is treated likewise.  The last, incomplete sequence of each class
 holds fewer than k pieces; a worker packs those (fewer than the sum of its classes) by first
@@ -107,9 +108,12 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, worker_pieces: int = WORKER_P
     workers = max(1, -(-cut.count() // worker_pieces))
     worker = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)).alias("worker")
     k = F.least(F.lit(CLASSES), F.floor(F.lit(capacity) / F.col("length"))).cast("long").alias("class")
+    cut = cut.select("*", worker, k)
+    # class 1 needs no numbers: ids below zero, by the place in the written pieces
+    alone = cut.filter("class = 1").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     group = Window.partitionBy("worker", "class")
     order = group.orderBy("doc_id", "start", "ids_crc32")
-    numbered = cut.select("*", worker, k).withColumn("number", F.row_number().over(order) - 1).withColumn("all", F.count(F.lit(1)).over(group))
+    numbered = cut.filter("class > 1").withColumn("number", F.row_number().over(order) - 1).withColumn("all", F.count(F.lit(1)).over(group))
     numbered = numbered.withColumn("bin", F.floor(F.col("number") / F.col("class"))).withColumn("full", (F.col("bin") + 1) * F.col("class") <= F.col("all"))
     before = Window.partitionBy("worker", "class", "bin").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     numbered = numbered.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
@@ -120,7 +124,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, worker_pieces: int = WORKER_P
     rest = rest.withColumn("class", F.lit(0).cast("long"))
     packed = numbered.filter("full").select(*columns).unionByName(rest.select(*columns))
     sequence = F.shiftleft(F.col("worker"), 40) + F.shiftleft(F.col("class"), 32) + F.col("bin")
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", sequence.alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
+    packed = packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", sequence.alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
+    return alone.unionByName(packed)
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
