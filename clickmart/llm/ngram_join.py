@@ -20,7 +20,9 @@ batch aren't passed on.  Any order gives the same result; the counts just make b
 A bucket (one signature) isn't expanded into pairs.  Its smallest member is compared with each
 other one and the links' components are formed.  Members outside the bucket's largest component
 are then compared with all members of other components, so no link is lost.  A
-comparison first bounds the intersection from above: a set's tokens are counted in buckets by
+candidate pair is dropped where the prefixes show too many misses: of the set whose prefix ends
+first, every prefix token that no other set has in its prefix is missing in the partner.  A
+comparison then bounds the intersection from above: a set's tokens are counted in buckets by
 hash, and the sum of the smaller counts is no less than the intersection.  Pairs that can reach
 the threshold by that bound are decided on the whole texts of both nodes.
 
@@ -38,7 +40,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import join_classes, materialise, most_frequent, row_key
@@ -50,13 +52,14 @@ TIERS = ((1_000, 2), (100_000, 3))
 #: Tokens from this count on are ordered by it; the most frequent MOST_FREQUENT of them are sent
 #: to the tasks (about 10 bytes each), the others count as rare.
 FREQUENT = 4
-MOST_FREQUENT = 2_000_000
+MOST_FREQUENT = 1_000_000
 #: Tokens of a set for each class of a tier, about.
 CLASS_TOKENS = 8
 #: Ids up to this many are broadcast to fetch the candidates' texts; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Code points of the texts that are hashed together, about.
-CHUNK = 1 << 20
+#: Code points of the texts that are hashed together, about, and tokens that are counted together.
+CHUNK = 1 << 18
+COUNTED = 1 << 21
 
 
 def _text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[str]]]:
@@ -80,9 +83,16 @@ def _sets(words: int):
     names = ["doc_id", "rid", "node", "n", "token", "count"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
+    def counted(tokens: list[np.ndarray]) -> pa.RecordBatch:
+        token, count = np.unique(np.concatenate(tokens), return_counts=True)
+        token, count = token[count > 1].view(np.int64), count[count > 1]
+        none = [pa.nulls(len(token), t) for t in types[:4]]
+        return pa.record_batch([*none, pa.array(token), pa.array(count.astype(np.int64))], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, tokens, size = set(), [], 0
         for batch in batches:
-            nodes, sizes, seen, tokens = [], [], set(), []
+            nodes, sizes = [], []
             for _, texts in _text_chunks(batch):
                 for own in shingles(texts, words):
                     node = node_of(own) if len(own) else None
@@ -91,17 +101,22 @@ def _sets(words: int):
                     if len(own) and node not in seen:
                         seen.add(node)
                         tokens.append(own)
+                        size += len(own)
+                if size >= COUNTED:
+                    yield counted(tokens)
+                    seen, tokens, size = set(), [], 0
             k = len(nodes)
             yield pa.record_batch([batch.column("doc_id"), batch.column("rid"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
-            if tokens:
-                token, count = np.unique(np.concatenate(tokens), return_counts=True)
-                token, count = token[count > 1].view(np.int64), count[count > 1]
-                none = [pa.nulls(len(token), t) for t in types[:4]]
-                yield pa.record_batch([*none, pa.array(token), pa.array(count.astype(np.int64))], names=names)
+        if tokens:
+            yield counted(tokens)
 
     return run
 
 
+#: Beyond the place of any rare token: level (7 bits), then the leading bits of the hash.
+FARTHEST = 2**63 - 1
+
+
 def misses(n: int, percent: int) -> int:
     """Tokens of a set of n that a linked set can lack."""
     return n - -(-percent * n // 100)
@@ -121,18 +136,23 @@ def _classes(power: int, ks: tuple[int, ...], percent: int) -> int:
     return min(max(1, (1 << power) // CLASS_TOKENS), max(0, (percent * percent << power) // 10_000 - 1) // held_back)
 
 
-def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percent: int, level: np.ndarray | None = None) -> np.ndarray:
+def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percent: int, level: np.ndarray | None = None) -> tuple[np.ndarray, int]:
     """Signatures of a set: sorted distinct tokens with their tiers (0: rare, i: combinations of
-    ks[i - 1]) and their frequency levels."""
+    ks[i - 1]) and their frequency levels; and the place in the order up to which its rare tokens
+    are all indexed (that of the last one; FARTHEST where no rare token is left out)."""
     n = len(tokens)
     need = misses(n, percent) + 1
     largest = 100 * n // percent
     if largest <= n and misses(n, percent) == 0:
-        return tokens[:0]  # its partners are equal sets only
+        return tokens[:0], 0  # its partners are equal sets only
     order = np.lexsort((tokens, tier) if level is None else (tokens, level, tier))
     tokens, tier = tokens[order], tier[order]
     rare = int(np.searchsorted(tier, 1))
     out = [tokens[: min(rare, need)]]
+    end = FARTHEST
+    if rare >= need:
+        at = order[need - 1]
+        end = (0 if level is None else int(level[at])) << 56 | int(tokens[need - 1]) >> 8
     if rare < need:
         for power in range(_power(max(1, -(-percent * n // 100))), _power(largest) + 1):
             classes = _classes(power, ks, percent)
@@ -155,15 +175,18 @@ def signatures(tokens: np.ndarray, tier: np.ndarray, ks: tuple[int, ...], percen
                 for part in np.array([f + (0,) * (width - len(f)) for f in found], dtype=np.uint64).T:
                     h = mix(h * np.uint64(31) + part + np.uint64(1))
                 out.append(h)
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out)), end
 
 
 def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
+    names = ["signature", "node", "n", "common", "end"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tiers, levels = frequent.value
         for batch in batches:
-            nodes, sizes, found, common, seen = [], [], [], [], set()
+            seen = set()
             for _, texts in _text_chunks(batch):
+                nodes, sizes, ends, found, common = [], [], [], [], []
                 for own in shingles(texts, words):
                     if not len(own) or (node := node_of(own)) in seen:
                         continue
@@ -173,18 +196,23 @@ def _signed(words: int, percent: int, frequent, ks: tuple[int, ...]):
                         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                         hit = known[at] == own
                         tier[hit], level[hit] = tiers[at[hit]], levels[at[hit]]
-                    s = signatures(own, tier, ks, percent, level)
+                    s, end = signatures(own, tier, ks, percent, level)
                     nodes.append(node)
                     sizes.append(len(own))
+                    ends.append(end)
                     found.append(s)
                     # tokens that aren't known to be frequent; combinations are of frequent ones
                     common.append(~np.isin(s, own[level == 0], assume_unique=True))
-            lengths = [len(s) for s in found]
-            if sum(lengths):
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(np.concatenate(common))],
-                    names=["signature", "node", "n", "common"],
-                )
+                lengths = [len(s) for s in found]
+                if not nodes:
+                    continue
+                of = np.repeat(np.arange(len(nodes)), lengths)
+                node, n = np.array(nodes, np.int64), np.array(sizes, np.int32)
+                none = pa.nulls(len(of), pa.int64())
+                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), pa.array(node[of]), pa.array(n[of]), pa.array(np.concatenate(common)), none], names=names)
+                # the nodes themselves
+                k = len(nodes)
+                yield pa.record_batch([pa.nulls(k, pa.int64()), pa.array(node), pa.array(n), pa.nulls(k, pa.bool_()), pa.array(ends, pa.int64())], names=names)
 
     return run
 
@@ -296,6 +324,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.mapInArrow(_linked(words, percent), "a long, b long")
 
 
+def _can_link(one: str, other: str, percent: int) -> Column:
+    """Whether the sizes and prefixes of two nodes (columns with these beginnings) leave room for a link."""
+    n, m = F.col(f"{one}n"), F.col(f"{other}n")
+    left_n, left_m = n - F.col(f"{one}alone"), m - F.col(f"{other}alone")
+    ends = F.col(f"{one}end"), F.col(f"{other}end")
+    # of the set whose prefix ends first; of either where that can't be told
+    shared = F.when(ends[0] < ends[1], left_n).when(ends[0] > ends[1], left_m).otherwise(F.greatest(left_n, left_m))
+    shared = F.least(shared, n, m)
+    return shared * 100 >= (n + m - shared) * percent
+
+
 def _links(docs: DataFrame, nodes: DataFrame, counts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The candidate pairs that link, written: first by the bound, then by their texts."""
     pairs = materialise(_possible_pairs(pairs, counts, percent), "pairs")
@@ -319,18 +358,27 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     order = np.argsort(token)
     frequent = spark.sparkContext.broadcast((token[order], tier[order], level[order]))
 
-    signed = docs.mapInArrow(_signed(words, percent, frequent, tuple(k for _, k in tiers)), "signature long, node long, n int, common boolean")
+    signed = docs.mapInArrow(_signed(words, percent, frequent, tuple(k for _, k in tiers)), "signature long, node long, n int, common boolean, end long")
+    signed = materialise(signed, "signed")
     # few members have a signature that isn't common, so one shuffle is enough; common ones are
     # aggregated before they are dealt out, and their members follow by a join
     bucket = Window.partitionBy("signature")
-    rare = signed.filter(~F.col("common")).select("signature", "node", "n", F.min("node").over(bucket).alias("first"), F.max("node").over(bucket).alias("last"))
-    common = signed.filter("common").select("signature", "node", "n").distinct()
+    rare = signed.filter("signature IS NOT NULL AND NOT common").select("signature", "node", "n")
+    rare = rare.withColumn("first", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket)).withColumn("members", F.count(F.lit(1)).over(bucket))
+    common = signed.filter("signature IS NOT NULL AND common").select("signature", "node", "n").distinct()
     buckets = common.groupBy("signature").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     common = common.join(buckets.filter("first != last"), "signature").select("signature", "node", "n", "first")
-    member = rare.filter("first != last").select("signature", "node", "n", "first").unionByName(common)
-    member = materialise(member.distinct(), "members")
-
-    sizes = materialise(member.select("node", "n").distinct(), "candidates")
+    shared = rare.filter("first != last").select("signature", "node", "n", "first").unionByName(common).distinct()
+    # a set in several batches has several rows in its buckets
+    alone = rare.filter("first = last").groupBy("node").agg(F.max("n").alias("n"), F.round(F.sum(1 / F.col("members"))).cast("int").alias("alone"))
+    shared = shared.withColumn("alone", F.lit(None).cast("int"))
+    alone = alone.select(F.lit(None).cast("long").alias("signature"), "node", "n", F.lit(None).cast("long").alias("first"), "alone")
+    member = materialise(shared.unionByName(alone), "members")
+    alone, member = member.filter("alone IS NOT NULL").select("node", "alone"), member.filter("alone IS NULL").drop("alone")
+
+    sizes = member.select("node").distinct().join(alone, "node", "left").join(signed.filter("signature IS NULL").select("node", "n", "end").distinct(), "node")
+    sizes = materialise(sizes.select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), "end"), "candidates")
+    member = materialise(member.drop("n").join(sizes, "node"), "sized")
     nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rid").alias("rid"), F.count(F.lit(1)).alias("rows"))
     repeated = rows.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("again"))
     nodes = nodes.join(repeated, "rid", "left").select("node", "doc_id", "rid", "rows", F.coalesce("again", F.lit(False)).alias("again"))
@@ -338,23 +386,22 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     counts = _fetched(docs, nodes.join(sizes.select("node"), "node", "left_semi"), _counted(words), "node long, counts binary").join(sizes, "node")
     counts = materialise(counts.select("node", "n", "counts"), "counts")
 
-    small = sizes.select(F.col("node").alias("first"), F.col("n").alias("first_n"))
-    pairs = member.filter(F.col("node") != F.col("first")).select("first", "node", "n").distinct().join(small, "first")
-    pairs = pairs.filter((F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent)).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    small = sizes.select(*(F.col(c).alias(f"first_{c}" if c != "node" else "first") for c in sizes.columns))
+    pairs = member.filter(F.col("node") != F.col("first")).select("first", *sizes.columns).distinct().join(small, "first")
+    pairs = pairs.filter(_can_link("", "first_", percent)).select(F.col("first").alias("a"), F.col("node").alias("b"))
     links = _links(docs, nodes, counts, pairs, words, percent)
     labels = components(links)
 
     # members of a bucket outside its largest component meet those of the others
-    known = member.join(labels, "node", "left").select("signature", "node", "n", "first", F.coalesce("label", "node").alias("label"))
+    known = member.join(labels, "node", "left").select("signature", *sizes.columns, "first", F.coalesce("label", "node").alias("label"))
     known = materialise(known, "labelled")
     per_label = known.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
     split = per_label.groupBy("signature").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label"))["label"].alias("main")).filter("labels > 1")
     open_ = known.join(split.select("signature", "main"), "signature")
-    stray = open_.filter((F.col("label") != F.col("main")) & (F.col("node") != F.col("first"))).select("signature", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"))
-    other = open_.filter(F.col("node") != F.col("first")).select("signature", "node", "n", "label")
-    fits = F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent
-    met = stray.join(other, "signature").filter((F.col("label") != F.col("x_label")) & fits)
-    pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    open_ = open_.filter(F.col("node") != F.col("first"))  # the first has met all others
+    stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*sizes.columns, "label")))
+    met = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & _can_link("", "x_", percent))
+    pairs = met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     more = _links(docs, nodes, counts, pairs, words, percent)
     if more.count():
         labels = components(links.unionByName(more))

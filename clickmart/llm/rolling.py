@@ -38,7 +38,7 @@ class Sums:
     """Prefix sums over an array of bytes."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(21, int(len(data) + 1).bit_length())
+        size = 1 << max(19, int(len(data) + 1).bit_length())
         up, self._down = _powers(size)
         self._sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_TABLE[data] * up[: len(data)], out=self._sums[1:])

@@ -156,7 +156,7 @@ def test_signatures_meet():
         both = []
         for s in (x, y):
             tokens = np.array(sorted(s), np.uint64)
-            both.append(set(ngram_join.signatures(tokens, np.array([tier_of[int(t)] for t in tokens]), ks, percent).tolist()))
+            both.append(set(ngram_join.signatures(tokens, np.array([tier_of[int(t)] for t in tokens]), ks, percent)[0].tolist()))
         assert both[0] & both[1], (x, y, percent)
 
 
