@@ -138,15 +138,22 @@ def with_ntiles(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], part
     orders = [order for _, _, order in specs]
     narrow, common = _all_orders([df] * len(specs), orders, [])
     rows = _sorted(narrow, common, partitions)
-    before = materialise(_before(rows, ["_rk_o"], F.lit(1)), "ranked-before")
-    totals = {r[0]: r[1] for r in before.groupBy("_rk_o").agg(F.max("_rk_total")).collect()}
-    wanted = [(o, at) for o, (_, k, _) in enumerate(specs) for at in _tile_starts(totals.get(o, 0), k)]
-    starts: dict[int, list] = {o: [] for o in range(len(specs))}
+    # as many counts as partitions and orders; they say in which partition a place lies
+    counts = rows.groupBy("_rk_o", "_rk_part").agg(F.count(F.lit(1)).alias("n"), F.min("_rk_at").alias("first"))
+    parts: dict[int, list] = {o: [] for o in range(len(specs))}
+    for row in sorted(counts.collect()):
+        parts[row["_rk_o"]].append(row)
+    wanted = []
+    for o, (_, k, _) in enumerate(specs):
+        starts = _tile_starts(sum(row["n"] for row in parts[o]), k)
+        before = 0
+        for row in parts[o]:
+            wanted += [(o, row["_rk_part"], row["first"] + at - before) for at in starts if before <= at < before + row["n"]]
+            before += row["n"]
+    starts = {o: [] for o in range(len(specs))}
     if wanted:
-        place = (F.col("_rk_before") + F.col("_rk_at") - F.col("_rk_first")).alias("_rk_place")
-        placed = rows.join(F.broadcast(before), ["_rk_o", "_rk_part"]).select(*narrow.columns, place)
-        one_of = reduce(Column.__or__, [(F.col("_rk_o") == o) & (F.col("_rk_place") == at) for o, at in wanted])
-        for row in placed.filter(one_of).collect():
+        one_of = [(F.col("_rk_o") == o) & (F.col("_rk_part") == part) & (F.col("_rk_at") == at) for o, part, at in wanted]
+        for row in rows.filter(reduce(Column.__or__, one_of)).collect():
             starts[row["_rk_o"]].append(row)
     types = dict(narrow.dtypes)
     tiles = []
