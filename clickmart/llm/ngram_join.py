@@ -17,8 +17,8 @@ stay few and units suffice; the tokens of very short sets are all indexed by the
 The frequencies are counts of the tasks' batches over all documents; only tokens seen once in a
 batch aren't passed on.  Any order gives the same result; the counts just make buckets small.
 
-A bucket (one signature) isn't expanded into pairs.  Its smallest member is compared with each
-other one and the links' components are formed.  Members outside the bucket's largest component
+A bucket (one signature) isn't expanded into pairs.  Its member with the fewest tokens of its own
+is compared with each other one and the links' components are formed.  Members outside the bucket's largest component
 are then compared with all members of other components, so no link is lost.  A
 candidate pair is dropped where the prefixes show too many misses: of the set whose prefix ends
 first, every prefix token that no other set has in its prefix is missing in the partner.  A
@@ -378,7 +378,10 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
 
     sizes = member.select("node").distinct().join(alone, "node", "left").join(signed.filter("signature IS NULL").select("node", "n", "end").distinct(), "node")
     sizes = materialise(sizes.select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"), "end"), "candidates")
-    member = materialise(member.drop("n").join(sizes, "node"), "sized")
+    member = materialise(member.drop("n", "first").join(sizes, "node"), "sized")
+    # a bucket's first member: the one with the fewest tokens of its own, so the most like the others
+    lead = member.groupBy("signature").agg(F.min(F.struct("alone", "node"))["node"].alias("first"))
+    member = materialise(member.join(lead, "signature"), "led")
     nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("rid").alias("rid"), F.count(F.lit(1)).alias("rows"))
     repeated = rows.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("again"))
     nodes = nodes.join(repeated, "rid", "left").select("node", "doc_id", "rid", "rows", F.coalesce("again", F.lit(False)).alias("again"))
