@@ -4,8 +4,9 @@ A benchmark item of n words has n - 4 shingles of five words (letters and digits
 A document leaks it where a window of n words has weighted-shingle similarity THRESHOLD or more
 with it: the sum over shingles of the smaller count, divided by that of the larger one.
 
-1. Windows.  A window that similar shares at least need = ceil(2 t (n - 4) / (1 + t)) shingles
-   with its item, and moving its start to its first shared shingle loses none.  So windows start
+1. Windows.  A window of W shingles that similar shares at least need = ceil(t (W + n - 4) / (1 + t))
+   of them with its item (W = n - 4, or fewer where the document is shorter than the item), and
+   moving its start to its first shared shingle loses none.  So windows start
    where a document's shingle is one of the item's and the need-th next such shingle is still
    inside (and at the last place where a window fits); no other window can reach the threshold.
 2. Fingerprints.  A window's and an item's SimHash sums, for each of 64 bits, +1 or -1 per
@@ -71,15 +72,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     """
     items = benchmark.select("item_id", _words("text").alias("words")).select("item_id", F.size("words").alias("long"), F.expr(SHINGLES).alias("own"))
     items = items.filter(F.col("long") >= SHINGLE).dropDuplicates(["item_id", "own"]).withColumn("item", F.xxhash64("item_id", "own"))
-    need = F.ceil(F.lit(2 * threshold / (1 + threshold)) * F.size("own") - 1e-9).cast("int")
-    items = materialise(items.withColumn("need", need).withColumn("fingerprint", F.expr(FINGERPRINT)), "items")
-    shingles = items.select("item", "long", "need", F.explode(F.array_distinct("own")).alias("hash"))
+    items = materialise(items.withColumn("fingerprint", F.expr(FINGERPRINT)), "items")
+    shingles = items.select("item", "long", F.explode(F.array_distinct("own")).alias("hash"))
 
     rows = docs.select(F.xxhash64(F.col(id_col), text_or_empty(text_col)).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     hashed = rows.select("rid", _words("text").alias("words")).select("rid", F.size("words").alias("size"), F.expr(SHINGLES).alias("own"))
     # outer: an inner explode adds a filter on the array's size, which would compute the array again below
     hits = hashed.select("rid", "size", F.posexplode_outer("own").alias("at", "hash")).join(_small(shingles, shingles.count()), "hash")
-    hits = hits.groupBy("rid", "item").agg(F.sort_array(F.collect_set("at")).alias("at"), F.first("size").alias("size"), F.first("long").alias("long"), F.first("need").alias("need"))
+    hits = hits.groupBy("rid", "item").agg(F.sort_array(F.collect_set("at")).alias("at"), F.first("size").alias("size"), F.first("long").alias("long"))
+    both = F.least("size", "long") + F.col("long") - 2 * (SHINGLE - 1)
+    hits = hits.withColumn("need", F.ceil(F.lit(threshold / (1 + threshold)) * both - 1e-9).cast("int"))
     hits = hits.filter(F.size("at") >= F.col("need"))
     starts = f"""array_union(
       transform(filter(sequence(0, size(at) - need), j -> at[j + need - 1] <= at[j] + long - {SHINGLE}), j -> greatest(0, least(at[j], size - long))),

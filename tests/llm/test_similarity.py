@@ -211,6 +211,24 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(8)
+    items = [(n, prose(rng, n)) for n in (14, 29, 50, 100, 200)]
+    rows = []
+    for n, text in items:
+        w = text.split()
+        for size in range(n * 78 // 100, n * 91 // 100 + 1):
+            rows += [(1000 * n + size, " ".join(w[:size])), (1000 * n + 500 + size, " ".join(w[n - size :]))]
+    # an edited one of 46 words: 41 of its 42 shingles among the item's 46
+    w = items[2][1].split()
+    rows.append((1, " ".join([*w[:45], "edited"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.leaks(documents(spark, rows), benchmark).collect()}
+    want = plain_leaks(rows, items)
+    assert sum(i // 1000 == 50 for i, *_ in want) == 2 * 5 and (1, 50) in {x[:2] for x in want}
+    assert got == want
+
+
 # ---- classifier
 def test_dual_descent_separates():
     rng = np.random.default_rng(1)
