@@ -11,10 +11,14 @@ with it: the sum over shingles of the smaller count, divided by that of the larg
    inside (and at the last place where a window fits); no other window can reach the threshold.
 2. Fingerprints.  A window's and an item's SimHash sums, for each of 64 bits, +1 or -1 per
    shingle and keeps the sign.
-3. Multi-index.  The bits are cut into RADIUS + 1 blocks; two fingerprints within RADIUS bits
-   agree in one block at least, so an equi-join on (item, block, value) finds all of them, and
-   the number of differing bits confirms them.  At the threshold two fingerprints differ in
-   about 10 bits (standard deviation 3), so RADIUS loses practically none.
+3. Multi-index.  A window at the threshold differs from its item of m shingles in at most
+   D = 2 m (1 - t) / (1 + t) shingles, repeats counted, and each moves a bit's sum by one.  So
+   only bits whose sum in the item is within D can differ; their number is the item's radius
+   (long items: nearly all 64 bits), and no leak is beyond it, repeated shingles or not.  The
+   bits are cut into radius + 1 blocks; two fingerprints within the radius agree in one block at
+   least, so an equi-join on (item, block, value) finds all of them, and the number of differing
+   bits confirms them.  Blocks under two bits select nothing; one empty block, in which all
+   agree, stands for them.
 4. The exact similarity decides.
 
 Defined cases: null or empty texts and documents or items under five words leak nothing; a
@@ -31,7 +35,6 @@ from clickmart.llm.common import materialise, text_or_empty
 
 SHINGLE = 5
 THRESHOLD = 0.8
-RADIUS = 19
 BITS = 64
 #: Shingles of the benchmark, and windows, up to which they are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -50,29 +53,33 @@ SHINGLES = f"""CASE WHEN size(words) >= {SHINGLE}
 FINGERPRINT = f"""aggregate(sequence(0, {BITS - 1}), 0L, (f, b) -> f |
   CASE WHEN aggregate(own, 0, (s, h) -> s + CAST(shiftright(h, b) & 1L AS INT) * 2 - 1) > 0 THEN shiftleft(1L, b) ELSE 0L END)"""
 
-#: Shingles that the arrays ``own`` and ``item`` share, with their counts.
-SHARED = """aggregate(array_intersect(own, item), 0, (s, h) -> s + least(size(filter(own, x -> x = h)), size(filter(item, x -> x = h))))"""
+#: Bits of the item ``own`` whose sum is at most {0}: those that a window with so many differing shingles can flip.
+LOOSE = f"""size(filter(sequence(0, {BITS - 1}), b -> abs(aggregate(own, 0, (s, h) -> s + CAST(shiftright(h, b) & 1L AS INT) * 2 - 1)) <= {{0}}))"""
 
+#: (block, value) pairs of ``fingerprint``, radius + 1 of them, or a single empty block.
+BLOCKS = f"""CASE WHEN radius < {BITS // 2} THEN transform(
+    transform(sequence(0, radius), i -> struct(i AS block, CAST({BITS} * i div (radius + 1) AS INT) AS a, CAST({BITS} * (i + 1) div (radius + 1) AS INT) AS b)),
+    x -> struct(x.block AS block, CASE WHEN radius = 0 THEN fingerprint ELSE shiftrightunsigned(fingerprint, x.a) & (shiftleft(1L, x.b - x.a) - 1L) END AS value))
+  ELSE array(struct(0 AS block, 0L AS value)) END"""
 
-def _blocks(radius: int) -> str:
-    """(block, value) pairs of the column ``fingerprint``."""
-    edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    cut = (f"struct({i} AS block, shiftrightunsigned(fingerprint, {a}) & {(1 << (b - a)) - 1}L AS value)" for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)))
-    return f"array({', '.join(cut)})"
+#: Shingles that the arrays ``own`` and ``item`` share, with their counts.
+SHARED = """aggregate(array_intersect(own, item), 0, (s, h) -> s + least(size(filter(own, x -> x = h)), size(filter(item, x -> x = h))))"""
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs`` and item that it leaks: doc_id, item_id, start (word), words, differing_bits, similarity.
 
     ``benchmark``: item_id, text.  Of several windows the most similar, then first, is returned.
     """
     items = benchmark.select("item_id", _words("text").alias("words")).select("item_id", F.size("words").alias("long"), F.expr(SHINGLES).alias("own"))
     items = items.filter(F.col("long") >= SHINGLE).dropDuplicates(["item_id", "own"]).withColumn("item", F.xxhash64("item_id", "own"))
-    items = materialise(items.withColumn("fingerprint", F.expr(FINGERPRINT)), "items")
+    differing = f"size(own) * {2 * (1 - threshold) / (1 + threshold)!r}D + 1e-9D"
+    items = materialise(items.withColumn("fingerprint", F.expr(FINGERPRINT)).withColumn("radius", F.expr(LOOSE.format(differing))), "items")
+    n_items = items.count()
     shingles = items.select("item", "long", F.explode(F.array_distinct("own")).alias("hash"))
 
     rows = docs.select(F.xxhash64(F.col(id_col), text_or_empty(text_col)).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -95,11 +102,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     found = found.select("doc_id", "row", "shingles", F.explode("windows").alias("w")).select("doc_id", "row", F.col("w.item").alias("item"), "w.long", "w.start", F.expr(f"slice(shingles, w.start + 1, w.long - {SHINGLE - 1})").alias("own"))
     found = materialise(found.withColumn("fingerprint", F.expr(FINGERPRINT)), "fingerprints")
 
-    cut = F.explode_outer(F.expr(_blocks(radius))).alias("b")
-    left = found.select("row", "item", "start", "fingerprint", cut).select("row", "item", "start", "fingerprint", "b.block", "b.value")
-    right = items.select("item", F.col("fingerprint").alias("item_print"), cut).select("item", "item_print", "b.block", "b.value")
+    cut, radii = F.explode_outer(F.expr(BLOCKS)).alias("b"), _small(items.select("item", "radius"), n_items)
+    left = found.select("row", "item", "start", "fingerprint").join(radii, "item").select("row", "item", "start", "fingerprint", cut).select("row", "item", "start", "fingerprint", "b.block", "b.value")
+    right = items.select("item", "radius", F.col("fingerprint").alias("item_print"), cut).select("item", "radius", "item_print", "b.block", "b.value")
     bits = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))).alias("differing_bits")
-    near = left.join(right, ["item", "block", "value"]).select("row", "item", "start", bits).filter(F.col("differing_bits") <= radius).distinct()
+    near = left.join(_small(right, n_items * BITS // 2), ["item", "block", "value"]).select("row", "item", "start", "radius", bits)
+    near = near.filter(F.col("differing_bits") <= F.col("radius")).select("row", "item", "start", "differing_bits").distinct()
 
     known = items.select("item", "item_id", F.col("own").alias("item_own"))
     pairs = found.join(near, ["row", "item", "start"]).join(known, "item").withColumnRenamed("item", "of").withColumnRenamed("item_own", "item")

@@ -229,6 +229,26 @@ def test_leaks_of_documents_shorter_than_the_item(spark):
     assert got == want
 
 
+def repeated_ends(seed, lengths, copies):
+    """(items, rows): a document for each item that shares just enough first words, then repeats one word."""
+    rng = random.Random(seed)
+    items = [(k, prose(rng, n)) for k, n in enumerate(n for n in lengths for _ in range(copies))]
+    rows = []
+    for k, text in items:
+        w = text.split()
+        same = -(-8 * (len(w) - 4) // 9)  # 0.8 of similarity for windows of the item's size
+        rows.append((1000 + k, " ".join([*w[: same + 4], *["again"] * (len(w) - 4 - same)])))
+    return items, rows
+
+
+def test_leaks_beside_a_repeated_word(spark):
+    items, rows = repeated_ends(9, (50, 104, 154, 204), 6)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.leaks(documents(spark, rows), benchmark).collect()}
+    assert got == plain_leaks(rows, items)
+    assert {x[:2] for x in got} == {(1000 + k, k) for k, _ in items}
+
+
 # ---- classifier
 def test_dual_descent_separates():
     rng = np.random.default_rng(1)
