@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from clickmart.llm.common import materialise
 
 CAPACITY = 1024
-#: Pieces with a class beyond this count as of this class.
+#: A rest of this class or beyond is not cut further.
 CLASSES = 64
 #: Part of a sequence that a class may waste before a tail is cut.
 WASTE = 0.04
@@ -107,7 +107,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, worker_pieces: int = WORKER_P
     cut = materialise(cut, "pieces")
     workers = max(1, -(-cut.count() // worker_pieces))
     worker = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)).alias("worker")
-    k = F.least(F.lit(CLASSES), F.floor(F.lit(capacity) / F.col("length"))).cast("long").alias("class")
+    k = F.floor(F.lit(capacity) / F.col("length")).cast("long").alias("class")
     cut = cut.select("*", worker, k)
     # class 1 needs no numbers: ids below zero, by the place in the written pieces
     alone = cut.filter("class = 1").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
@@ -123,7 +123,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, worker_pieces: int = WORKER_P
     rest = numbered.filter(~F.col("full")).select(*columns).groupBy("worker").applyInPandas(_first_fit(capacity), types)
     rest = rest.withColumn("class", F.lit(0).cast("long"))
     packed = numbered.filter("full").select(*columns).unionByName(rest.select(*columns))
-    sequence = F.shiftleft(F.col("worker"), 40) + F.shiftleft(F.col("class"), 32) + F.col("bin")
+    # classes go up to the capacity
+    sequence = F.shiftleft(F.col("worker"), 32 + capacity.bit_length()) + F.shiftleft(F.col("class"), 32) + F.col("bin")
     packed = packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", sequence.alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
     return alone.unionByName(packed)
 

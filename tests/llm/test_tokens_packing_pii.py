@@ -79,6 +79,14 @@ def test_packing_fills_sequences(spark, tokenizer):
     assert check_packing(harmonic_pack.pack_documents(documents(spark, rows)).collect(), rows, tokenizer) > 0.97
 
 
+@pytest.mark.parametrize("worker_pieces", [200_000, 3000])
+def test_packing_fills_sequences_with_very_short_texts(spark, tokenizer, worker_pieces):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = [(i, [None, "", "a", "a b c", "word " * (i % 15)][i % 5]) for i in range(4000)]
+    cut = harmonic_pack.pieces(documents(spark, rows), ranks, public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
+    assert check_packing(harmonic_pack.pack(cut, worker_pieces=worker_pieces).collect(), rows, tokenizer) > 0.85
+
+
 def test_many_workers(spark, tokenizer):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = [(i, "word " * (i % 700)) for i in range(200)]
