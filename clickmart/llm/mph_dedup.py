@@ -1,7 +1,7 @@
 """Exact dedup against a minimal perfect hash over historical distinct digests.
 
-The distinct digests of the historical rows are dealt to buckets of bounded size by their
-first bytes.  Each bucket holds a minimal perfect hash (levels of bit arrays: a digest that
+The distinct digests of the historical and of the incoming rows are dealt to buckets of bounded
+size by their first bytes.  Each bucket holds a minimal perfect hash (levels of bit arrays: a digest that
 is alone at its position of a level is placed there, the others go to the next level; its
 slot is the rank of its bit) and, by slot, the full digest and the locator of the group's
 winner.  Incoming rows are first grouped by digest; each distinct digest looks up its slot
@@ -162,9 +162,11 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None, id_col: str =
     )
     total = rows.count()
     history = materialise(group_rows(rows.filter("old")), "history")
-    buckets = max(1, -(-history.count() // bucket_digests))
+    incoming = materialise(group_rows(rows.filter(~F.col("old"))), "incoming")
+    # of the larger side, as a task holds a bucket's digests of both
+    buckets = max(1, -(-max(history.count(), incoming.count()) // bucket_digests))
     index = materialise(build_index(history, buckets), "mph")
-    groups = materialise(probe(group_rows(rows.filter(~F.col("old"))), index, buckets), "groups")
+    groups = materialise(probe(incoming, index, buckets), "groups")
     joined = join_classes(rows.select("doc_id", "digest"), groups.select("digest", "keep_id", "rows", "historical"), "digest", "rows", total)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return joined.select("doc_id", "keep_id", F.col("rows").alias("group_size"), kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))

@@ -47,6 +47,26 @@ def test_exact_dedup_edge_cases(spark, history):
     assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
 
 
+@pytest.mark.parametrize("n_old", [0, 3])
+def test_incoming_digests_are_dealt_to_buckets(spark, monkeypatch, n_old):
+    """A small or empty history doesn't put all incoming digests into one group."""
+    from pyspark.sql import functions as F
+
+    probe, seen = mph_dedup.probe, []
+
+    def watched(incoming, index, buckets):
+        sizes = mph_dedup._bucketed(incoming, buckets).groupBy("bucket").count().collect()
+        seen.append((buckets, max(r["count"] for r in sizes)))
+        return probe(incoming, index, buckets)
+
+    monkeypatch.setattr(mph_dedup, "probe", watched)
+    rows = [(i, f"text {i % 900}") for i in range(1000)]
+    got = mph_dedup.exact_dedup(documents(spark, rows), F.col("doc_id") < n_old, bucket_digests=100).collect()
+    groups = expected_groups(rows)
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == sorted((i, *groups[normal(t)]) for i, t in rows)
+    assert seen[0][0] == 9 and seen[0][1] < 200
+
+
 def test_keep_winners(spark):
     docs = documents(spark)
     kept = mph_dedup.keep_winners(docs)
