@@ -67,6 +67,11 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s)) % 97 == 1
 
 
+def at_most_255(digits: str) -> bool:
+    own = digits.lstrip("0")  # int() refuses thousands of digits, leading zeros included
+    return len(own) <= 3 and int(own or "0") <= 255
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     at, floor = text.find("@"), 0
     while at >= 0:
@@ -84,7 +89,7 @@ def base_spans(text: str) -> list[Span]:
     """(start, number of the kind, end) of the fixed kinds, in order."""
     out = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(at_most_255(p) for p in m[0].split("."))]
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and luhn(digits):

@@ -141,6 +141,14 @@ def test_pii_edge_cases(spark):
         assert set(text.split(",")) <= set(r.spans.split(","))
 
 
+def test_ip_with_thousands_of_zeros(spark):
+    zeros = "0" * 4301
+    for text, found in ((zeros + ".1.1.1", True), ("1.1.1." + zeros + "255", True), ("1.1.1." + zeros + "256", False), ("1.1." + "9" * 5000 + ".1", False)):
+        assert [x for x in pii.base_spans(text) if x[1] == 1] == ([(0, 1, len(text))] if found else [])
+    got = pii.find_pii(documents(spark, [(1, zeros + ".1.1.1")])).collect()
+    assert [(r.doc_id, r.n_ip) for r in got] == [(1, 1)] and "ip:0:4307" in got[0].spans
+
+
 def test_added_kinds():
     iban = "pay to account GB82 WEST 1234 5698 7654 32 today"
     assert [pii.KINDS[k] for _, k, _ in pii.added_spans(iban, pii.base_spans(iban))] == ["iban"]
