@@ -1,5 +1,5 @@
 """Training-data operators: dedup, quality, sharding, URL rules, packing, token counts,
-decontamination, personal data, repeated passages and a similarity join.
+decontamination, personal data, repeated passages, similarity joins, search and whitening.
 
 Nothing outside this sub-package imports it.  ``registry`` holds the registered queries.
 """

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame
 
-from clickmart.llm import bwt_dedup, decontaminate, harmonic_pack, kk_shards, mph_dedup, nbsvm, ngram_join, pii, token_counts, url_rules
+from clickmart.llm import bwt_dedup, decontaminate, harmonic_pack, kk_shards, lexical_search, mph_dedup, nbsvm, ngram_join, pii, simhash_dedup, token_counts, url_rules, whitening
 from clickmart.llm.common import find_package
 
 
@@ -32,6 +32,9 @@ _QUERIES = {
     "op8_pii": pii.query,
     "op9_bwt_dedup": bwt_dedup.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_lexical_search": lexical_search.query,
+    "op12_whitening": whitening.query,
+    "op13_simhash_dedup": simhash_dedup.query,
 }
 
 QUERIES = {name: _found(query) for name, query in _QUERIES.items()}
@@ -39,4 +42,5 @@ QUERIES = {name: _found(query) for name, query in _QUERIES.items()}
 SQL = {
     "op1_mph_dedup": mph_dedup.SQL,
     "op4_url_rules": url_rules.SQL,
+    "op11_lexical_search": lexical_search.SQL,
 }
