@@ -5,6 +5,7 @@
     python -m clickmart ingest --source text --input DIR ... --available-now
     python -m clickmart refresh --bronze PATH --out PATH [--as-of TS] [--no-checks]
     python -m clickmart cleanup --bronze PATH --out PATH
+    python -m clickmart compact --bronze PATH --before DAY [--clean]
     python -m clickmart checks  --bronze PATH [--as-of TS]
     python -m clickmart plan    --query NAME --tables DIR   # formatted physical plan
 
@@ -52,6 +53,11 @@ def _parser() -> argparse.ArgumentParser:
     cln.add_argument("--bronze", required=True)
     cln.add_argument("--out", required=True)
 
+    cmp_ = sub.add_parser("compact", help="rewrite closed days of a streamed bronze table into large files")
+    cmp_.add_argument("--bronze", required=True)
+    cmp_.add_argument("--before", required=True, help="days before this one (YYYY-MM-DD)")
+    cmp_.add_argument("--clean", action="store_true", help="then delete what no reader of the new state opens")
+
     chk = sub.add_parser("checks", help="run the 24 checks and print the summary")
     chk.add_argument("--bronze", required=True)
     chk.add_argument("--as-of", default=None)
@@ -110,6 +116,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         from .plans.cleanup import cleanup_duplicates
 
         result = cleanup_duplicates(read_bronze(spark, args.bronze), args.out)
+    elif args.cmd == "compact":
+        from .sources.compaction import clean, compact
+
+        result = compact(spark, args.bronze, args.before)
+        if args.clean:
+            result["cleaned"] = clean(spark, args.bronze)
     else:
         from .plans import gold, quality, silver
         from .session import materialise

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..schema import BRONZE_COLUMNS, BRONZE_SCHEMA
+from ..schema import BRONZE_COLUMNS
+from .compaction import BATCH_COLUMN, PARTITION_COLUMN, read_rows
 
-PARTITION_COLUMN = "event_date"
-BATCH_COLUMN = "batch_id"
+__all__ = ["BATCH_COLUMN", "PARTITION_COLUMN", "bronze_scan", "read_bronze", "write_bronze"]
 
 
 def bronze_scan(df: DataFrame) -> DataFrame:
@@ -24,19 +23,14 @@ def bronze_scan(df: DataFrame) -> DataFrame:
 
 def read_bronze(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """Read a bronze Parquet table written by :func:`write_bronze` or by the
-    streaming ingest (no schema inference; the partition column is dropped).
+    streaming ingest, compacted or not (no schema inference; the partition
+    columns are dropped).
 
     ``since`` / ``until`` (dates, inclusive) become a filter on the
     ``event_date`` partition column: only files of those days are read.  The
     driver still lists all folders of the table.
     """
-    schema = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(PARTITION_COLUMN, T.DateType())])
-    df = spark.read.schema(schema).parquet(path)
-    if since is not None:
-        df = df.filter((F.col(PARTITION_COLUMN) >= F.lit(since).cast("date")))
-    if until is not None:
-        df = df.filter((F.col(PARTITION_COLUMN) <= F.lit(until).cast("date")))
-    return bronze_scan(df)
+    return bronze_scan(read_rows(spark, path, since, until))
 
 
 def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
