@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--trigger", default="5 seconds")
     ing.add_argument("--option", action="append", default=[], metavar="K=V", help="source option, such as maxOffsetsPerTrigger=100000 (repeatable)")
     ing.add_argument("--jdbc", action="append", default=[], metavar="K=V", help="append to a database, too: url, dbtable, user, password, driver (repeatable)")
+    ing.add_argument("--drop-landed", action="store_true", help="drop events that compacted days have already")
     ing.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
     ref = sub.add_parser("refresh", help="rebuild silver and gold from bronze, run the checks")
@@ -106,6 +107,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             trigger=args.trigger,
             available_now=args.available_now,
             jdbc_options=_pairs(args.jdbc) or None,
+            drop_landed=args.drop_landed,
         )
         result: dict = {"ingest": "stopped"}
     elif args.cmd == "refresh":

@@ -12,6 +12,8 @@ and never neither, whether it starts before or after the commit.
 * A replayed batch that was compacted writes its folder again, and readers pass it by.  Only
   batches followed by another one are compacted: a stream ends a batch before it begins the next,
   so none of them can be half written.
+* Each compacted day has a filter over its event ids (``sources.id_filters``) beside its rows, by
+  which the ingest can drop replays that come long after.
 * ``clean`` deletes what no reader of the latest manifest opens.
 """
 
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import BRONZE_SCHEMA
+from . import id_filters
 from .commits import CommitLog, Folder
 
 PARTITION_COLUMN = "event_date"
@@ -34,6 +37,7 @@ FOLDER = "_compacted"
 ROWS_PER_FILE = 5_000_000
 
 _DAY, _BATCH = f"{PARTITION_COLUMN}=", f"{BATCH_COLUMN}="
+FILTER_SCHEMA = "event_date date, bucket int, bitmap binary"
 #: Of a row in either kind of file.
 SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(BATCH_COLUMN, T.LongType()), T.StructField(PARTITION_COLUMN, T.DateType())])
 
@@ -72,6 +76,16 @@ def read_compacted(spark: SparkSession, path: str, days: dict[str, dict], since=
     return out
 
 
+def read_filters(spark: SparkSession, path: str, days: dict[str, dict]) -> DataFrame:
+    """The id filters of compacted ``days``."""
+    out = None
+    for run in sorted({entry["run"] for entry in days.values()}):
+        own = [date.fromisoformat(d) for d, entry in days.items() if entry["run"] == run]
+        part = spark.read.schema(FILTER_SCHEMA).parquet(f"{path}/{FOLDER}/filters/{run}").filter(F.col(PARTITION_COLUMN).isin(own))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def read_rows(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """All rows of a bronze table with their day and batch, compacted or not."""
     path = path.rstrip("/")
@@ -91,7 +105,7 @@ def _batches(folder: Folder) -> dict[str, list[int]]:
     return {n.removeprefix(_DAY): sorted(int(b.removeprefix(_BATCH)) for b in folder.names(n) if b.startswith(_BATCH)) for n in days}
 
 
-def compact(spark: SparkSession, path: str, before: str | date, through: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> dict[str, object]:
+def compact(spark: SparkSession, path: str, before: str | date, through: int | None = None, rows_per_file: int = ROWS_PER_FILE, bits_per_id: int = id_filters.BITS_PER_ID) -> dict[str, object]:
     """Compact the days before ``before``; returns the version and the days rewritten.
 
     ``through``: the last batch to include, one that has ended; by default the last but one of
@@ -112,19 +126,24 @@ def compact(spark: SparkSession, path: str, before: str | date, through: int | N
     rows = read_raw(spark, path, days).filter(F.col(PARTITION_COLUMN).isin([date.fromisoformat(d) for d in open_days]) & (F.col(BATCH_COLUMN) <= through))
     old = read_compacted(spark, path, chosen)
     rows = rows if old is None else rows.unionByName(old)
-    # one row per day and batch; the total sets the number of files
     total = rows.count()
     run = uuid.uuid4().hex
     order = [PARTITION_COLUMN, "event_timestamp", "event_id", BATCH_COLUMN]
     # a day's rows lie in neighbouring ranges, in order of time, so files can be passed by for a time
     dealt = rows.repartitionByRange(max(1, -(-total // rows_per_file)), *order).sortWithinPartitions(*order)
     dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(PARTITION_COLUMN).parquet(f"{path}/{FOLDER}/data/{run}")
-    # a chosen day without any row has no folder
-    made = set(Folder(spark, f"{path}/{FOLDER}/data/{run}").names())
-    days = {**days, **{d: {"run": run, "through": through} for d in open_days if f"{_DAY}{d}" in made}}
+    made = {d: {"run": run, "through": through} for d in open_days}
+    written = read_compacted(spark, path, made)
+    counts = {str(r[0]): r[1] for r in written.groupBy(PARTITION_COLUMN).agg(F.count("event_id")).collect()}  # a row per day
+    for d, entry in made.items():
+        entry["bits"] = id_filters.size_of(counts[d], bits_per_id)
+    filters = id_filters.build(written, {d: entry["bits"] for d, entry in made.items()})
+    filters.repartitionByRange(PARTITION_COLUMN, "bucket").sortWithinPartitions(PARTITION_COLUMN, "bucket").write.parquet(f"{path}/{FOLDER}/filters/{run}")
+    days = {**days, **made}
     committed = log.commit({"days": days}, version)
     if committed is None:
         Folder(spark, f"{path}/{FOLDER}/data").delete(run)
+        Folder(spark, f"{path}/{FOLDER}/filters").delete(run)
         raise RuntimeError("another compaction committed meanwhile; nothing was changed")
     return {"version": committed, "days": sorted(open_days)}
 
@@ -153,6 +172,7 @@ def clean(spark: SparkSession, path: str) -> dict[str, int]:
     for run in data.names():
         if run not in used:
             data.delete(run)
+            Folder(spark, f"{path}/{FOLDER}/filters").delete(run)
             runs += 1
             continue
         for name in data.names(run):  # days that a later run rewrote

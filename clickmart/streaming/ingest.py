@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import events_json
-from ..sources.bronze import BATCH_COLUMN, PARTITION_COLUMN
+from ..sources.bronze import BATCH_COLUMN, PARTITION_COLUMN, bronze_scan
+from ..sources.compaction import SCHEMA
+from . import landed
 
 log = logging.getLogger(__name__)
 
@@ -60,16 +62,23 @@ class BronzeBatchWriter:
     JDBC writer, as the reference sink does.  A JDBC append is at-least-once:
     a replayed batch appends again, and the downstream dedup removes the
     copies.  No credentials have defaults.
+
+    ``drop_landed`` drops events that earlier batches wrote for days compacted
+    since (``streaming.landed``): replays from beyond any watermark.
     """
 
-    def __init__(self, bronze_path: str, rejects_path: str, as_of=None, jdbc_options: dict | None = None):
+    def __init__(self, bronze_path: str, rejects_path: str, as_of=None, jdbc_options: dict | None = None, drop_landed: bool = False):
         self.bronze_path = bronze_path
         self.rejects_path = rejects_path
         self.as_of = as_of
         self.jdbc_options = jdbc_options
+        self.drop_landed = drop_landed
         # of the last batch alone: batch id, rows, rejects
         self.last_counts: dict[str, int] = {}
 
+    def _bronze(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(SCHEMA).parquet(self.bronze_path)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # No persist: the bronze write is normally the only pass over the
         # batch; the rejects write (a second parse) only runs when there are
@@ -87,9 +96,12 @@ class BronzeBatchWriter:
             # one stamp for the batch, whatever is written from it
             stamp = self.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
             good, _ = events_json.ingest_parsed(observed, stamp)
-            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp")).withColumn(BATCH_COLUMN, F.lit(batch_id))
+            good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp"))
+            if self.drop_landed:
+                good = landed.drop_landed(good, self.bronze_path, batch_id)
             (
-                good.write.mode("overwrite")
+                good.withColumn(BATCH_COLUMN, F.lit(batch_id))
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(PARTITION_COLUMN, BATCH_COLUMN)
                 .parquet(self.bronze_path)
@@ -100,7 +112,10 @@ class BronzeBatchWriter:
                 _, rejects = events_json.split_parsed(parsed)
                 rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
             if self.jdbc_options:
-                good.drop(PARTITION_COLUMN, BATCH_COLUMN).write.format("jdbc").options(**self.jdbc_options).mode("append").save()
+                # the rows as written: the batch isn't parsed and observed again
+                of_batch = F.col(BATCH_COLUMN) == batch_id
+                written = bronze_scan(self._bronze(batch.sparkSession).filter(of_batch))
+                written.write.format("jdbc").options(**self.jdbc_options).mode("append").save()
             rows = int(metrics.get("messages", 0)) - rejected
             self.last_counts = {"batch_id": batch_id, "rows": rows, "rejects": rejected}
             log.info("batch %s: %s events written, %s rejected", batch_id, rows, rejected)
@@ -119,9 +134,10 @@ def start_ingest(
     as_of=None,
     query_name: str | None = None,
     jdbc_options: dict | None = None,
+    drop_landed: bool = False,
 ) -> StreamingQuery:
     """Start the ingest query; stop it with ``query.stop()`` (graceful)."""
-    sink = BronzeBatchWriter(bronze_path, rejects_path, as_of, jdbc_options)
+    sink = BronzeBatchWriter(bronze_path, rejects_path, as_of, jdbc_options, drop_landed)
     writer = stream.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
     )
