@@ -21,8 +21,9 @@ A bucket (one signature) isn't expanded into pairs.  Its member with the fewest
 is compared with each other one and the links' components are formed.  Members outside the bucket's largest component
 are then compared with all members of other components, so no link is lost.  A
 candidate pair is dropped where the prefixes show too many misses: of the set whose prefix ends
-first, every prefix token that no other set has in its prefix is missing in the partner.  A
-comparison then bounds the intersection from above: a set's tokens are counted in buckets by
+first, every prefix token that no other set has in its prefix is missing in the partner; and, in
+the second comparison, where the parities of the sets' tokens in 256 buckets differ in more bits
+than linked sets differ in tokens.  A comparison then bounds the intersection from above: a set's tokens are counted in buckets by
 hash, and the sum of the smaller counts is no less than the intersection.  Pairs that can reach
 the threshold by that bound are decided on the whole texts of both nodes.
 
@@ -254,6 +255,27 @@ def most_shared(a: np.ndarray, b: np.ndarray, n: int) -> int:
     return int(np.minimum(folded, b).sum())
 
 
+#: Columns of a node's parities.
+PARITIES = ("p0", "p1", "p2", "p3")
+
+
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Whether each of 256 buckets by hash holds an odd number of tokens, as four longs.
+
+    A token that only one of two sets has changes one bit, so two sets differ in no fewer tokens
+    than their parities in bits.
+    """
+    odd = np.bincount((tokens & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _few_differ(one: str, other: str, percent: int) -> Column:
+    """Whether two nodes' parities (columns with these beginnings) leave room for a link."""
+    differing = sum((F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{other}{p}"))) for p in PARITIES), F.lit(0))
+    both = F.col(f"{one}n") + F.col(f"{other}n")
+    return (both - differing) * 100 >= (both + differing) * percent
+
+
 def _own(words: int, batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarray]]:
     """(node, text, tokens) of the rows whose text has the node's set."""
     nodes = batch.column("node").to_pylist()
@@ -266,8 +288,9 @@ def _own(words: int, batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarr
 def _counted(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(node, bucket_counts(own).tobytes()) for node, _, own in _own(words, batch)]
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "counts"])
+            rows = [(node, bucket_counts(own).tobytes(), parities(own)) for node, _, own in _own(words, batch)]
+            odd = np.array([r[2] for r in rows], np.int64).reshape(len(rows), len(PARITIES))
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), *map(pa.array, odd.T)], names=["node", "counts", *PARITIES])
 
     return run
 
@@ -281,6 +304,9 @@ def _texts(words: int):
     return run
 
 
+COUNTED_COLUMNS = "node long, counts binary, " + ", ".join(f"{p} long" for p in PARITIES)
+
+
 def _fetched(docs: DataFrame, nodes: DataFrame, run, columns: str) -> DataFrame:
     """What ``run`` makes of one text of each of ``nodes`` (node, rid, again: whether that row repeats)."""
 
@@ -329,8 +355,10 @@ def _can_link(one: str, other: str, percent: int) -> Column:
     n, m = F.col(f"{one}n"), F.col(f"{other}n")
     left_n, left_m = n - F.col(f"{one}alone"), m - F.col(f"{other}alone")
     ends = F.col(f"{one}end"), F.col(f"{other}end")
-    # of the set whose prefix ends first; of either where that can't be told
-    shared = F.when(ends[0] < ends[1], left_n).when(ends[0] > ends[1], left_m).otherwise(F.greatest(left_n, left_m))
+    # of the set whose prefix ends first.  Where both hold all of their sets' rare tokens, of both;
+    # two ends that are equal otherwise may stand for two tokens, so one of those isn't counted.
+    both = F.least(left_n, left_m)
+    shared = F.when(ends[0] < ends[1], left_n).when(ends[0] > ends[1], left_m).when(ends[0] == FARTHEST, both).otherwise(both + 1)
     shared = F.least(shared, n, m)
     return shared * 100 >= (n + m - shared) * percent
 
@@ -386,8 +414,8 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     repeated = rows.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("again"))
     nodes = nodes.join(repeated, "rid", "left").select("node", "doc_id", "rid", "rows", F.coalesce("again", F.lit(False)).alias("again"))
     nodes = materialise(nodes, "nodes")
-    counts = _fetched(docs, nodes.join(sizes.select("node"), "node", "left_semi"), _counted(words), "node long, counts binary").join(sizes, "node")
-    counts = materialise(counts.select("node", "n", "counts"), "counts")
+    counts = _fetched(docs, nodes.join(sizes.select("node"), "node", "left_semi"), _counted(words), COUNTED_COLUMNS).join(sizes, "node")
+    counts = materialise(counts.select("node", "n", "counts", *PARITIES), "counts")
 
     small = sizes.select(*(F.col(c).alias(f"first_{c}" if c != "node" else "first") for c in sizes.columns))
     pairs = member.filter(F.col("node") != F.col("first")).select("first", *sizes.columns).distinct().join(small, "first")
@@ -402,8 +430,9 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     split = per_label.groupBy("signature").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label"))["label"].alias("main")).filter("labels > 1")
     open_ = known.join(split.select("signature", "main"), "signature")
     open_ = open_.filter(F.col("node") != F.col("first"))  # the first has met all others
-    stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*sizes.columns, "label")))
-    met = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & _can_link("", "x_", percent))
+    open_ = open_.join(counts.select("node", *PARITIES), "node")
+    stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*sizes.columns, "label", *PARITIES)))
+    met = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & _can_link("", "x_", percent) & _few_differ("", "x_", percent))
     pairs = met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     more = _links(docs, nodes, counts, pairs, words, percent)
     if more.count():
