@@ -41,7 +41,7 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, upper, upper.lower())
 
 
-def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, total: int) -> DataFrame:
+def join_classes(rows: DataFrame, classes: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with their ``classes`` (one row per ``key``; ``size``: its rows).
 
     A hot class would put its rows into one task.  Classes with over ``total / HOT_SHARE``

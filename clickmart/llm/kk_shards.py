@@ -7,11 +7,13 @@ partitions of all tasks are then combined by the same rule, k sums each, which g
 of every task its shard.
 
 A group with more bytes than one shard's fair share can't be balanced whole by any method; its
-rows are cut, by a hash of the id, into pieces of about a quarter of a fair share.  There are
-fewer such groups than shards.  All others stay whole.
+rows are cut, by a hash of their number, into pieces of about a quarter of a fair share, and the
+result says so (``cut``).  There are fewer such groups than shards.  All others stay whole.
 
 Defined cases: null text has no bytes (a row's size is then the fixed overhead) and the group
-of the empty text; repeated rows are rows of one group; an empty table gives an empty result.
+of the empty text; repeated rows are rows of one group, told apart by a number written with them;
+an empty table gives an empty result; ties (equal bytes) go by digest; only id and text are read,
+so other columns may have any name; a very long text is one row's size.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import materialise, text_or_empty
+from clickmart.llm.common import join_classes, materialise, text_or_empty
 
 #: Bytes that a row has besides its text.
 ROW_BYTES = 16
@@ -77,7 +79,7 @@ def _local(k: int):
         for b, own in enumerate(members):
             for i in own:
                 bins[i] = b
-        return items.assign(bin=bins)[["digest", "piece", "bytes", "task", "bin"]]
+        return items.assign(bin=bins)[["digest", "piece", "bytes", "n", "task", "bin"]]
 
     return run
 
@@ -94,38 +96,40 @@ def _last(k: int):
 
 
 def shards(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, text_crc32, law, shard (0 to k - 1), slot, grown_shard (null)."""
+    """One row per row of ``docs``: doc_id, size, text_crc32, law, shard (0 to k - 1), slot, grown_shard (null), cut."""
     text = text_or_empty(text_col)
     size = (F.octet_length(text) + ROW_BYTES).cast("long")
-    rows = materialise(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), size.alias("size"), F.crc32(text).alias("text_crc32")), "sizes")
+    rows = materialise(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), size.alias("size"), F.crc32(text).alias("text_crc32"), F.monotonically_increasing_id().alias("row")), "sizes")
     n_rows, all_bytes = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
 
     # the groups over a fair share: fewer than k
     large = rows.groupBy("digest").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") * k > all_bytes)
     large = F.broadcast(large.select("digest", F.ceil(F.col("bytes") * 4 * k / F.lit(float(max(1, all_bytes)))).cast("int").alias("pieces")))
-    piece = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.coalesce("pieces", F.lit(1))).cast("int")
-    rows = rows.join(large, "digest", "left").withColumn("piece", piece).drop("pieces")
+    piece = F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1))).cast("int")
+    rows = rows.join(large, "digest", "left").withColumn("piece", piece).withColumn("cut", F.col("pieces").isNotNull()).drop("pieces")
 
-    items = materialise(rows.groupBy("digest", "piece").agg(F.sum("size").alias("bytes")), "items")
+    items = materialise(rows.groupBy("digest", "piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "items")
     n_items = items.count()
     tasks = max(1, min(MOST_TASKS, -(-n_items // TASK_ITEMS)))
     items = items.withColumn("task", F.pmod(F.xxhash64("digest", "piece"), F.lit(tasks)).cast("int"))
-    placed = materialise(items.groupBy("task").applyInPandas(_local(k), "digest binary, piece int, bytes long, task int, bin int"), "placed")
+    placed = materialise(items.groupBy("task").applyInPandas(_local(k), "digest binary, piece int, bytes long, n long, task int, bin int"), "placed")
     sums = placed.groupBy("task", "bin").agg(F.sum("bytes").alias("bytes"))
     shard = sums.groupBy(F.lit(0).alias("all")).applyInPandas(_last(k), "task int, bin int, shard int")
-    placed = placed.join(F.broadcast(shard), ["task", "bin"]).select("digest", "piece", "shard")
+    placed = placed.join(F.broadcast(shard), ["task", "bin"]).select("digest", "piece", "n", "shard")
 
     parts = max(1, -(-n_rows // (k * SLOT_ROWS)))
-    part = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)).cast("int")
-    rows = materialise(rows.join(placed, ["digest", "piece"]).select("doc_id", "size", "text_crc32", "shard", part.alias("part")), "sharded")
+    part = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+    # a group of many small rows, such as empty texts, is far below a fair share of bytes
+    rows = join_classes(rows, placed, ["digest", "piece"], "n", n_rows)
+    rows = materialise(rows.select("doc_id", "size", "text_crc32", "cut", "row", "shard", part.alias("part")), "sharded")
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size"))
+    number = F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size", "row"))
     slots = rows.withColumn("number", number).join(counts, ["shard", "part"])
     return slots.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
-        (F.col("before") + F.col("number") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("before") + F.col("number") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "cut",
     )
 
 
