@@ -1,14 +1,16 @@
 """URL rules by hashed host-suffix and path-prefix expressions.
 
-Every distinct URL is expanded into expressions: each suffix of its host that starts at a
-label, joined to each prefix of its path whose length some rule's path has (which lengths
-occur is read from the rules, so no rule is missed).  The expressions meet the rules in an
+Every distinct URL is expanded into expressions: the suffixes of its host with as many labels as
+some rule's host has, joined to the prefixes of its path with a length that some rule's path has
+(which numbers occur is read from the rules, so no rule is missed).  The expressions meet the rules in an
 equi-join on the first four bytes of their SHA-256; the full digest confirms a match.  Of the
 confirmed rules the longest (host and path together) wins; then the longer host, then block.
 
 Defined cases: a null URL or one without ``://`` has empty host and path and fits no rule; an
-empty rule table allows everything; a repeated rule counts once; repeated pages are judged
-alike, one result row for each.
+empty rule table allows everything; an empty page table has an empty result; a repeated rule
+counts once; repeated pages are judged alike, one result row for each; of the pages only id and
+URL are read, so other columns may have any name; a very long URL costs time in proportion to its
+length times the number of different rule lengths.
 """
 
 from __future__ import annotations
@@ -56,14 +58,17 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     # as many numbers as rules have different path lengths, at most the longest rule's length
     lengths = [r[0] for r in rules.select(F.expr("length(rule) - length(substring_index(rule, '/', 1))").alias("n")).distinct().collect()]
 
+    labels_in = lambda host: F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    labels = [r[0] for r in rules.select(labels_in(F.substring_index("rule", "/", 1)).alias("n")).distinct().collect()]
+
     text = F.concat_ws("\u0000", "host", "path")
     rows = parse(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))).select("page_id", "host", "path")
     rows = materialise(rows.withColumn("name", F.sha2(text, 256)), "urls")
     total = rows.count()
     names = rows.groupBy("name").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count(F.lit(1)).alias("rows"))
 
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
+    held = labels_in(F.col("host"))
+    suffixes = F.array_compact(F.array(*(F.when(held >= n, F.substring_index("host", ".", -n)) for n in labels)).cast("array<string>"))
     prefixes = F.array_compact(F.array(*(F.when(F.length("path") >= n, F.col("path").substr(1, n)) for n in lengths)).cast("array<string>"))
     expressions = names.select("name", "rows", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
     expressions = expressions.select("name", "rows", "suffix", F.explode("prefixes").alias("prefix"))
