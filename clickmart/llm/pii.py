@@ -113,8 +113,33 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
     found += [(m.start(), 5, m.end()) for m in LOCAL_PHONE.finditer(text)]
     found += [(m.start(), 6, m.end()) for m in SSN.finditer(text)]
     out: list[Span] = []
-    for span in sorted(found, key=lambda s: (s[1], s[0])):
-        if score(text, span) >= ACCEPT and not any(span[0] < b and a < span[2] for a, _, b in (*base, *out)):
+    taken = merged([(a, b) for a, _, b in base])
+    for kind in sorted({k for _, k, _ in found}):
+        # those of one kind don't overlap each other
+        new = apart([s for s in found if s[1] == kind and score(text, s) >= ACCEPT], taken)
+        taken = merged([*taken, *((a, b) for a, _, b in new)])
+        out += new
+    return out
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of the spans, as disjoint ones in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def apart(spans: list[Span], taken: list[tuple[int, int]]) -> list[Span]:
+    """Those of ``spans`` that overlap none of ``taken``; both in order, ``taken`` disjoint."""
+    out, at = [], 0
+    for span in spans:
+        while at < len(taken) and taken[at][1] <= span[0]:
+            at += 1
+        if at == len(taken) or span[2] <= taken[at][0]:
             out.append(span)
     return out
 

@@ -1,0 +1,154 @@
+"""Very long texts and hot groups: no crash, no quadratic work in a row, no key that fills a task."""
+
+from __future__ import annotations
+
+import random
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tokenizers
+
+from clickmart.llm import harmonic_pack, kk_shards, ngram_join, pii, url_rules
+from tests.llm.fixtures import documents, prose
+from tests.llm.test_dedup_shards_rules import check_shards
+
+
+# ---- packing
+@pytest.fixture(scope="module")
+def both():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return harmonic_pack._encoding(ranks, public_tokenizers.PATTERN, (("<|endoftext|>", 50256),)), path, tokenizers.Tokenizer.from_file(path)
+
+
+@pytest.mark.parametrize("text", [" " * 1_100_000, "\n" * 1_100_000, "a " + " \n\t" * 400_000 + "b", "x" * 300_000, "<|endoftext|>" + " " * 1_100_000 + "it's"])
+def test_ids_of_very_long_white_space(both, text):
+    encoding, path, library = both
+    assert harmonic_pack.ids_of(text, encoding, path).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_long_white_space(spark, both):
+    rows = [(1, " " * 1_100_000), (2, "a b"), (3, None)]
+    got = harmonic_pack.pack_documents(documents(spark, rows)).collect()
+    tokens = {r.doc_id: r.doc_tokens for r in got}
+    assert tokens == {i: len(both[2].encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows}
+
+
+def test_packing_spreads_repeated_rows(spark, monkeypatch):
+    """A third of the rows with null ids and one text: no worker gets them all."""
+    tables = {}
+    materialise = harmonic_pack.materialise
+    monkeypatch.setattr(harmonic_pack, "materialise", lambda df, name: tables.setdefault(name, materialise(df, name)))
+    rows = [(None, "one text")] * 1000 + [(i, prose(random.Random(i), 3)) for i in range(2000)]
+    got = harmonic_pack.pack(harmonic_pack.pieces(documents(spark, rows), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256}), worker_pieces=100)
+    assert got.count() == 3000
+    sizes = [r["count"] for r in tables["numbered"].groupBy("worker").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 200
+
+
+# ---- shards
+@pytest.mark.parametrize("hot", [lambda i: (i, ""), lambda i: (None, "one text"), lambda i: (i, None)])
+def test_shards_with_a_hot_group(spark, monkeypatch, hot):
+    """A third of the rows in one group of small rows, or repeated: slots stay gapless, parts small."""
+    tables = {}
+    materialise = kk_shards.materialise
+    monkeypatch.setattr(kk_shards, "materialise", lambda df, name: tables.setdefault(name, materialise(df, name)))
+    monkeypatch.setattr(kk_shards, "SLOT_ROWS", 20)
+    rows = [hot(i) for i in range(600)] + [(1000 + i, prose(random.Random(i), 20)) for i in range(1200)]
+    got = kk_shards.shards(documents(spark, rows), 4)
+    check_shards(got.collect(), rows, 4)
+    parts = [r["count"] for r in tables["sharded"].groupBy("part").count().collect()]
+    assert len(parts) == 23 and max(parts) < 250
+
+
+def test_cut_groups_are_named(spark):
+    rows = [(i, "the same text " * 20) for i in range(300)] + [(1000 + i, prose(random.Random(i), 5)) for i in range(30)]
+    got = kk_shards.shards(documents(spark, rows), 8).collect()
+    assert {r.doc_id for r in got if r.cut} == set(range(300)) and len({r.shard for r in got if r.cut}) == 8
+
+
+# ---- URL rules
+def test_host_of_very_many_labels(spark):
+    host = "a." * 40_000 + "example.net"
+    urls = [f"https://{host}/en/x", f"https://{host}/de/x", "http://" + "net." * 50_000 + "/de/", "http://x/" + "p/" * 100_000, "http://.net/", "http://net./", "http://net/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    start = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge(pages, url_rules.rules_frame(spark, url_rules.RULES)).collect()}
+    assert time.time() - start < 60
+    assert got == {0: ("example.net/en/", "allow"), 1: ("net/", "block"), 2: (None, "allow"), 3: (None, "allow"), 4: ("net/", "block"), 5: (None, "allow"), 6: ("net/", "block")}
+
+
+# ---- personal data
+def test_very_many_spans_in_one_text():
+    text = " call (212) 555-0100 now," * 100_000
+    start = time.time()
+    spans = pii.added_spans(text, pii.base_spans(text))
+    assert time.time() - start < 60 and len(spans) == 100_000
+
+
+def test_spans_apart_as_compared_one_by_one():
+    rng = random.Random(4)
+    for _ in range(300):
+        base = [(a, a + rng.randint(1, 9)) for a in rng.sample(range(60), rng.randint(0, 8))]
+        at, spans = 0, []
+        while at < 60:
+            a = at + rng.randint(0, 9)
+            spans.append((a, 5, at := a + rng.randint(1, 6)))
+        want = [s for s in spans if not any(s[0] < b and a < s[2] for a, b in base)]
+        assert pii.apart(spans, pii.merged(base)) == want
+
+
+# ---- n-gram join
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for n, m, shared in ((5, 9, 3), (300, 280, 250), (2000, 1500, 0), (1, 1, 1), (0, 4, 0)):
+        tokens = rng.integers(0, 2**63, n + m, dtype=np.uint64)
+        a, b = tokens[:n], np.concatenate([tokens[:shared], tokens[n : n + m - shared]])
+        differing = sum(int(x).bit_count() for x in (ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64))
+        assert differing <= n + m - 2 * shared
+
+
+def test_join_of_a_family_of_copies_that_differ(spark):
+    """Copies of one text, each with edits of its own, most too different to link with most others."""
+    rng = random.Random(11)
+    words = prose(rng, 120).split()
+    rows = []
+    for i in range(300):
+        own = list(words)
+        for _ in range(rng.choice((0, 1, 2, 3, 5, 8))):
+            own[rng.randrange(len(own))] = prose(rng, 1) + "x"
+        if rng.random() < 0.2:
+            own = own[: rng.randint(60, 120)]
+        rows.append((i, " ".join(own)))
+        if rng.random() < 0.2:  # a copy of the copy
+            own[rng.randrange(len(own))] = "again"
+            rows.append((1000 + i, " ".join(own)))
+
+    def shingles(t):
+        w = t.split()
+        return {" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if 100 * shared >= 90 * (len(sets[i]) + len(sets[j]) - shared):
+                a, b = root(i), root(j)
+                label[max(a, b)] = min(a, b)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[root(i)] = min(d, least.get(root(i), d))
+    want = {d: least[root(i)] for i, (d, _) in enumerate(rows)}
+    assert 20 < len(set(want.values())) < 300
+    for tiers in (ngram_join.TIERS, ((5, 2), (30, 3))):
+        got = {r.doc_id: r.component_id for r in ngram_join.linked_components(documents(spark, rows), 3, 90, tiers).collect()}
+        assert got == want
