@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pg
 from ..operators.dedup import dedup_keep_first
 from ..schema import ADD_TO_CART, BRONZE_COLUMNS, PAGE_VIEW, PURCHASE, QUANTITY_EVENT_TYPES, VALID_EVENT_TYPES
-from ..sources.bronze import bronze_scan
+from ..sources.bronze import bronze_scan, read_bronze
 
 STG_DERIVED = ["event_date", "event_hour", "day_of_week", "day_name", "revenue", "has_missing_quantity", "dbt_updated_at"]
 STG_COLUMNS = BRONZE_COLUMNS + STG_DERIVED
@@ -70,6 +70,17 @@ def register_views(stg: DataFrame, sessions: DataFrame) -> None:
     sessions.createOrReplaceTempView("int_user_sessions")
 
 
+def register_live_views(spark: SparkSession, bronze_path: str, as_of=None) -> None:
+    """The silver models as temporary views over the bronze table itself, nothing written.
+
+    A view shows the files that were there when it was registered; the ingest registers them
+    anew after every batch (``start_ingest(..., live_views=True)``), so a query sees all events
+    of the batches before it.
+    """
+    stg = stg_clickstream_events(read_bronze(spark, bronze_path), as_of)
+    register_views(stg, int_user_sessions(stg, as_of))
+
+
 def session_aggregates(stg: DataFrame) -> DataFrame:
     """One row per ``(session_id, user_id)``; every aggregate is partial-
     aggregation friendly, so a hot session costs one row per map task."""

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.silver import register_live_views
 from ..sources import events_json
 from ..sources.bronze import BATCH_COLUMN, PARTITION_COLUMN, bronze_scan
 from ..sources.compaction import SCHEMA
@@ -65,14 +66,18 @@ class BronzeBatchWriter:
 
     ``drop_landed`` drops events that earlier batches wrote for days compacted
     since (``streaming.landed``): replays from beyond any watermark.
+    ``live_views`` registers the silver views over bronze anew after each batch.
     """
 
-    def __init__(self, bronze_path: str, rejects_path: str, as_of=None, jdbc_options: dict | None = None, drop_landed: bool = False):
+    def __init__(self, bronze_path: str, rejects_path: str, as_of=None, jdbc_options: dict | None = None, drop_landed: bool = False, live_views: bool = False):
         self.bronze_path = bronze_path
         self.rejects_path = rejects_path
         self.as_of = as_of
         self.jdbc_options = jdbc_options
         self.drop_landed = drop_landed
+        self.live_views = live_views
+        # where live views are registered; that of the batch by default
+        self.session: SparkSession | None = None
         # of the last batch alone: batch id, rows, rejects
         self.last_counts: dict[str, int] = {}
 
@@ -116,6 +121,9 @@ class BronzeBatchWriter:
                 of_batch = F.col(BATCH_COLUMN) == batch_id
                 written = bronze_scan(self._bronze(batch.sparkSession).filter(of_batch))
                 written.write.format("jdbc").options(**self.jdbc_options).mode("append").save()
+            if self.live_views:
+                # the batch may come in a clone of the caller's session; views are the caller's
+                register_live_views(self.session or batch.sparkSession, self.bronze_path)
             rows = int(metrics.get("messages", 0)) - rejected
             self.last_counts = {"batch_id": batch_id, "rows": rows, "rejects": rejected}
             log.info("batch %s: %s events written, %s rejected", batch_id, rows, rejected)
@@ -135,9 +143,11 @@ def start_ingest(
     query_name: str | None = None,
     jdbc_options: dict | None = None,
     drop_landed: bool = False,
+    live_views: bool = False,
 ) -> StreamingQuery:
     """Start the ingest query; stop it with ``query.stop()`` (graceful)."""
-    sink = BronzeBatchWriter(bronze_path, rejects_path, as_of, jdbc_options, drop_landed)
+    sink = BronzeBatchWriter(bronze_path, rejects_path, as_of, jdbc_options, drop_landed, live_views)
+    sink.session = stream.sparkSession
     writer = stream.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
     )
