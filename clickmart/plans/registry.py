@@ -24,7 +24,7 @@ from ..session import materialise
 from ..sources import events_json
 from ..sources.bronze import bronze_scan
 from ..sources.clickstream import clickstream
-from . import gold, quality, reports, silver
+from . import audience, gold, quality, reports, silver
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -518,6 +518,19 @@ def _events_per_minute(m: Models) -> DataFrame:
     return reports.events_per_minute(m.bronze)
 
 
+@register(
+    "weekly_audience",
+    O.with_ctes(
+        ["stg"],
+        "SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start, "
+        "CAST(COUNT(DISTINCT user_id) AS BIGINT) AS users, CAST(COUNT(DISTINCT session_id) AS BIGINT) AS sessions "
+        "FROM stg GROUP BY 1",
+    ),
+)
+def _weekly_audience(m: Models) -> DataFrame:
+    return audience.weekly_audience(m.stg)
+
+
 @register(
     "ingest_latency",
     O.with_ctes(
