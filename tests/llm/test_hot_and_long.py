@@ -9,8 +9,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
-from clickmart.llm import harmonic_pack, kk_shards, ngram_join, pii, url_rules
+from clickmart.llm import decontaminate, harmonic_pack, kk_shards, ngram_join, pii, url_rules
 from tests.llm.fixtures import documents, prose
 from tests.llm.test_dedup_shards_rules import check_shards
 
@@ -152,3 +153,51 @@ def test_join_of_a_family_of_copies_that_differ(spark):
     for tiers in (ngram_join.TIERS, ((5, 2), (30, 3))):
         got = {r.doc_id: r.component_id for r in ngram_join.linked_components(documents(spark, rows), 3, 90, tiers).collect()}
         assert got == want
+
+
+# ---- decontamination
+def _fingerprints(spark, arrays):
+    frame = spark.createDataFrame([(i, [int(x) for x in a]) for i, a in enumerate(arrays)], "i int, own array<long>")
+    frame = frame.withColumn("numbered", F.expr(decontaminate.NUMBERED)).select("i", F.expr(decontaminate.FINGERPRINT).alias("f"))
+    return np.array([r.f for r in sorted(frame.collect())], np.int64).view(np.uint64)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_recall_of_the_radius(spark, repeated):
+    """Windows at similarity 0.8, their rest distinct or one shingle again and again: nearly none
+    is beyond the radius, while unrelated windows are."""
+    rng = np.random.default_rng(9 + repeated)
+    items, leaks, others = [], [], []
+    for m in (15, 30, 59, 100, 200, 400):
+        shared = -(-8 * m // 9)  # shared / (2 m - shared) >= 0.8
+        for _ in range(25):
+            item = rng.integers(-(2**63), 2**63 - 1, m)
+            rest = rng.integers(-(2**63), 2**63 - 1, m)
+            items.append(item)
+            leaks.append(np.r_[item[:shared], rest[:1].repeat(m - shared) if repeated else rest[: m - shared]])
+            others.append(np.r_[item[: m // 5], rest[m // 5 :]])
+    item, leak, other = (_fingerprints(spark, x) for x in (items, leaks, others))
+    found = np.bitwise_count(item ^ leak) <= decontaminate.RADIUS
+    assert found.mean() >= 0.99
+    assert (np.bitwise_count(item ^ other) <= decontaminate.RADIUS).mean() < 0.3
+
+
+def test_numbered_shingles(spark):
+    frame = spark.createDataFrame([([5, 7, 5, 5],), ([7, 5],), ([],)], "own array<long>").select(F.expr(decontaminate.NUMBERED).alias("n"))
+    first, second, none = (r.n for r in frame.collect())
+    assert len(set(first)) == 4 and set(second) == {first[0], first[1]} and none == []
+
+
+def test_blocks_find_all_within_the_radius(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), decontaminate.RADIUS):
+            b ^= 1 << bit
+        rows += [(i, 0, a - 2**64 * (a >> 63)), (i, 1, b - 2**64 * (b >> 63))]
+    cut = spark.createDataFrame(rows, "i int, side int, fingerprint long").select("i", "side", F.explode(F.expr(decontaminate.blocks(decontaminate.RADIUS))).alias("b")).select("i", "side", "b.*")
+    met = cut.filter("side = 0").join(cut.filter("side = 1"), ["i", "block", "value"]).select("i").distinct()
+    assert met.count() == 300
+    assert cut.select("block").distinct().count() == decontaminate.RADIUS + 1
