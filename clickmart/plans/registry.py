@@ -8,6 +8,7 @@ small integers become BIGINT (``canonical``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -20,11 +21,12 @@ from .. import oracle as O
 from ..operators import dedup
 from ..operators.checks import ACCEPTED_VALUES, EXPRESSION_IS_TRUE, NOT_NULL, UNIQUE, UNIQUE_COMBINATION
 from ..schema import DEFAULT_AS_OF, WIRE_COLUMNS
-from ..session import materialise
-from ..sources import events_json
-from ..sources.bronze import bronze_scan
+from ..session import materialise, shared_dir
+from ..sources import compaction, events_json
+from ..sources.bronze import bronze_scan, read_bronze
 from ..sources.clickstream import clickstream
-from . import audience, gold, quality, reports, silver
+from ..streaming import landed
+from . import audience, bucketed, gold, quality, reports, silver
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -381,6 +383,13 @@ USER_AGG_OUT = USER_AGG_COLS.replace(
 ).replace("highest_order_value,", "CAST(highest_order_value AS DOUBLE) AS highest_order_value,")
 
 
+@register("bucketed_user_aggregates", O.with_ctes(["users_base"], f"SELECT {USER_AGG_OUT} FROM users_base"), many_models=True)
+def _bucketed_user_aggregates(m: Models) -> DataFrame:
+    """The user aggregates from staged events in buckets of the user."""
+    own = uuid.uuid4().hex
+    return bucketed.write(m.stg, f"{shared_dir(m.spark)}/bucketed-{own}", f"stg_{own}").users(m.as_of)
+
+
 @register("user_aggregates", O.with_ctes(["users_base"], f"SELECT {USER_AGG_OUT} FROM users_base"))
 def _user_aggregates(m: Models) -> DataFrame:
     return gold.user_aggregates(m.sessions)
@@ -518,6 +527,40 @@ def _events_per_minute(m: Models) -> DataFrame:
     return reports.events_per_minute(m.bronze)
 
 
+def _compacted(m: Models) -> str:
+    """The bronze rows streamed in two batches, all days but the last compacted; the table's path."""
+    path = f"{shared_dir(m.spark)}/streamed-{uuid.uuid4().hex}"
+    rows = bronze_scan(m.bronze).withColumn(compaction.PARTITION_COLUMN, F.to_date("event_timestamp"))
+    later = F.crc32(F.coalesce("event_id", F.lit(""))) % 2 == 1
+    compaction.write_batch(rows.filter(~later), path, 0)
+    compaction.write_batch(rows.filter(later), path, 1)
+    last = rows.agg(F.max(compaction.PARTITION_COLUMN)).first()[0]
+    compaction.compact(m.spark, path, last, through=1)
+    return path
+
+
+@register("bronze_after_compaction", O.with_ctes(["bronze"], f"SELECT {O.BRONZE_OUT} FROM bronze"))
+def _bronze_after_compaction(m: Models) -> DataFrame:
+    """Every bronze row once, from compacted files and batch folders."""
+    return read_bronze(m.spark, _compacted(m))
+
+
+@register(
+    "landed_ids",
+    O.with_ctes(
+        ["bronze"],
+        "SELECT DISTINCT CAST(event_timestamp AS DATE) AS event_date, event_id FROM bronze "
+        "WHERE event_id IS NOT NULL AND CAST(event_timestamp AS DATE) < (SELECT MAX(CAST(event_timestamp AS DATE)) FROM bronze)",
+    ),
+)
+def _landed_ids(m: Models) -> DataFrame:
+    """What a replay of all events finds in the compacted days, by their id filters."""
+    path = _compacted(m)
+    events = bronze_scan(m.bronze).withColumn(compaction.PARTITION_COLUMN, F.to_date("event_timestamp"))
+    days = landed.late_days(events, compaction.manifest_log(m.spark, path).read()[1]["days"])
+    return landed.landed_ids(events, path, 2, days)
+
+
 @register(
     "weekly_audience",
     O.with_ctes(

@@ -99,6 +99,17 @@ def read_rows(spark: SparkSession, path: str, since=None, until=None) -> DataFra
     return rows if compacted is None else rows.unionByName(compacted)
 
 
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write bronze rows with their day as one batch, in place of what that batch wrote for these days."""
+    (
+        rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION_COLUMN, BATCH_COLUMN)
+        .parquet(path)
+    )
+
+
 def _batches(folder: Folder) -> dict[str, list[int]]:
     """Batch numbers of each day that has folders."""
     days = [n for n in folder.names() if n.startswith(_DAY)]

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.silver import register_live_views
 from ..sources import events_json
 from ..sources.bronze import BATCH_COLUMN, PARTITION_COLUMN, bronze_scan
-from ..sources.compaction import SCHEMA
+from ..sources.compaction import SCHEMA, write_batch
 from . import landed
 
 log = logging.getLogger(__name__)
@@ -104,13 +104,7 @@ class BronzeBatchWriter:
             good = good.withColumn(PARTITION_COLUMN, F.to_date("event_timestamp"))
             if self.drop_landed:
                 good = landed.drop_landed(good, self.bronze_path, batch_id)
-            (
-                good.withColumn(BATCH_COLUMN, F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(PARTITION_COLUMN, BATCH_COLUMN)
-                .parquet(self.bronze_path)
-            )
+            write_batch(good, self.bronze_path, batch_id)
             metrics = obs.get
             rejected = int(metrics.get("rejects", 0))
             if rejected:
