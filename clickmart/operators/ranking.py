@@ -182,7 +182,7 @@ def with_ranks(df: DataFrame, specs: list[tuple[str, list[SortKey]]], partitions
     inside = Window.partitionBy("_rk_o", "_rk_part").orderBy("_rk_at").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("_rk_size").over(inside), F.lit(0))
     ranked = rows.withColumn("_rk_inside", inside).join(F.broadcast(before), ["_rk_o", "_rk_part"])
-    ranked = materialise(ranked.withColumn("_rk_rank", (F.col("_rk_before") + F.col("_rk_inside") + 1).cast("bigint")), "ranked-values")
+    ranked = ranked.withColumn("_rk_rank", (F.col("_rk_before") + F.col("_rk_inside") + 1).cast("bigint"))
     for o, (name, order) in enumerate(specs):
         own = [f"_rk_{o}_{i}" for i in range(len(order))]
         of = ranked.filter(F.col("_rk_o") == o).select(*own, F.col("_rk_rank").alias(name), (F.col("_rk_size") * HOT_SHARE > F.col("_rk_total")).alias("_rk_hot"))

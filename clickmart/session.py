@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.commits import Folder
+
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -53,13 +58,43 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folder of the run's intermediate tables, where a caller opened one.
+_RUN: ContextVar[str | None] = ContextVar("clickmart_run", default=None)
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession, name: str | None = None, keep: bool = False) -> Iterator[str]:
+    """Collect the intermediate tables that are written inside the block in one folder of the
+    shared folder, and delete it at the end, also after a failure.
+
+    Results that are still lazy read those tables, so write or collect them inside.  With
+    ``keep`` the folder (which is yielded) stays, for the caller to ``drop_tables`` later.
+    """
+    path = f"{shared_dir(spark)}/run-{name or uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        if not keep:
+            drop_tables(spark, path)
+
+
+def drop_tables(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``intermediate_tables`` kept."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if not name.startswith("run-"):
+        raise ValueError(f"not a folder of intermediate tables: {path}")
+    Folder(spark, folder).delete(name)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     The lineage ends there: operators that read their input several times don't derive it
-    again, column pruning and filter pushdown still reach the files, and a lost executor
+    again (see ``intermediate_tables`` for clearing them), column pruning and filter pushdown still reach the files, and a lost executor
     re-reads them.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
