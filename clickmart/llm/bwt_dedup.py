@@ -16,13 +16,16 @@
 
 Bounds: a block's bytes are bounded by the anchor with the most different contexts.  Anchors
 with over WIDE of them don't form a block: their windows are compared one by one, by hash
-(equal windows meet after partial aggregation), which is exact as well.  Anchors with over
+(equal windows meet after partial aggregation), which is exact as well, and dealt out by row
+and place.  Anchors with over
 HOT_ROWS occurrences are grouped with partial aggregation, so that none fills a task.
 
 Rows are told apart by a 64-bit hash of id and text; a row repeated with id and text repeats
 all its strings.  Equality of contexts is that of two 64-bit hashes, of anchor and context.
 Defined cases: null text counts as empty; texts under LENGTH bytes lose nothing by themselves;
-an empty table gives an empty result.
+ties (equal contexts) don't matter, as each of them is marked; an empty table gives an empty
+result; only id and text are read, so other columns may have any name; a very long text is hashed
+in stretches of STRETCH bytes.
 """
 
 from __future__ import annotations
@@ -313,7 +316,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, wide
     # the same columns in both uses, so that the texts are dealt out once
     dealt = docs.repartition("rid")
     contexts = dealt.join(per_row.filter(F.size("wanted") > 0).select("rid", "wanted"), "rid").select("rid", "doc_id", "text", "wanted").mapInArrow(_cut_out(length), CONTEXT)
-    contexts = contexts.repartition("key")
+    # the contexts of a wide anchor meet nowhere, so they are spread
+    contexts = contexts.repartition("key", F.when(F.col("wide"), F.xxhash64("rid", "first")).otherwise(0))
     spans = contexts.sortWithinPartitions("key").mapInArrow(_blocks(length), SPAN)
 
     single = contexts.mapInArrow(_single_windows(length), "whole long, half long, rid long, first int, alone boolean")

@@ -11,7 +11,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontaminate, harmonic_pack, kk_shards, ngram_join, pii, url_rules
+from clickmart.llm import bwt_dedup, decontaminate, harmonic_pack, kk_shards, ngram_join, pii, url_rules
 from tests.llm.fixtures import documents, prose
 from tests.llm.test_dedup_shards_rules import check_shards
 
@@ -201,3 +201,26 @@ def test_blocks_find_all_within_the_radius(spark):
     met = cut.filter("side = 0").join(cut.filter("side = 1"), ["i", "block", "value"]).select("i").distinct()
     assert met.count() == 300
     assert cut.select("block").distinct().count() == decontaminate.RADIUS + 1
+
+
+# ---- repeated passages
+def test_passage_in_many_surroundings(spark):
+    """One short passage in more different surroundings than a block takes: its contexts are dealt
+    out, only what repeats over 200 bytes goes."""
+    rng = np.random.default_rng(12)
+
+    def noise(n):
+        return bytes(rng.integers(97, 123, n, dtype=np.uint8))
+
+    candidates = [noise(bwt_dedup.GRAM) for _ in range(20_000)]
+    # the one that is its windows' anchor nearly always
+    passage = min(candidates, key=lambda c: int(bwt_dedup.Sums(np.frombuffer(c, np.uint8)).grams(bwt_dedup.GRAM)[0]))
+    n = bwt_dedup.WIDE + 1500
+    texts = [noise(150) + passage + noise(150) for _ in range(n)]
+    long = noise(80) + passage + noise(80)  # 224 bytes that repeat
+    texts[10], texts[n - 1] = noise(100) + long + noise(90), noise(60) + long + noise(130)
+    rows = [(i, t.decode()) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in bwt_dedup.remove_repeats(documents(spark, rows, 8)).collect()}
+    assert len(got) == n
+    assert {i for i, (removed, _) in got.items() if removed} == {10, n - 1}
+    assert {got[10][1], got[n - 1][1]} == {1} and 224 <= got[10][0] == got[n - 1][0] <= 230
