@@ -10,7 +10,9 @@ hash maps to some foreign slot, fail the comparison and form groups of their own
 
 Defined cases: null text counts as empty; texts of white space alone are equal to the empty
 text; a null id sorts after all others; a row repeated with its id is a row of the group as
-any other, and all rows with the winner's id are kept; an empty table gives an empty result.
+any other, and all rows with the winner's id are kept; ties (equally long originals) go to the smallest id;
+an empty table gives an empty result; only id and text are read, so other columns may have any
+name; a very long text is hashed whole, inside the JVM.
 """
 
 from __future__ import annotations

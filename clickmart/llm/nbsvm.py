@@ -13,7 +13,11 @@ Every row is scored, on its whole text.
 
 Defined cases: null text counts as empty; a text shorter than an n-gram has no features and
 gets the score of the model's offset; ids labelled twice count with the lower label; without
-labels of both classes the score is the share of label 1 (0.5 without any label).
+labels of both classes the score is the share of label 1 (0.5 without any label); repeated rows
+are scored each for itself, and count in the fit as often as they are there; a score of exactly
+the threshold is accepted; an empty table gives an empty result; of the documents only id and
+text are read, so other columns may have any name; a very long text is one vector of at most
+FEATURES indicators.
 """
 
 from __future__ import annotations

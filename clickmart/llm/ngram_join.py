@@ -30,7 +30,10 @@ the threshold by that bound are decided on the whole texts of both nodes.
 Nodes are told apart by a 64-bit hash of their sets, tokens by one of their words.
 Defined cases: null or empty text, or white space alone: no shingles, linked with nothing, its
 component is its own id; fewer than n words: the whole sequence is the one shingle; a repeated
-row belongs to its node as any other; a null id takes its component's smallest id.
+row belongs to its node as any other; a null id takes its component's smallest id; ties don't
+arise, as components have no order; an empty table gives an empty result; only id and text are
+read, so other columns may have any name; a very long text is one set, hashed in memory of a few
+times its size.
 """
 
 from __future__ import annotations

@@ -7,10 +7,14 @@ is that of its kind plus CONTEXT where one of the kind's words stands within WIN
 of it; added kinds are kept from ACCEPT on, and only where they overlap no other span.
 
 The matching is linear in the text: an email is looked for around each ``@``, the others are
-anchored so that a run of digits is tried once.
+anchored so that a run of digits is tried once.  Added spans are held against the accepted ones
+in one sweep for each kind.
 
 Defined cases: null text counts as empty; texts without personal data have counts of 0, an
-empty ``spans`` and the digest of the empty string; repeated rows are judged each for itself.
+empty ``spans`` and the digest of the empty string; repeated rows are judged each for itself;
+of added spans that overlap, the earlier kind stays, base spans always; an empty table gives an
+empty result; only id and text are read, so other columns may have any name; a very long text is
+searched whole.
 """
 
 from __future__ import annotations

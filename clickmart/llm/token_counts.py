@@ -10,7 +10,10 @@ others (counted over all documents), take a shorter way: each is encoded once, a
 table of their counts is joined by a broadcast, so they are summed where the text is read.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); special strings in a text are one
-token each, as the library takes them by default; a repeated row is counted for itself.
+token each, as the library takes them by default; a repeated row is counted for itself; there
+are no ties; an empty table gives an empty result; only id and text are read, so other columns
+may have any name; a very long text is cut into its pre-tokens in one task, in memory of a few
+times its size.
 """
 
 from __future__ import annotations
