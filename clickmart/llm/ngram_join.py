@@ -453,3 +453,17 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
 
 def query(spark, sf_dir: str) -> DataFrame:
     return linked_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90)
+
+
+SQL = r"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS sh FROM d),
+n AS (SELECT r, doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+e AS (SELECT r, unnest(sh) AS t FROM s),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM e AS a JOIN e AS b ON a.t = b.t AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM p JOIN n AS x ON x.r = a JOIN n AS y ON y.r = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT r AS a, r AS b FROM n UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+least AS (SELECT a, min(y.doc_id) AS component_id FROM reach JOIN n AS y ON y.r = b GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id FROM n JOIN least ON a = r
+"""

@@ -42,5 +42,6 @@ QUERIES = {name: _found(query) for name, query in _QUERIES.items()}
 SQL = {
     "op1_mph_dedup": mph_dedup.SQL,
     "op4_url_rules": url_rules.SQL,
+    "op10_ngram_join": ngram_join.SQL,
     "op11_lexical_search": lexical_search.SQL,
 }
