@@ -46,10 +46,9 @@ class BucketedEvents:
 
 def hot_users(stg: DataFrame) -> DataFrame:
     """The ids (null as well) of users with over a share of 1 in HOT_SHARE of the rows: column ``hot_id``."""
+    total = stg.count()
     counts = stg.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    total = stg.agg(F.count(F.lit(1)).alias("total"))
-    # one row against the counts: a scalar, broadcast
-    return counts.join(F.broadcast(total), F.col("n") * HOT_SHARE > F.col("total")).select(F.col(KEY).alias("hot_id"))
+    return counts.filter(F.col("n") * HOT_SHARE > total).select(F.col(KEY).alias("hot_id"))
 
 
 def _table(spark: SparkSession, name: str, path: str, schema: T.StructType, buckets: int) -> DataFrame:
@@ -65,7 +64,7 @@ def read(spark: SparkSession, path: str, name: str, schema: T.StructType, bucket
 
 
 def write(stg: DataFrame, path: str, name: str, buckets: int | None = None) -> BucketedEvents:
-    """Write staged events into a new folder.  They are read three times: write out first what is
+    """Write staged events into a new folder.  They are read four times: write out first what is
     costly to derive.
 
     ``buckets`` should keep a bucket's file at a task's size; by default as many as the session

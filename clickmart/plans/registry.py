@@ -571,7 +571,8 @@ def _landed_ids(m: Models) -> DataFrame:
     ),
 )
 def _weekly_audience(m: Models) -> DataFrame:
-    return audience.weekly_audience(m.stg)
+    # a row per week, written: merging bitmaps sorts rows of 4 KB, which no reader should repeat
+    return materialise(audience.weekly_audience(m.stg), "weekly")
 
 
 @register(
