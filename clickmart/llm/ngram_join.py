@@ -427,13 +427,14 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     labels = components(links)
 
     # members of a bucket outside its largest component meet those of the others
-    known = member.join(labels, "node", "left").select("signature", *sizes.columns, "first", F.coalesce("label", "node").alias("label"))
+    # both joins by node, so the members are shuffled once
+    known = member.join(labels, "node", "left").join(counts.select("node", *PARITIES), "node")
+    known = known.select("signature", *sizes.columns, "first", F.coalesce("label", "node").alias("label"), *PARITIES)
     known = materialise(known, "labelled")
     per_label = known.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
     split = per_label.groupBy("signature").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label"))["label"].alias("main")).filter("labels > 1")
     open_ = known.join(split.select("signature", "main"), "signature")
     open_ = open_.filter(F.col("node") != F.col("first"))  # the first has met all others
-    open_ = open_.join(counts.select("node", *PARITIES), "node")
     stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*sizes.columns, "label", *PARITIES)))
     met = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & _can_link("", "x_", percent) & _few_differ("", "x_", percent))
     pairs = met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
