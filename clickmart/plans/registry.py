@@ -531,6 +531,9 @@ def _compacted(m: Models) -> str:
     """The bronze rows streamed in two batches, all days but the last compacted; the table's path."""
     path = f"{shared_dir(m.spark)}/streamed-{uuid.uuid4().hex}"
     rows = bronze_scan(m.bronze).withColumn(compaction.PARTITION_COLUMN, F.to_date("event_timestamp"))
+    # a batch's writer sorts the rows of each task by day, and a split of the compact source holds many
+    tasks = -(-rows.count() // compaction.ROWS_PER_FILE)
+    rows = rows.repartition(max(1, tasks), F.xxhash64(*rows.columns))
     later = F.crc32(F.coalesce("event_id", F.lit(""))) % 2 == 1
     compaction.write_batch(rows.filter(~later), path, 0)
     compaction.write_batch(rows.filter(later), path, 1)

@@ -34,7 +34,8 @@ from .commits import CommitLog, Folder
 PARTITION_COLUMN = "event_date"
 BATCH_COLUMN = "batch_id"
 FOLDER = "_compacted"
-ROWS_PER_FILE = 5_000_000
+#: Rows of a file, and of the range that one task sorts to write it (about half a KB each in memory).
+ROWS_PER_FILE = 1_000_000
 
 _DAY, _BATCH = f"{PARTITION_COLUMN}=", f"{BATCH_COLUMN}="
 FILTER_SCHEMA = "event_date date, bucket int, bitmap binary"

@@ -17,6 +17,8 @@ HASHES = 7
 BITS_PER_ID = 10
 #: Bits of one of Spark's bitmaps.
 BUCKET = 8 * 4096
+#: Bitmaps that one task builds, about: it sorts HASHES rows (about 85 bytes) for each of their ids.
+BUCKETS_PER_TASK = 64
 
 
 def size_of(ids: int, bits_per_id: int = BITS_PER_ID) -> int:
@@ -38,9 +40,14 @@ def _bits_of(sizes: dict) -> Column:
 
 
 def build(rows: DataFrame, sizes: dict) -> DataFrame:
-    """The filters of days: (event_date, bucket, bitmap).  ``sizes``: bits by day (as text)."""
+    """The filters of days: (event_date, bucket, bitmap).  ``sizes``: bits by day (as text).
+
+    Building bitmaps sorts the rows, so they are dealt out by bucket first: a task's share follows
+    the number of its bitmaps, not the size of the files it reads.
+    """
     ids = rows.filter(F.col("event_id").isNotNull()).select("event_date", "event_id")
-    return _set_bits(ids, _bits_of(sizes)).groupBy("event_date", "bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    tasks = max(1, -(-sum(sizes.values()) // (BUCKET * BUCKETS_PER_TASK)))
+    return _set_bits(ids, _bits_of(sizes)).repartition(tasks, "event_date", "bucket").groupBy("event_date", "bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
 
 
 def possible(ids: DataFrame, filters: DataFrame, sizes: dict) -> DataFrame:

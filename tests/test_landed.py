@@ -69,6 +69,17 @@ def test_filter_alone(spark):
     filters.unpersist()
 
 
+def test_filters_are_built_in_shares_of_bitmaps(spark, monkeypatch):
+    """A task's share follows the number of bitmaps, not the partitions that the rows come in."""
+    monkeypatch.setattr(id_filters, "BUCKETS_PER_TASK", 2)
+    rows = spark.createDataFrame([(date(2024, 1, 5), f"E{i}") for i in range(20_000)], "event_date date, event_id string").coalesce(1)
+    sizes = {"2024-01-05": id_filters.size_of(20_000)}
+    made = id_filters.build(rows, sizes)
+    assert made.rdd.getNumPartitions() == 4  # of 7 bitmaps
+    assert made.count() == 7 and id_filters.possible(rows, made, sizes).count() == 20_000
+    assert compaction.ROWS_PER_FILE <= 1_000_000  # a task sorts so many rows of half a KB
+
+
 def test_only_possible_hits_meet_bronze(spark, tmp_dir, monkeypatch):
     batch(spark, tmp_dir, 0, messages([f"E{i}" for i in range(50)], "2024-01-05"))
     batch(spark, tmp_dir, 1, messages(["F"], "2024-01-06"))
