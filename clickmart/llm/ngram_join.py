@@ -19,7 +19,8 @@ batch aren't passed on.  Any order gives the same result; the counts just make b
 
 A bucket (one signature) isn't expanded into pairs.  Its member with the fewest tokens of its own
 is compared with each other one and the links' components are formed.  Members outside the bucket's largest component
-are then compared with all members of other components, so no link is lost.  A
+are then compared with all members of other components, in the smallest of the buckets that the
+two share (as far as a few of each one's smallest signatures tell), so no link is lost.  A
 candidate pair is dropped where the prefixes show too many misses: of the set whose prefix ends
 first, every prefix token that no other set has in its prefix is missing in the partner; and, in
 the second comparison, where the parities of the sets' tokens in 256 buckets differ in more bits
@@ -279,6 +280,33 @@ def _few_differ(one: str, other: str, percent: int) -> Column:
     return (both - differing) * 100 >= (both + differing) * percent
 
 
+#: Columns of a node's smallest signatures, one of each remainder of signature by their number.
+LEAST = tuple(f"k{i}" for i in range(8))
+
+
+def _with_least(member: DataFrame) -> DataFrame:
+    """``member`` (signature, node) with the node's LEAST signatures; no shuffle where it is dealt by node."""
+    own = Window.partitionBy("node")
+    of = F.pmod(F.col("signature"), F.lit(len(LEAST)))
+    return member.select("*", *(F.min(F.when(of == i, F.col("signature"))).over(own).alias(k) for i, k in enumerate(LEAST)))
+
+
+def _met(open_: DataFrame, columns: list[str], percent: int) -> DataFrame:
+    """Members of different components that share a bucket (with its ``main`` component) and can link: x_node, node.
+
+    Two nodes share many buckets, and one meeting is enough: that in the smallest they share.  So a
+    bucket passes by the two where a smaller one is among the LEAST of both; where they share none
+    of those, a pair comes more than once.
+    """
+    stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*columns, "label", *PARITIES, *LEAST)))
+    once = (F.col("label") == F.col("main")) | (F.col("x_node") < F.col("node"))  # two strays meet twice
+    before = F.lit(False)
+    for k in LEAST:
+        before = before | F.coalesce((F.col(k) == F.col(f"x_{k}")) & (F.col(k) < F.col("signature")), F.lit(False))
+    both = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & once & ~before & _can_link("", "x_", percent) & _few_differ("", "x_", percent))
+    return both.select("x_node", "node")
+
+
 def _own(words: int, batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarray]]:
     """(node, text, tokens) of the rows whose text has the node's set."""
     nodes = batch.column("node").to_pylist()
@@ -430,13 +458,12 @@ def linked_components(docs: DataFrame, words: int, percent: int, tiers: tuple =
     # both joins by node, so the members are shuffled once
     known = member.join(labels, "node", "left").join(counts.select("node", *PARITIES), "node")
     known = known.select("signature", *sizes.columns, "first", F.coalesce("label", "node").alias("label"), *PARITIES)
-    known = materialise(known, "labelled")
+    known = materialise(_with_least(known), "labelled")
     per_label = known.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
     split = per_label.groupBy("signature").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("members", "label"))["label"].alias("main")).filter("labels > 1")
     open_ = known.join(split.select("signature", "main"), "signature")
     open_ = open_.filter(F.col("node") != F.col("first"))  # the first has met all others
-    stray = open_.filter(F.col("label") != F.col("main")).select("signature", *(F.col(c).alias(f"x_{c}") for c in (*sizes.columns, "label", *PARITIES)))
-    met = stray.join(open_, "signature").filter((F.col("label") != F.col("x_label")) & _can_link("", "x_", percent) & _few_differ("", "x_", percent))
+    met = _met(open_, sizes.columns, percent)
     pairs = met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     more = _links(docs, nodes, counts, pairs, words, percent)
     if more.count():

@@ -188,6 +188,15 @@ def test_numbered_shingles(spark):
     assert len(set(first)) == 4 and set(second) == {first[0], first[1]} and none == []
 
 
+def test_fingerprints_by_aggregation_are_those_by_row(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.getrandbits(64) - 2**63 for _ in range(n)]) for i, n in enumerate([1, 2, 3, 4, 31, 300] * 3)]
+    rows += [(100, [-1]), (101, [0]), (102, [-(2**63), 2**63 - 1]), (103, [-(2**63)] * 3)]
+    frame = spark.createDataFrame(rows, "i int, numbered array<long>")
+    expected = dict(frame.select("i", F.expr(decontaminate.FINGERPRINT)).collect())
+    assert dict(decontaminate.fingerprints(frame, ["i"]).collect()) == expected
+
+
 def test_blocks_find_all_within_the_radius(spark):
     rng = random.Random(3)
     rows = []
@@ -224,3 +233,14 @@ def test_passage_in_many_surroundings(spark):
     assert len(got) == n
     assert {i for i, (removed, _) in got.items() if removed} == {10, n - 1}
     assert {got[10][1], got[n - 1][1]} == {1} and 224 <= got[10][0] == got[n - 1][0] <= 230
+
+
+def test_two_nodes_meet_in_one_of_their_buckets(spark):
+    """Five components of two nodes share 40 buckets: a row per pair, not one per pair and bucket."""
+    rows = [(97 * k - 2000, node, 100, 0, 5, node // 2, 0) for k in range(40) for node in range(10)]
+    rows += [(7_000, node, 100, 0, 5, node, 20) for node in (20, 21)]  # a bucket of their own
+    frame = spark.createDataFrame(rows, "signature long, node long, n int, alone int, end long, label long, main long")
+    frame = ngram_join._with_least(frame.select("*", *(F.lit(0).cast("long").alias(p) for p in ngram_join.PARITIES)))
+    met = [tuple(r) for r in ngram_join._met(frame, ["node", "n", "alone", "end"], 80).collect()]
+    expected = {(a, b) for a in range(10) for b in range(a + 1, 10) if a // 2 != b // 2} | {(20, 21)}
+    assert {(min(p), max(p)) for p in met} == expected and len(met) == len(expected)
