@@ -39,6 +39,8 @@ from clickmart.llm.common import materialise, text_or_empty
 SHINGLE = 5
 THRESHOLD = 0.8
 BITS = 64
+#: Lowest bit of each half of a long.
+HALVES = 1 << 32 | 1
 #: Differing bits of two fingerprints, at most.
 RADIUS = 23
 #: Shingles of the benchmark, and windows, up to which they are broadcast; more are joined by shuffle.
@@ -58,11 +60,28 @@ SHINGLES = f"""CASE WHEN size(words) >= {SHINGLE}
 NUMBERED = """CASE WHEN size(array_distinct(own)) = size(own) THEN transform(own, h -> xxhash64(h, 1))
   ELSE transform(own, (h, i) -> xxhash64(h, size(filter(slice(own, 1, i + 1), x -> x = h)))) END"""
 
-#: SimHash of the array column ``numbered``.
+#: SimHash of the array column ``numbered``, row by row; ``fingerprints`` gives the same by aggregation.
 FINGERPRINT = f"""aggregate(sequence(0, {BITS - 1}), 0L, (f, b) -> f |
   CASE WHEN aggregate(numbered, 0, (s, h) -> s + CAST(shiftright(h, b) & 1L AS INT) * 2 - 1) > 0 THEN shiftleft(1L, b) ELSE 0L END)"""
 
 
+def fingerprints(windows: DataFrame, key: list[str]) -> DataFrame:
+    """``key`` and SimHash (``fingerprint``) of the array column ``numbered``; ``key`` is unique, no array empty.
+
+    A row per element, aggregated: sum i of HALVES counts bit i in its lower 32 bits and bit
+    i + 32 in its upper ones.  A window's elements lie in one task, so windows are shuffled, not
+    elements.
+    """
+    each = windows.select(*key, F.explode("numbered").alias("h"))
+    halves = [F.expr(f"sum(shiftrightunsigned(h, {i}) & {HALVES}L)").alias(f"s{i}") for i in range(BITS // 2)]
+    sums = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *halves)
+    count = {i: f"(s{i} & 4294967295L)" for i in range(BITS // 2)} | {i + BITS // 2: f"shiftrightunsigned(s{i}, 32)" for i in range(BITS // 2)}
+    bits = [f"CASE WHEN 2 * {count[b]} > n THEN shiftleft(1L, {b}) ELSE 0L END" for b in range(BITS)]
+    # in groups, as an operator's arguments nest
+    parts = ["(" + " | ".join(f"({x})" for x in bits[i : i + 8]) + ")" for i in range(0, BITS, 8)]
+    return sums.select(*key, F.expr(" | ".join(parts)).alias("fingerprint"))
+
+
 def blocks(radius: int) -> str:
     """(block, value) pairs of ``fingerprint``, radius + 1 of them."""
     cuts = [(BITS * i // (radius + 1), BITS * (i + 1) // (radius + 1)) for i in range(radius + 1)]
@@ -81,8 +100,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     """
     items = benchmark.select("item_id", _words("text").alias("words")).select("item_id", F.size("words").alias("long"), F.expr(SHINGLES).alias("own"))
     items = items.filter(F.col("long") >= SHINGLE).dropDuplicates(["item_id", "own"]).withColumn("item", F.xxhash64("item_id", "own"))
-    items = items.withColumn("numbered", F.expr(NUMBERED))
-    items = materialise(items.withColumn("fingerprint", F.expr(FINGERPRINT)), "items")
+    items = materialise(items.withColumn("numbered", F.expr(NUMBERED)), "items")
+    item_prints = materialise(fingerprints(items, ["item"]), "item-prints")
     n_items = items.count()
     shingles = items.select("item", "long", F.explode(F.array_distinct("own")).alias("hash"))
 
@@ -104,12 +123,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     found = rows.join(_small(per_row, windows.count()), "rid").select("doc_id", "windows", _words("text").alias("words"), F.monotonically_increasing_id().alias("row"))
     found = found.select("doc_id", "row", "windows", F.expr(SHINGLES).alias("shingles"))
     found = found.select("doc_id", "row", "shingles", F.explode("windows").alias("w")).select("doc_id", "row", F.col("w.item").alias("item"), "w.long", "w.start", F.expr(f"slice(shingles, w.start + 1, w.long - {SHINGLE - 1})").alias("own"))
-    found = found.withColumn("numbered", F.expr(NUMBERED)).drop("own")
-    found = materialise(found.withColumn("fingerprint", F.expr(FINGERPRINT)), "fingerprints")
+    found = materialise(found.withColumn("numbered", F.expr(NUMBERED)).drop("own"), "elements")
+    prints = materialise(fingerprints(found, ["row", "item", "start"]), "fingerprints")
 
     cut = F.explode(F.expr(blocks(radius))).alias("b")
-    left = found.select("row", "item", "start", "fingerprint", cut).select("row", "item", "start", "fingerprint", "b.block", "b.value")
-    right = items.select("item", F.col("fingerprint").alias("item_print"), cut).select("item", "item_print", "b.block", "b.value")
+    left = prints.select("row", "item", "start", "fingerprint", cut).select("row", "item", "start", "fingerprint", "b.block", "b.value")
+    right = item_prints.select("item", F.col("fingerprint").alias("item_print"), cut).select("item", "item_print", "b.block", "b.value")
     bits = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))).alias("differing_bits")
     near = left.join(_small(right, n_items * (radius + 1)), ["item", "block", "value"]).select("row", "item", "start", bits)
     near = near.filter(F.col("differing_bits") <= radius).distinct()
